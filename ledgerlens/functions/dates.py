@@ -7,6 +7,8 @@ failing the job under ANSI mode, and the first layout that parses wins.
 
 from __future__ import annotations
 
+import itertools
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -32,10 +34,37 @@ PERIOD_LAYOUTS: tuple[str, ...] = ("yyyy-MM", "MMM-yyyy", "MMMM yyyy")
 SENTINEL_DATE = "9999-12-31"
 
 
+def layout_guard(layout: str) -> str:
+    """Regex a text must match before ``layout`` is worth trying.
+
+    Built from the pattern letters: year runs of 4+ -> 4+ digits, other
+    numeric fields -> 1-2 digits, month / day names -> letters, everything
+    else literal.  It accepts a superset of what the parser accepts, so it
+    never hides a parseable value; it only skips attempts that would fail
+    (a failed ``try_to_date`` costs a caught parse exception per row).
+    """
+    parts = []
+    for ch, run in itertools.groupby(layout):
+        n = len(list(run))
+        if ch == "y":
+            parts.append(r"\d{4,}" if n >= 4 else r"\d{%d}" % n)
+        elif ch in "Md" and not (ch == "M" and n >= 3):
+            parts.append(r"\d{1,2}")
+        elif ch in "ME":
+            parts.append("[A-Za-z]+")
+        else:
+            parts.append(re.escape(ch * n))
+    return "^" + "".join(parts) + "$"
+
+
 def normalize_date(col: Column | str, layouts: Sequence[str] = DATE_LAYOUTS) -> Column:
-    """Text in any of ``layouts`` -> DATE; blanks and junk -> null."""
+    """Text in any of ``layouts`` -> DATE; blanks and junk -> null.
+
+    Each attempt is guarded by the layout's shape (``layout_guard``), so a
+    value is handed to the parser only for layouts it could match.
+    """
     c = F.trim(as_col(col))
-    return F.coalesce(*[F.try_to_date(c, fmt) for fmt in layouts])
+    return F.coalesce(*[F.when(c.rlike(layout_guard(fmt)), F.try_to_date(c, fmt)) for fmt in layouts])
 
 
 def normalize_period(col: Column | str, layouts: Sequence[str] = PERIOD_LAYOUTS) -> Column:
