@@ -78,41 +78,50 @@ def canonical_table(spark, canonical: Sequence[str]) -> DataFrame:
     )
 
 
+def _check_threshold(threshold: float) -> None:
+    """The bigram search is exact only while every passing pair must share a
+    bigram: ``len - 1 - 2 * max_edits(len) > 0`` for every length >= 2.  That
+    holds for thresholds above 50; lower ones are refused rather than
+    silently missing matches."""
+    f = (100.0 - threshold) / 100.0
+    if not 0.0 <= f < 0.5 or any(n - 1 - 2 * int(n * f + 1e-9) <= 0 for n in range(2, 4096)):
+        raise ValueError(f"fuzzy threshold must be in (50, 100]; got {threshold}")
+
+
+def _grams(key: Column) -> Column:
+    """Bigrams of a key; a key too short for bigrams is its own (marked) token,
+    so identical short keys still meet in the equi-join."""
+    return F.when(F.length(key) >= 2, bigrams(key)).otherwise(F.array(F.concat(F.lit("\u0000"), key)))
+
+
 def fuzzy_name_map(names: DataFrame, canon: DataFrame, threshold: float = DEFAULT_FUZZY_THRESHOLD,
                    n_canonical: int | None = None) -> DataFrame:
     """Best canonical per distinct raw name: (raw_name, matched, score).
 
     ``names`` has one column ``raw_name`` (distinct).  Exact on the score: see
-    module docstring.  Ties on score go to the earliest canonical entry.
+    module docstring.  Ties on score go to the earliest canonical entry.  The
+    names side is read once: keys, lengths and gram counts travel together
+    through the candidate join; the canonical side (a parameter list) is
+    broadcast.
     """
-    keyed = names.select("raw_name", token_sort_key("raw_name").alias("name_key")).withColumn(
-        "name_len", F.length("name_key")
-    )
+    _check_threshold(threshold)
     n_bound = n_canonical if n_canonical is not None else 1_000_000
-    canon_b = broadcast_param_table(canon, n_bound)
-
-    def grams(df: DataFrame, key: str, tag: str) -> DataFrame:
-        return (
-            df.select(tag, F.explode(bigrams(key)).alias("gram"))
-            .groupBy(tag, "gram").agg(F.count(F.lit(1)).alias(f"{tag}_n"))
-        )
-
-    name_grams = grams(keyed, "name_key", "raw_name")
-    canon_grams = broadcast_param_table(grams(canon, "canon_key", "canon_id"), n_bound * 64)
-    shared = (
-        name_grams.join(canon_grams, "gram")
-        .groupBy("raw_name", "canon_id")
-        .agg(F.sum(F.least("raw_name_n", "canon_id_n")).alias("shared"))
+    name_key = token_sort_key("raw_name")
+    name_grams = (
+        names.select("raw_name", name_key.alias("name_key"))
+        .select("raw_name", "name_key", F.length("name_key").alias("name_len"),
+                F.explode(_grams(F.col("name_key"))).alias("gram"))
+        .groupBy("raw_name", "name_key", "name_len", "gram").agg(F.count(F.lit(1)).alias("n_a"))
     )
-    # Identical keys (including ones too short to have bigrams) are candidates too.
-    exact = keyed.join(canon_b.select("canon_id", "canon_key"), keyed.name_key == F.col("canon_key")).select(
-        "raw_name", "canon_id", F.lit(1 << 30).cast("bigint").alias("shared")
+    canon_grams = broadcast_param_table(
+        canon.select("canon_id", "canonical", "canon_key", "canon_len", F.explode(_grams(F.col("canon_key"))).alias("gram"))
+        .groupBy("canon_id", "canonical", "canon_key", "canon_len", "gram").agg(F.count(F.lit(1)).alias("n_b")),
+        n_bound * 64,
     )
     cands = (
-        shared.unionByName(exact)
-        .groupBy("raw_name", "canon_id").agg(F.max("shared").alias("shared"))
-        .join(keyed, "raw_name")
-        .join(canon_b, "canon_id")
+        name_grams.join(canon_grams, "gram")
+        .groupBy("raw_name", "name_key", "name_len", "canon_id", "canonical", "canon_key", "canon_len")
+        .agg(F.sum(F.least("n_a", "n_b")).alias("shared"))
     )
     longest = F.greatest("name_len", "canon_len")
     lemma = longest - F.lit(1) - F.lit(2) * max_edits(threshold, longest)
