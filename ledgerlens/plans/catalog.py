@@ -19,7 +19,7 @@ from ..operators.vendors import vendor_fuzzy_match, vendor_rule_map
 from ..session import scratch_path
 from ..sources import bindings as B
 from ..sources import files
-from ..sources.schemas import RAW_CHANGE_ORDERS
+from ..sources.schemas import FACT_PROJECT_COST, RAW_CHANGE_ORDERS
 
 RULES = B.BINDING_VENDOR_RULES
 CANONICAL = B.CANONICAL_VENDORS
@@ -60,11 +60,15 @@ def q_source_row_audit(spark, sf_dir):
 
 
 def q_sink_overwrite_roundtrip(spark, sf_dir):
+    """Write the cost fact over a stale table of another schema, read it back.
+
+    Were the write an append, the stale files would surface on read (schema
+    clash / extra rows); an overwrite leaves exactly the fact.
+    """
     path = scratch_path(spark, "sink")
-    fact = cost_fact(spark, sf_dir)
-    files.write_table(fact, path)
-    files.write_table(fact, path, mode="overwrite")  # second run replaces, never appends
-    return spark.read.parquet(path)
+    files.write_table(spark.range(3).withColumnRenamed("id", "stale"), path)
+    files.write_table(cost_fact(spark, sf_dir), path, mode="overwrite")
+    return spark.read.schema(FACT_PROJECT_COST).parquet(path)
 
 
 # ---------------------------------------------------------------- cleaning
