@@ -69,7 +69,7 @@ def evm_summary_by_building(fact: DataFrame, key: str = "building_id") -> DataFr
     totals = summed_components(fact, [key])
     return ratios_from_totals(totals).select(
         key, "cpi", "spi", "eac", "vac", "total_budget", "total_actual_cost", "total_earned_value"
-    )
+    ).orderBy(F.asc_nulls_last(key))
 
 
 def evm_cube(fact: DataFrame, dims: Sequence[str] = ("building_id", "wbs_level_1", "wbs_level_2")) -> DataFrame:

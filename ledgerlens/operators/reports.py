@@ -2,8 +2,9 @@
 
 All reports aggregate first (partial + final hash aggregate, so hot keys
 are combined map-side) and only then apply windows, which therefore see a
-small (key x period) grain instead of raw rows.  Sorting is left to the
-consumer except where order is the feature (top-k).
+small (key x period) grain instead of raw rows.  The reports that the
+source ships as SQL keep its ORDER BY (on a result of a few hundred rows at
+most, so the sort is cheap); the others leave ordering to the consumer.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ def change_order_aging(fact_co: DataFrame) -> DataFrame:
     null or negative lag falls in no bucket.  Bucket counts are 0, not null.
     """
     lag = F.col("co_approval_lag_days")
-    return fact_co.groupBy("building_id", "status").agg(
+    out = fact_co.groupBy("building_id", "status").agg(
         F.count(F.lit(1)).alias("co_count"),
         F.sum("cost_impact").alias("total_cost_impact"),
         F.avg(lag).alias("avg_approval_lag"),
@@ -36,6 +37,7 @@ def change_order_aging(fact_co: DataFrame) -> DataFrame:
         F.count_if(lag.between(16, 30)).alias("bucket_16_30_days"),
         F.count_if(lag > 30).alias("bucket_30_plus_days"),
     )
+    return out.orderBy(F.asc_nulls_last("building_id"), F.asc_nulls_last("status"))
 
 
 def co_open_exposure(fact_co: DataFrame, snapshot_date: str) -> DataFrame:
@@ -87,13 +89,14 @@ def co_waterfall(fact_co: DataFrame) -> DataFrame:
 
 def cash_flow_forecast(fact_pay: DataFrame) -> DataFrame:
     """Per (building, period text, sequence): spend and payment sums (as loaded)."""
-    return fact_pay.groupBy("building_id", "period", "period_sequence").agg(
+    out = fact_pay.groupBy("building_id", "period", "period_sequence").agg(
         F.sum("work_completed_this_period").alias("monthly_spend"),
         F.sum("work_completed_to_date").alias("cumulative_spend"),
         F.sum("scheduled_value").alias("scheduled_value"),
         F.sum("retainage_held").alias("retainage_held"),
         F.sum("net_payment_due").alias("net_payment_due"),
     )
+    return out.orderBy(F.asc_nulls_last("building_id"), F.asc_nulls_last("period_sequence"), F.asc_nulls_last("period"))
 
 
 def cash_flow_by_period(fact_pay: DataFrame) -> DataFrame:
@@ -121,7 +124,9 @@ def pay_app_reconciliation(fact_pay: DataFrame) -> DataFrame:
         F.sum("retainage_held").alias("total_retainage"),
         F.sum("net_payment_due").alias("total_net_payment"),
     )
-    return g.withColumn("retainage_pct", pct("total_retainage", "total_certified", 2))
+    return g.withColumn("retainage_pct", pct("total_retainage", "total_certified", 2)).orderBy(
+        F.asc_nulls_last("building_id"), F.desc_nulls_last("total_billed"), F.asc_nulls_last("contractor_name")
+    )
 
 
 def pay_app_current_position(fact_pay: DataFrame) -> DataFrame:
