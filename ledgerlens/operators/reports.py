@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.common import pct, ratio
 from ..functions.dates import normalize_period, period_label
+from .sizing import materialize_small
 
 # ---------------------------------------------------------------- change orders
 
@@ -311,20 +312,26 @@ def schedule_slippage(fact_sched: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- star join
 
 
-def star_join_report(fact_co: DataFrame, dim_date: DataFrame, dim_building: DataFrame, dim_wbs: DataFrame) -> DataFrame:
+def star_join_report(fact_co: DataFrame, dim_date: DataFrame, dim_building: DataFrame, dim_wbs: DataFrame,
+                     max_dim_rows: int = 1_000_000) -> DataFrame:
     """Change orders through the date, building and WBS dimensions.
 
-    The fact joins ``dim_date`` on the integer ``date_key``; dimension sides
-    are small and derived, so AQE broadcasts them from their runtime size.
+    The fact joins ``dim_date`` on the integer ``date_key``.  Each dimension
+    (pruned to the join key and the attributes used) is materialised and
+    counted first; within ``max_dim_rows`` it is broadcast, so the fact is
+    never shuffled for the joins -- only its partial aggregate moves.
     """
     f = fact_co.select(
         "building_id", "wbs_code", "wbs_level_1", "cost_impact",
         F.date_format("submitted_date", "yyyyMMdd").cast("int").alias("date_key"),
     )
+    d_date = materialize_small(dim_date.select("date_key", "year", "quarter"), max_dim_rows)
+    d_bld = materialize_small(dim_building.select("building_id", "campus"), max_dim_rows)
+    d_wbs = materialize_small(dim_wbs.select("wbs_code", "wbs_level_1", "wbs_level_2"), max_dim_rows)
     j = (
-        f.join(dim_date.select("date_key", "year", "quarter"), "date_key", "left")
-        .join(dim_building.select("building_id", "campus"), "building_id", "left")
-        .join(dim_wbs.select("wbs_code", "wbs_level_1", F.col("wbs_level_2")), ["wbs_code", "wbs_level_1"], "left")
+        f.join(d_date, "date_key", "left")
+        .join(d_bld, "building_id", "left")
+        .join(d_wbs, ["wbs_code", "wbs_level_1"], "left")
     )
     return j.groupBy("year", "quarter", "campus", "building_id", "wbs_level_1").agg(
         F.count(F.lit(1)).alias("co_count"),

@@ -25,3 +25,21 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
 def broadcast_param_table(df: DataFrame, n_rows: int, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast a table built from a parameter list whose length is known."""
     return F.broadcast(df) if n_rows <= max_rows else df
+
+
+def materialize_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Materialise a side derived from big data, then broadcast it if it fits.
+
+    For a join of a big fact with a small *derived* side (a name map, a
+    dimension built from the facts), AQE can only switch to a broadcast
+    after both map stages ran -- the big side has then been shuffled
+    already.  Computing the small side first (reliable ``checkpoint()`` into
+    the session's checkpoint folder, so it survives executor loss and is not
+    recomputed) and counting it lets the join broadcast it without moving
+    the fact.  Above ``max_rows`` it stays a shuffle join.
+    """
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    staged = df.checkpoint(eager=True)
+    return broadcast_if_small(staged, max_rows)

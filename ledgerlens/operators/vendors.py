@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.common import as_col
 from ..functions.text import bigrams, max_edits, similarity, token_sort_key
-from .sizing import broadcast_param_table
+from .sizing import broadcast_param_table, materialize_small
 
 # The coded rule list of the source pipeline (upper-cased
 # substring -> canonical vendor), in its order; when several rules match,
@@ -146,14 +146,15 @@ def rule_hit(col: Column | str, rules: Sequence[tuple[str, str]] = DEFAULT_VENDO
 def vendor_fuzzy_match(df: DataFrame, column: str, output: str | None = None,
                        canonical: Sequence[str] | None = None,
                        rules: Sequence[tuple[str, str]] = DEFAULT_VENDOR_RULES,
-                       threshold: float = DEFAULT_FUZZY_THRESHOLD) -> DataFrame:
+                       threshold: float = DEFAULT_FUZZY_THRESHOLD, max_map_rows: int = 1_000_000) -> DataFrame:
     """Rules first; names no rule hits are fuzzy-matched to the canonical list.
 
     The canonical list defaults to the rule targets.  Names matched by neither
     keep their raw spelling.  Only the distinct rule-missed names are scored
-    (a partial-aggregated ``distinct``); the resulting small map is joined
-    back on the raw name -- AQE broadcasts it when its runtime size is small,
-    else it stays a shuffle join with skew splitting.
+    (a partial-aggregated ``distinct``).  The name map is materialised and
+    counted first (``materialize_small``): up to ``max_map_rows`` names it is
+    broadcast, so the rows are never shuffled; beyond that the join back is
+    a shuffle join (AQE splits a skewed vendor).
     """
     spark = df.sparkSession
     out = output or column
@@ -164,8 +165,11 @@ def vendor_fuzzy_match(df: DataFrame, column: str, output: str | None = None,
         .where(F.col("raw_name").isNotNull() & ~rule_hit("raw_name", rules))
         .distinct()
     )
-    name_map = fuzzy_name_map(missed, canon, threshold, n_canonical=len(canonical)).select(
-        F.col("raw_name").alias("__raw"), F.col("matched").alias("__fuzzy")
+    name_map = materialize_small(
+        fuzzy_name_map(missed, canon, threshold, n_canonical=len(canonical)).select(
+            F.col("raw_name").alias("__raw"), F.col("matched").alias("__fuzzy")
+        ),
+        max_map_rows,
     )
     joined = df.join(name_map, df[column] == name_map["__raw"], "left")
     cleaned = F.when(rule_hit(column, rules), rule_expr(column, rules)).otherwise(
