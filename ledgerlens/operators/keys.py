@@ -33,14 +33,18 @@ def dense_surrogate_key(df: DataFrame, order_by: Sequence[str | Column], key: st
                         num_partitions: int | None = None) -> DataFrame:
     """Append ``key`` = 1..N following ``order_by`` (ascending, nulls first).
 
-    Ties in ``order_by`` are numbered in an arbitrary order; pass a total
-    order for reproducible keys.
+    Ties in ``order_by`` are numbered in an arbitrary (hash) order; pass a
+    total order for reproducible keys.  Only exact duplicate rows share a
+    range partition.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    laid_out = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).checkpoint(eager=True)
+    # A hash of the whole row as last key spreads rows that tie on ``order_by``
+    # over partitions, so a hot key cannot pile into one range partition.
+    spread = cols + [F.xxhash64(*[F.col(c) for c in df.columns])]
+    laid_out = df.repartitionByRange(n, *spread).sortWithinPartitions(*spread).checkpoint(eager=True)
     tagged = laid_out.select(
         "*",
         F.spark_partition_id().alias("__pid"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import DATE_LAYOUTS
+from ..functions.dates import DATE_LAYOUTS, SENTINEL_DATE
 from ..sources import schemas as S
 from .clean import approval_dates, normalize_dates, variance_backfill
 from .evm import evm_row_metrics
@@ -116,8 +116,11 @@ def calendar_spanning(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     The span is one aggregate row computed on the cluster; the generator
     then explodes it.  Its size follows the date range, not the row count.
+    The open-item sentinel date is not a real date and is ignored.
     """
-    mins, maxs = [F.min(c) for c in columns], [F.max(c) for c in columns]
+    sentinel = F.lit(SENTINEL_DATE).cast("date")
+    real = {c: F.when(F.col(c) < sentinel, F.col(c)) for c in columns}
+    mins, maxs = [F.min(real[c]) for c in columns], [F.max(real[c]) for c in columns]
     lo = mins[0] if len(mins) == 1 else F.least(*mins)
     hi = maxs[0] if len(maxs) == 1 else F.greatest(*maxs)
     span = df.agg(lo.alias("s"), hi.alias("e")).where(F.col("s").isNotNull())

@@ -47,3 +47,23 @@ def test_scan_reads_only_needed_columns(spark):
     plan = _plan(df)
     assert "l_tax" not in plan and "l_returnflag" not in plan  # pruned lineitem columns
     assert "p_size" not in plan and "s_acctbal" not in plan
+
+
+def test_dense_key_spreads_a_hot_key(spark):
+    # a third of the rows share one order key: they must not land in one partition
+    df = spark.range(0, 30_000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+                                       F.col("id").alias("v"))
+    out = dense_surrogate_key(df, ["k"], key="sk", num_partitions=6)
+    rows = out.collect()
+    assert sorted(r.sk for r in rows) == list(range(1, 30_001))
+    hot = sorted(r.sk for r in rows if r.k == 0)
+    assert hot == list(range(1, 10_001))  # ties still come first, numbered densely
+    per_part = out.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert max(r["count"] for r in per_part) < 10_000
+
+
+def test_calendar_ignores_sentinel(spark):
+    from ledgerlens.operators.star import calendar_spanning
+    df = spark.createDataFrame([("2024-01-01", "9999-12-31"), ("2024-01-03", "2024-01-02")], "a string, b string") \
+        .select(F.col("a").cast("date").alias("a"), F.col("b").cast("date").alias("b"))
+    assert calendar_spanning(df, ["a", "b"]).count() == 3
