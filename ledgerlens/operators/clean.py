@@ -33,14 +33,15 @@ def normalize_periods(df: DataFrame, columns: Mapping[str, str],
 
 
 def approval_dates(df: DataFrame, submitted: str = "submitted_date", decided: str = "approved_date",
-                   lag: str = "co_approval_lag_days", sentinel: str = D.SENTINEL_DATE) -> DataFrame:
+                   lag: str = "co_approval_lag_days", sentinel: str = D.SENTINEL_DATE,
+                   layouts: Sequence[str] = D.DATE_LAYOUTS) -> DataFrame:
     """Clean both dates, put the sentinel on undecided items, derive the lag.
 
     A non-blank decision text that does not parse also becomes the sentinel
     (it is indistinguishable from an open item afterwards); ``null_profile``
     counts such rows so they are not lost silently.
     """
-    cleaned = normalize_dates(df, [submitted, decided])
+    cleaned = normalize_dates(df, [submitted, decided], layouts)
     return cleaned.withColumns({
         decided: D.sentinel_date(decided, sentinel),
     }).withColumn(lag, D.lag_days(decided, submitted, sentinel).cast("int"))

@@ -36,7 +36,7 @@ def fact_project_cost(raw: DataFrame, rules=DEFAULT_VENDOR_RULES, fuzzy: bool =
 
 def fact_change_orders(raw: DataFrame, layouts: Sequence[str] = DATE_LAYOUTS) -> DataFrame:
     """Change-order log -> fact: clean dates, sentinel for open items, approval lag."""
-    return _conform(approval_dates(raw), S.FACT_CHANGE_ORDERS)
+    return _conform(approval_dates(raw, layouts=layouts), S.FACT_CHANGE_ORDERS)
 
 
 SCHEDULE_DATES = ("planned_start", "planned_finish", "actual_start", "actual_finish")

@@ -599,9 +599,6 @@ FROM f LEFT JOIN cal ON f.date_key = cal.date_key
        LEFT JOIN wbs ON f.wbs_code = wbs.wbs_code AND f.wbs_level_1 = wbs.wbs_level_1
 GROUP BY ALL"""
 
-ANSWER_KEY = f"""{SUMMARY.replace('SELECT building_id, round', 'SELECT building_id, round', 1)}"""
-
-
 def _answer_key() -> str:
     summary = SUMMARY.split("\nSELECT building_id,", 1)
     base = summary[0]

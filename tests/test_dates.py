@@ -63,3 +63,13 @@ def test_sentinel_and_lag_buckets(spark):
     a = aging["Approved"]
     assert (a.co_count, a.bucket_0_15_days, a.bucket_16_30_days, a.bucket_30_plus_days) == (7, 2, 2, 1)
     assert aging["Pending"].bucket_0_15_days == 0 and aging["Pending"].avg_approval_lag is None
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.dates(min_value=dt.date(1900, 1, 1), max_value=dt.date(2099, 12, 31)), min_size=1, max_size=40))
+def test_every_layout_round_trips(spark, days):
+    fmts = ["%Y-%m-%d", "%m/%d/%Y", "%d-%b-%Y", "%m-%d-%Y"]
+    rows = [(i, d.strftime(fmts[i % 4])) for i, d in enumerate(days)]
+    df = spark.createDataFrame(rows, "i int, s string")
+    got = {r.i: r.d for r in df.select("i", D.normalize_date("s").alias("d")).collect()}
+    assert got == dict(enumerate(days))
