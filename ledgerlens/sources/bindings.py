@@ -11,7 +11,7 @@ Money is bound as bigint cents so sums are exact in every engine.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.sizing import broadcast_if_small
@@ -302,8 +302,6 @@ def pay_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
         month.alias("month"),
     ).agg(F.sum(cents(F.col("l_extendedprice"))).alias("this_period"))
 
-    from pyspark.sql import Window
-
     per = Window.partitionBy("region", "contractor")
     running = per.orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seq = (F.months_between(F.col("month"), F.lit(PAY_EPOCH).cast("date")).cast("int") + F.lit(1))
