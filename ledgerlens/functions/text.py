@@ -9,12 +9,16 @@ from .common import as_col
 
 
 def token_sort_key(col: Column | str) -> Column:
-    """Lower-case, punctuation to spaces, tokens sorted and re-joined.
+    """Lower-case, in-word punctuation dropped, other separators to spaces,
+    tokens sorted and re-joined.
 
     Word order and punctuation stop mattering: ``"Steel Works, Harbor"`` and
-    ``"harbor steel works"`` give the same key.
+    ``"harbor steel works"`` give the same key, and dotted initials collapse
+    (``"W.S.P. Global"`` -> ``"global wsp"``) while hyphens still separate
+    words (``"Granite-Civil"`` -> ``"civil granite"``).
     """
-    cleaned = F.trim(F.regexp_replace(F.lower(as_col(col)), r"[^a-z0-9]+", " "))
+    joined = F.regexp_replace(F.lower(as_col(col)), r"[.']", "")
+    cleaned = F.trim(F.regexp_replace(joined, r"[^a-z0-9]+", " "))
     tokens = F.filter(F.split(cleaned, " "), lambda t: t != F.lit(""))
     return F.array_join(F.array_sort(tokens), " ")
 

@@ -283,7 +283,8 @@ FROM t"""
 
 def _fuzzy_key(expr: str) -> str:
     return (
-        f"array_to_string(list_sort(string_split(trim(regexp_replace(lower({expr}), '[^a-z0-9]+', ' ', 'g')), ' ')), ' ')"
+        f"array_to_string(list_sort(string_split(trim(regexp_replace(regexp_replace(lower({expr}), '[.'']', '', 'g'), "
+        f"'[^a-z0-9]+', ' ', 'g')), ' ')), ' ')"
     )
 
 

@@ -34,9 +34,10 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, setting one only when unset.
 
-    The cluster's shared folder (``spark.checkpoint.dir``) wins; a private
-    temporary folder is created only when nothing is configured, as in
-    local tests.
+    The cluster's shared folder (``spark.checkpoint.dir``) wins.  A private
+    temporary folder is created only in local mode with nothing configured
+    (tests); on a cluster a machine-local folder would not be visible to the
+    other executors, so an unset folder is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -44,6 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
