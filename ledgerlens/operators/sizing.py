@@ -43,3 +43,17 @@ def materialize_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
     ensure_checkpoint_dir(df.sparkSession)
     staged = df.checkpoint(eager=True)
     return broadcast_if_small(staged, max_rows)
+
+
+def spread_narrow_input(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Hash-repartition an input that arrives in fewer partitions than the
+    cluster can run at once (e.g. one big row group or an unsplittable file).
+
+    Wide inputs (the normal case at scale: thousands of splits) are left
+    untouched, so no shuffle is added there.  Hashing on ``key`` keeps the
+    assignment deterministic when a task is retried.
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= n:
+        return df
+    return df.repartition(n, key) if key else df.repartition(n)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.sizing import broadcast_if_small
+from ..operators.sizing import broadcast_if_small, spread_narrow_input
 
 # Fixed values for the test bindings (invented names, not real vendors).
 CANONICAL_VENDORS: tuple[str, ...] = (
@@ -92,8 +92,14 @@ PAY_PERIOD_ALT = 3  # sequence % 10 < 3 -> 'MMMM yyyy'
 RETAINAGE_BREAK_MOD, RETAINAGE_ERROR = 23, 100
 
 
+# Fact-sized driver tables and the key to spread them on when they arrive narrow.
+SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = SPREAD_KEYS.get(name)
+    return spread_narrow_input(df, key) if key else df
 
 
 def cents(col: Column) -> Column:
