@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.common import pct, ratio
 from ..functions.dates import normalize_period, period_label
-from .sizing import materialize_small
+from .sizing import materialize_small_all
 
 # ---------------------------------------------------------------- change orders
 
@@ -325,9 +325,11 @@ def star_join_report(fact_co: DataFrame, dim_date: DataFrame, dim_building: Data
         "building_id", "wbs_code", "wbs_level_1", "cost_impact",
         F.date_format("submitted_date", "yyyyMMdd").cast("int").alias("date_key"),
     )
-    d_date = materialize_small(dim_date.select("date_key", "year", "quarter"), max_dim_rows)
-    d_bld = materialize_small(dim_building.select("building_id", "campus"), max_dim_rows)
-    d_wbs = materialize_small(dim_wbs.select("wbs_code", "wbs_level_1", "wbs_level_2"), max_dim_rows)
+    d_date, d_bld, d_wbs = materialize_small_all([
+        dim_date.select("date_key", "year", "quarter"),
+        dim_building.select("building_id", "campus"),
+        dim_wbs.select("wbs_code", "wbs_level_1", "wbs_level_2"),
+    ], max_dim_rows)
     j = (
         f.join(d_date, "date_key", "left")
         .join(d_bld, "building_id", "left")

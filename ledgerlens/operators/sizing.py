@@ -54,6 +54,24 @@ def spread_narrow_input(df: DataFrame, key: str | None = None, min_partitions: i
     assignment deterministic when a task is retried.
     """
     n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= n:
+    files = tuple(sorted(df.inputFiles()))
+    if files not in _SPLITS:
+        _SPLITS[files] = df.rdd.getNumPartitions()
+    if _SPLITS[files] >= n:
         return df
     return df.repartition(n, key) if key else df.repartition(n)
+
+
+_SPLITS: dict[tuple[str, ...], int] = {}  # input files -> scan partitions (planning-time, per process)
+
+
+def materialize_small_all(dfs: list[DataFrame], max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> list[DataFrame]:
+    """``materialize_small`` for several independent sides, submitted together.
+
+    Spark runs jobs from different driver threads concurrently, so the small
+    sides are computed side by side instead of one after another.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, len(dfs))) as pool:
+        return list(pool.map(lambda d: materialize_small(d, max_rows), dfs))
