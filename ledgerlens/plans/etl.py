@@ -93,3 +93,43 @@ def run(spark: SparkSession, raw_paths: Mapping[str, str], out_root: str, cfg: P
             files.write_jdbc(spark.read.parquet(path), jdbc["url"], name, jdbc["properties"],
                              num_partitions=jdbc.get("num_partitions"))
     return {"audit": audit, "paths": paths}
+
+
+def main(argv: Sequence[str] | None = None) -> None:
+    """``python -m ledgerlens.plans.etl --cost_ledger P --change_orders P --schedule P
+    --pay_applications P --out ROOT --campus C --client C --program_value N --snapshot YYYY-MM-DD``
+
+    Runs on the session the cluster provides (``getOrCreate``); JDBC loading
+    is enabled with ``--jdbc_url`` plus ``--jdbc_user`` and the name of an
+    environment variable holding the password (``--jdbc_password_env``).
+    """
+    import argparse
+    import json
+    import os
+
+    ap = argparse.ArgumentParser(description="raw exports -> star schema")
+    for name in RAW_SOURCES:
+        ap.add_argument(f"--{name}", required=True)
+    ap.add_argument("--out", required=True)
+    ap.add_argument("--campus", required=True)
+    ap.add_argument("--client", required=True)
+    ap.add_argument("--program_value", type=int, required=True)
+    ap.add_argument("--snapshot", required=True)
+    ap.add_argument("--rules_only", action="store_true", help="skip fuzzy vendor matching")
+    ap.add_argument("--jdbc_url")
+    ap.add_argument("--jdbc_user")
+    ap.add_argument("--jdbc_password_env")
+    ap.add_argument("--jdbc_partitions", type=int, default=8)
+    a = ap.parse_args(argv)
+    spark = SparkSession.builder.appName("ledgerlens-etl").getOrCreate()
+    cfg = ProgramConfig(a.campus, a.client, a.program_value, a.snapshot, fuzzy_vendors=not a.rules_only)
+    jdbc = None
+    if a.jdbc_url:
+        props = {"user": a.jdbc_user or "", "password": os.environ.get(a.jdbc_password_env or "", "")}
+        jdbc = {"url": a.jdbc_url, "properties": props, "num_partitions": a.jdbc_partitions}
+    res = run(spark, {n: getattr(a, n) for n in RAW_SOURCES}, a.out, cfg, jdbc)
+    print(json.dumps(res["audit"]))
+
+
+if __name__ == "__main__":
+    main()

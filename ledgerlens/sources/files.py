@@ -5,19 +5,25 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .schemas import STAR_TABLES
 
 
-def read_csv_typed(spark: SparkSession, path: str, schema: StructType, **options) -> DataFrame:
+def read_csv_typed(spark: SparkSession, path: str, schema: StructType, corrupt_column: str | None = None,
+                   **options) -> DataFrame:
     """Header CSV -> typed DataFrame with a declared schema (no inference scan).
 
     Empty fields become null.  ``PERMISSIVE`` keeps malformed rows with nulls
-    in the unreadable fields instead of failing the job.
+    in the unreadable fields instead of failing the job; with
+    ``corrupt_column`` the raw text of such rows is kept in that column so
+    they can be counted and inspected.  Files stay splittable (no multiLine).
     """
     opts = {"header": "true", "mode": "PERMISSIVE", "nullValue": "", "emptyValue": "",
             "encoding": "UTF-8", "multiLine": "false"}
+    if corrupt_column:
+        opts["columnNameOfCorruptRecord"] = corrupt_column
+        schema = StructType(schema.fields + [StructField(corrupt_column, StringType(), True)])
     opts.update(options)
     return spark.read.schema(schema).options(**opts).csv(path)
 
