@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.common import pct, ratio
-from ..functions.dates import normalize_period, period_label
+from ..functions.dates import period_label
 from .sizing import materialize_small_all
 
 # ---------------------------------------------------------------- change orders

@@ -2,7 +2,8 @@
 
 Each entry is ``fn(spark, sf_dir) -> DataFrame``: it binds the driver tables
 to the export shapes (``sources.bindings``), runs the operator and returns
-the result unsorted (except top-k, where order is the feature).
+its result (ordered only where the operator orders: the source's coded
+reports and top-k).
 """
 
 from __future__ import annotations

@@ -3,7 +3,6 @@
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from ledgerlens.operators import evm, reports

@@ -1,7 +1,6 @@
 """Report semantics on hand-made rows: latest position, retainage audit, top-k ties,
 waterfall / S-curve invariants, drill-through ranks."""
 
-from pyspark.sql import functions as F
 
 from ledgerlens.operators import reports, star
 

@@ -1,10 +1,8 @@
 """Vendor rules (priority), fuzzy threshold, and exactness of the bigram candidate search."""
 
-import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from ledgerlens.operators.vendors import canonical_table, fuzzy_name_map, vendor_fuzzy_match, vendor_rule_map
 
