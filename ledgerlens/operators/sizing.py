@@ -55,9 +55,13 @@ def spread_narrow_input(df: DataFrame, key: str | None = None, min_partitions: i
     """
     n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     files = tuple(sorted(df.inputFiles()))
-    if files not in _SPLITS:
-        _SPLITS[files] = df.rdd.getNumPartitions()
-    if _SPLITS[files] >= n:
+    if not files:
+        splits = df.rdd.getNumPartitions()
+    else:
+        if files not in _SPLITS:
+            _SPLITS[files] = df.rdd.getNumPartitions()
+        splits = _SPLITS[files]
+    if splits >= n:
         return df
     return df.repartition(n, key) if key else df.repartition(n)
 

@@ -67,3 +67,26 @@ def test_calendar_ignores_sentinel(spark):
     df = spark.createDataFrame([("2024-01-01", "9999-12-31"), ("2024-01-03", "2024-01-02")], "a string, b string") \
         .select(F.col("a").cast("date").alias("a"), F.col("b").cast("date").alias("b"))
     assert calendar_spanning(df, ["a", "b"]).count() == 3
+
+
+def test_fuzzy_match_does_not_shuffle_the_rows(spark):
+    df = E.queries()["vendor_fuzzy_match"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # the name map is broadcast; no hash exchange on the raw vendor name feeds the join
+    assert "BroadcastHashJoin" in plan
+    assert "hashpartitioning(vendor_raw" not in plan
+
+
+def test_star_join_broadcasts_dimensions(spark):
+    df = E.queries()["star_join_report"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 3
+    assert "SortMergeJoin" not in plan
+
+
+def test_spread_only_narrow_inputs(spark):
+    from ledgerlens.operators.sizing import spread_narrow_input
+    wide = spark.range(0, 1000, 1, 64)
+    assert spread_narrow_input(wide, min_partitions=8) is wide
+    narrow = spark.range(0, 1000, 1, 1)
+    assert spread_narrow_input(narrow, "id", min_partitions=8).rdd.getNumPartitions() == 8
