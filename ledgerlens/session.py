@@ -13,6 +13,15 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+def _driver_memory() -> str:
+    """60 % of physical memory, at most 8 GiB (local mode: the driver is the executor)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(1, min(8, int(total * 0.6 / 2**30)))}g"
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app_name: str = "ledgerlens") -> SparkSession:
     master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
@@ -26,7 +35,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", _driver_memory())
         .getOrCreate()
     )
 
