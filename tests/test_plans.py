@@ -90,3 +90,18 @@ def test_spread_only_narrow_inputs(spark):
     assert spread_narrow_input(wide, min_partitions=8) is wide
     narrow = spark.range(0, 1000, 1, 1)
     assert spread_narrow_input(narrow, "id", min_partitions=8).rdd.getNumPartitions() == 8
+
+
+def test_hot_building_is_combined_map_side(spark):
+    # a third of the rows in one building: the plan aggregates partially before the exchange
+    df = spark.range(0, 30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("B"), (F.col("id") % 50).cast("string")))
+        .alias("building_id"),
+        F.lit(100).cast("bigint").alias("approved_budget"), F.lit(10).cast("bigint").alias("actual_cost_to_date"),
+        F.lit(9).cast("bigint").alias("earned_value"), F.lit(11).cast("bigint").alias("planned_value"))
+    from ledgerlens.operators.evm import evm_summary_by_building
+    out = evm_summary_by_building(df)
+    plan = _plan(out)
+    assert "partial_sum" in plan
+    hot = [r for r in out.collect() if r.building_id == "HOT"][0]
+    assert hot.total_budget == 10_000 * 100 and hot.cpi == 0.9
