@@ -53,14 +53,17 @@ def spread_narrow_input(df: DataFrame, key: str | None = None, min_partitions: i
     untouched, so no shuffle is added there.  Hashing on ``key`` keeps the
     assignment deterministic when a task is retried.
     """
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    files = tuple(sorted(df.inputFiles()))
-    if not files:
-        splits = df.rdd.getNumPartitions()
-    else:
-        if files not in _SPLITS:
-            _SPLITS[files] = df.rdd.getNumPartitions()
-        splits = _SPLITS[files]
+    try:
+        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        files = tuple(sorted(df.inputFiles()))
+        if not files:
+            splits = df.rdd.getNumPartitions()
+        else:
+            if files not in _SPLITS:
+                _SPLITS[files] = df.rdd.getNumPartitions()
+            splits = _SPLITS[files]
+    except Exception:  # e.g. a Spark Connect session: no RDD view; leave the input as is
+        return df
     if splits >= n:
         return df
     return df.repartition(n, key) if key else df.repartition(n)

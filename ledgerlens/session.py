@@ -48,7 +48,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     (tests); on a cluster a machine-local folder would not be visible to the
     other executors, so an unset folder is an error there.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
