@@ -67,6 +67,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-path of the checkpoint folder for staged tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
+    if not base:
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return f"{base}/{name}-{os.getpid()}-{next(_SEQ)}"
 
 
