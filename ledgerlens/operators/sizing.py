@@ -1,12 +1,17 @@
-"""Broadcast only what is proven small.
-
-``broadcast_if_small`` counts at most ``max_rows + 1`` rows of a side (a
-``limit`` job that stops early) and hints a broadcast only when the side
-fits; otherwise the join stays a shuffle join, which AQE may still turn
-into a broadcast at run time from real shuffle sizes.  Use it for sides
-whose scan is cheap (dimension files, parameter tables).  For sides derived
-from a big fact (distinct names, per-key maps) do not call it: the check
-would cost a full scan, and AQE's runtime conversion already sizes them.
+"""Sizing decisions: broadcast only what is proven or checked small.
+
+* ``broadcast_param_table`` -- tables built from a parameter list (known length).
+* ``broadcast_if_small`` -- counts at most ``max_rows + 1`` rows of a cheap
+  side (a ``limit`` job that stops early) and hints a broadcast only when it
+  fits; otherwise the join stays a shuffle join.
+* ``materialize_small`` / ``materialize_small_all`` -- for a small side
+  *derived* from big data (a distinct-name map, a dimension built from
+  facts): materialise it once (reliable checkpoint), then size-check it, so
+  the big side is never shuffled just to meet it.
+* ``spread_narrow_input`` -- give an input that arrives in too few
+  partitions the cluster's parallelism; a no-op for wide inputs.
+
+Fixed-size tables (TPC-H nation / region) are hinted directly by the caller.
 """
 
 from __future__ import annotations
