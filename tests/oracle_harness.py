@@ -28,7 +28,7 @@ def _norm(v, float_digits):
     if isinstance(v, float):
         if v != v:
             return "nan"
-        return round(v, float_digits) if float_digits is not None else v
+        return round(v, float_digits) if float_digits is not None else repr(v)  # repr keeps -0.0 apart
     if isinstance(v, decimal.Decimal):
         return float(v)
     if isinstance(v, _dt.datetime):
