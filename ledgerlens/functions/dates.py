@@ -67,6 +67,15 @@ def normalize_date(col: Column | str, layouts: Sequence[str] = DATE_LAYOUTS) ->
     return F.coalesce(*[F.when(c.rlike(layout_guard(fmt)), F.try_to_date(c, fmt)) for fmt in layouts])
 
 
+def layout_index(col: Column | str, layouts: Sequence[str] = DATE_LAYOUTS) -> Column:
+    """0-based index of the first layout that parses the text (null if none)."""
+    c = F.trim(as_col(col))
+    return F.coalesce(*[
+        F.when(c.rlike(layout_guard(fmt)) & F.try_to_date(c, fmt).isNotNull(), F.lit(i))
+        for i, fmt in enumerate(layouts)
+    ])
+
+
 def normalize_period(col: Column | str, layouts: Sequence[str] = PERIOD_LAYOUTS) -> Column:
     """Period text -> first day of that month (DATE)."""
     return F.trunc(normalize_date(col, layouts), "month")

@@ -135,7 +135,7 @@ co_raw AS (
          CASE WHEN status IN ('Pending', 'Under Review') THEN NULL
               WHEN okey % {B.APPROVED_JUNK_MOD} = 0 THEN {_q(B.JUNK_TEXT)}
               ELSE {_dirty_date('dec_true', 'okey', 1)} END AS approved_date,
-         status, cost_impact, schedule_impact_days, responsible_party, building_id, wbs_code, wbs_level_1
+         status, cost_impact, schedule_impact_days, responsible_party, building_id, wbs_code, wbs_level_1, okey
   FROM co_base
 ),
 co_fact0 AS (
@@ -314,6 +314,24 @@ SELECT cost_key, vendor_name AS vendor_raw,
 FROM cost_raw LEFT JOIN best ON cost_raw.vendor_name = best.raw"""
 
 
+# The binding renders dates in the first four layouts by key residue; the
+# month-only layouts never occur, so their counts are 0.
+def _layout_counts():
+    from ..functions.dates import DATE_LAYOUTS
+
+    sub_ok = f"okey % {B.BLANK_MOD} <> 0 AND okey % {B.JUNK_MOD} <> 0"
+    dec_ok = f"status NOT IN ('Pending', 'Under Review') AND okey % {B.APPROVED_JUNK_MOD} <> 0 AND {sub_ok}"
+    out = []
+    for i, fmt in enumerate(DATE_LAYOUTS):
+        if i < 4:
+            out.append(("submitted_date", f"layout {fmt}", f"{sub_ok} AND okey % 4 = {i}"))
+            out.append(("approved_date", f"layout {fmt}", f"{dec_ok} AND (okey + 1) % 4 = {i}"))
+        else:
+            out.append(("submitted_date", f"layout {fmt}", "FALSE"))
+            out.append(("approved_date", f"layout {fmt}", "FALSE"))
+    return out
+
+
 def _profile(source: str, table: str, cols, extra) -> str:
     parts = [
         f"SELECT {_q(source)} AS source, {_q(c)} AS column_name, 'nulls' AS metric, "
@@ -348,7 +366,8 @@ NULL_PROFILE = (
     + " UNION ALL "
     + _profile("change_orders", "co_raw", CO_RAW_COLS,
                [("submitted_date", "unparseable", f"submitted_date = {_q(B.JUNK_TEXT)}"),
-                ("approved_date", "unparseable", f"approved_date = {_q(B.JUNK_TEXT)}")])
+                ("approved_date", "unparseable", f"approved_date = {_q(B.JUNK_TEXT)}")]
+               + _layout_counts())
 )
 
 AUDIT = (
@@ -621,7 +640,7 @@ FROM long"""
 
 
 ORACLE_SQL: dict[str, str] = {
-    "csv_ingest_typed": f"{CO} SELECT * FROM co_raw",
+    "csv_ingest_typed": f"{CO} SELECT {', '.join(CO_RAW_COLS)} FROM co_raw",
     "source_row_audit": AUDIT,
     "sink_overwrite_roundtrip": f"{COST} SELECT {FACT_COST_COLS} FROM cost_fact",
     "normalize_date": f"{CO} SELECT change_order_id, {_clean_date('sub_true', 'okey')} AS submitted_date, "

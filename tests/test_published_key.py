@@ -62,3 +62,18 @@ def test_change_order_and_schedule_cleaning(spark):
                F.count_if(F.col("actual_finish").isNull()).alias("f"),
                F.count_if(F.col("planned_start").isNull()).alias("p")).collect()[0]
     assert (s.a, s.f, s.p) == (45, 60, 0)
+
+
+# How the 148 change-order submission dates are written.
+SUBMITTED_LAYOUTS = {"yyyy-MM-dd": 40, "MM/dd/yyyy": 33, "dd-MMM-yyyy": 33, "MM-dd-yyyy": 42,
+                     "MMM-yyyy": 0, "yyyy-MM": 0}
+
+
+def test_layout_census(spark):
+    from ledgerlens.operators.clean import null_profile
+    src = _sources()
+    raw = files.read_csv_typed(spark, src["change_orders"], RAW_SOURCES["change_orders"])
+    prof = {r.metric: r.value for r in null_profile(raw, "co", date_columns=["submitted_date"]).collect()
+            if r.column_name == "submitted_date"}
+    assert {m[len("layout "):]: v for m, v in prof.items() if m.startswith("layout ")} == SUBMITTED_LAYOUTS
+    assert prof["unparseable"] == 0 and prof["nulls"] == 0
