@@ -2,7 +2,7 @@
 
 Each query is executed in full with a ``noop`` sink (no collect to the
 driver).  One warm-up of the flagship query first; then each query is run
-``$BENCH_REPEAT`` times (default 1) and the median is reported.  Prints one
+``$BENCH_REPEAT`` times (default 3) and the median is reported.  Prints one
 JSON line.
 """
 
@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "1"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     only = [a for a in sys.argv[1:]]
 
     from ledgerlens.session import build_session
