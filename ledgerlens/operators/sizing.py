@@ -85,5 +85,9 @@ def materialize_small_all(dfs: list[DataFrame], max_rows: int = DEFAULT_MAX_BROA
     """
     from concurrent.futures import ThreadPoolExecutor
 
+    from ..session import ensure_checkpoint_dir
+
+    if dfs:
+        ensure_checkpoint_dir(dfs[0].sparkSession)  # once, before the threads start
     with ThreadPoolExecutor(max_workers=max(1, len(dfs))) as pool:
         return list(pool.map(lambda d: materialize_small(d, max_rows), dfs))
