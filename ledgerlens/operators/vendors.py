@@ -7,12 +7,13 @@ than shuffling a fact table to join it against a mapping.
 ``vendor_fuzzy_match`` handles what the rules miss.  It works on the
 *distinct* raw names only, and finds candidates without a cross product:
 names and canonical keys are exploded into character bigrams and equi-joined
-on the bigram.  The q-gram count bound makes this exact -- a pair within
-``k`` edits shares at least ``max(len) - 1 - 2k`` bigrams, which is positive
-for every pair scoring >= ``threshold`` (k <= 15 % of the length) -- so
-no pair that could pass is skipped.  Survivors are scored with
-``levenshtein`` and the best canonical per name is kept (``max_by``), then
-the small name map joins back to the rows.
+on the bigram (keys shorter than two characters act as one marked token).
+The q-gram count bound makes this exact -- a pair within ``k`` edits shares
+at least ``max(len) - 1 - 2k`` bigrams, which is positive for every pair
+that can reach a threshold above 50 (``k < len / 2``) -- so no pair that
+could pass is skipped; lower thresholds are refused.  Survivors are scored
+with ``levenshtein`` and the best canonical per name is kept (``max_by``),
+then the small name map joins back to the rows.
 """
 
 from __future__ import annotations
