@@ -30,3 +30,18 @@ def test_new_files_taken_once(spark):
     cfg = ProgramConfig("Campus", "Owner", 1, "2001-12-31", vendor_rules=B.BINDING_VENDOR_RULES, fuzzy_vendors=False)
     paths = refresh_star(spark, landed, os.path.join(root, "star"), cfg)
     assert spark.read.parquet(paths["fact_change_orders"]).count() == 2 * counts["change_orders"]
+
+
+def test_malformed_file_does_not_stop_the_stream(spark):
+    from ledgerlens.sources.schemas import RAW_CHANGE_ORDERS
+    root = tempfile.mkdtemp(prefix="ledgerlens-landing-bad-")
+    land = os.path.join(root, "co")
+    os.makedirs(land)
+    header = ",".join(RAW_CHANGE_ORDERS.fieldNames())
+    with open(os.path.join(land, "a.csv"), "w") as fh:
+        fh.write(header + "\n" + "CO-1,OCO,x,2024-01-05,,Pending,12.5,3,Owner,BLD-A,01.10,01\n"
+                 + "CO-2,OCO,x,2024-01-05,,Pending,not-a-number,zz,Owner,BLD-A,01.10,01\n")
+    taken = land_new_exports(spark, {"change_orders": land}, os.path.join(root, "landed"), os.path.join(root, "ck"))
+    assert taken == {"change_orders": 2}
+    rows = {r.change_order_id: r for r in spark.read.parquet(os.path.join(root, "landed", "change_orders")).collect()}
+    assert rows["CO-1"].cost_impact == 12.5 and rows["CO-2"].cost_impact is None
