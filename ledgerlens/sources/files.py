@@ -46,12 +46,18 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     w.parquet(path)
 
 
-def write_star(tables: Mapping[str, DataFrame], root: str, mode: str = "overwrite") -> dict[str, str]:
-    """Write every star table under ``root/<name>``; returns name -> path."""
+def write_star(tables: Mapping[str, DataFrame], root: str, mode: str = "overwrite",
+               partition_by: Mapping[str, list[str]] | None = None) -> dict[str, str]:
+    """Write every star table under ``root/<name>``; returns name -> path.
+
+    ``partition_by`` maps a table name to its directory partition columns
+    (e.g. facts by ``building_id``), so a report sliced to one building
+    reads only that building's files (partition pruning).
+    """
     paths = {}
     for name, df in tables.items():
         path = f"{root.rstrip('/')}/{name}"
-        write_table(df, path, mode)
+        write_table(df, path, mode, partition_by=(partition_by or {}).get(name))
         paths[name] = path
     return paths
 
@@ -60,7 +66,8 @@ def read_star(spark: SparkSession, root: str, names=None, register_views: bool =
     """Read star tables back (optionally registering temp views for SQL)."""
     out = {}
     for name in names or STAR_TABLES:
-        df = spark.read.schema(STAR_TABLES[name]).parquet(f"{root.rstrip('/')}/{name}")
+        schema = STAR_TABLES[name]  # declared types also for directory partition columns
+        df = spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{name}").select(*schema.fieldNames())
         if register_views:
             df.createOrReplaceTempView(name)
         out[name] = df
