@@ -19,7 +19,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.dates import SENTINEL_DATE
 from ..operators import clean, star
 from ..operators.vendors import DEFAULT_VENDOR_RULES
 from ..sources import files
@@ -64,13 +66,23 @@ def build_facts(raw: Mapping[str, DataFrame], cfg: ProgramConfig) -> dict[str, D
     }
 
 
+def _date_span(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: earliest and latest real date over ``columns`` (one aggregate job)."""
+    sentinel = F.lit(SENTINEL_DATE).cast("date")
+    real = [F.when(F.col(c) < sentinel, F.col(c)) for c in columns]
+    return df.agg(F.least(*[F.min(r) for r in real]).alias("lo"), F.greatest(*[F.max(r) for r in real]).alias("hi"))
+
+
 def build_dims(spark: SparkSession, facts: Mapping[str, DataFrame], cfg: ProgramConfig) -> dict[str, DataFrame]:
     cost, co = facts["fact_project_cost"], facts["fact_change_orders"]
     sched, pay = facts["fact_schedule"], facts["fact_pay_applications"]
     if cfg.calendar_start and cfg.calendar_end:
         dim_date = star.calendar(spark, cfg.calendar_start, cfg.calendar_end)
-    else:
-        dim_date = star.calendar_spanning(sched, ["planned_start", "planned_finish"])
+    else:  # every date any fact carries (the open-item sentinel is ignored)
+        dim_date = star.calendar_spanning(
+            _date_span(co, ["submitted_date", "approved_date"]).unionByName(_date_span(sched, star.SCHEDULE_DATES)),
+            ["lo", "hi"],
+        )
     return {
         "dim_building": star.dim_building([cost, co, sched, pay], cfg.campus, cfg.client, cfg.program_value_usd,
                                           cfg.snapshot_date),

@@ -77,3 +77,21 @@ def test_building_slice_prunes_partitions(spark):
     assert "PartitionFilters: [isnotnull(building_id" in plan and "BLD-1" in plan
     full = {r.building_id: r for r in evm.evm_summary_by_building(star["fact_project_cost"]).collect()}
     assert one.collect()[0] == full["BLD-1"]
+
+
+def test_etl_calendar_covers_all_fact_dates(spark):
+    from pyspark.sql import functions as F
+    root = tempfile.mkdtemp(prefix="ledgerlens-etl4-")
+    raw_paths = {}
+    for name, fn in B.BINDINGS.items():
+        raw_paths[name] = os.path.join(root, "raw", name)
+        files.write_csv(fn(spark, SF_SMALL), raw_paths[name])
+    cfg = ProgramConfig("Campus", "Owner", 1, "2001-12-31", vendor_rules=B.BINDING_VENDOR_RULES, fuzzy_vendors=False)
+    run(spark, raw_paths, os.path.join(root, "star"), cfg)
+    star = files.read_star(spark, os.path.join(root, "star"), register_views=False)
+    cal = star["dim_date"].agg(F.min("full_date"), F.max("full_date"), F.count(F.lit(1))).collect()[0]
+    co = star["fact_change_orders"].where(F.col("approved_date") < F.lit("9999-12-31").cast("date"))
+    lo = min(co.agg(F.min("submitted_date")).collect()[0][0], star["fact_schedule"].agg(F.min("planned_start")).collect()[0][0])
+    hi = max(co.agg(F.max("approved_date")).collect()[0][0], star["fact_schedule"].agg(F.max("actual_finish")).collect()[0][0])
+    assert cal[0] <= lo and cal[1] >= hi and cal[1].year < 9999
+    assert cal[2] == (cal[1] - cal[0]).days + 1
