@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.common import as_col
 from ..functions.text import bigrams, max_edits, similarity, token_sort_key
-from .sizing import broadcast_param_table, materialize_small
+from .sizing import broadcast_if_small, materialize_small
 
 # The coded rule list of the source pipeline (upper-cased
 # substring -> canonical vendor), in its order; when several rules match,
@@ -95,18 +95,16 @@ def _grams(key: Column) -> Column:
     return F.when(F.length(key) >= 2, bigrams(key)).otherwise(F.array(F.concat(F.lit("\u0000"), key)))
 
 
-def fuzzy_name_map(names: DataFrame, canon: DataFrame, threshold: float = DEFAULT_FUZZY_THRESHOLD,
-                   n_canonical: int | None = None) -> DataFrame:
+def fuzzy_name_map(names: DataFrame, canon: DataFrame, threshold: float = DEFAULT_FUZZY_THRESHOLD) -> DataFrame:
     """Best canonical per distinct raw name: (raw_name, matched, score).
 
     ``names`` has one column ``raw_name`` (distinct).  Exact on the score: see
     module docstring.  Ties on score go to the earliest canonical entry.  The
     names side is read once: keys, lengths and gram counts travel together
-    through the candidate join; the canonical side (a parameter list) is
-    broadcast.
+    through the candidate join; the canonical side (built from a parameter
+    list) is broadcast after a size check.
     """
     _check_threshold(threshold)
-    n_bound = n_canonical if n_canonical is not None else 1_000_000
     name_key = token_sort_key("raw_name")
     name_grams = (
         names.select("raw_name", name_key.alias("name_key"))
@@ -114,10 +112,10 @@ def fuzzy_name_map(names: DataFrame, canon: DataFrame, threshold: float = DEFAUL
                 F.explode(_grams(F.col("name_key"))).alias("gram"))
         .groupBy("raw_name", "name_key", "name_len", "gram").agg(F.count(F.lit(1)).alias("n_a"))
     )
-    canon_grams = broadcast_param_table(
+    # Built from the parameter list, so counting it is cheap: a real size check.
+    canon_grams = broadcast_if_small(
         canon.select("canon_id", "canonical", "canon_key", "canon_len", F.explode(_grams(F.col("canon_key"))).alias("gram"))
-        .groupBy("canon_id", "canonical", "canon_key", "canon_len", "gram").agg(F.count(F.lit(1)).alias("n_b")),
-        n_bound * 64,
+        .groupBy("canon_id", "canonical", "canon_key", "canon_len", "gram").agg(F.count(F.lit(1)).alias("n_b"))
     )
     cands = (
         name_grams.join(canon_grams, "gram")
@@ -167,7 +165,7 @@ def vendor_fuzzy_match(df: DataFrame, column: str, output: str | None = None,
         .distinct()
     )
     name_map = materialize_small(
-        fuzzy_name_map(missed, canon, threshold, n_canonical=len(canonical)).select(
+        fuzzy_name_map(missed, canon, threshold).select(
             F.col("raw_name").alias("__raw"), F.col("matched").alias("__fuzzy")
         ),
         max_map_rows,
