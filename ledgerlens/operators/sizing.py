@@ -1,9 +1,9 @@
 """Sizing decisions: broadcast only what is proven or checked small.
 
-* ``broadcast_param_table`` -- tables built from a parameter list (known length).
 * ``broadcast_if_small`` -- counts at most ``max_rows + 1`` rows of a cheap
-  side (a ``limit`` job that stops early) and hints a broadcast only when it
-  fits; otherwise the join stays a shuffle join.
+  side (a ``limit`` job that stops early; e.g. a table built from a
+  parameter list) and hints a broadcast only when it fits; otherwise the
+  join stays a shuffle join.
 * ``materialize_small`` / ``materialize_small_all`` -- for a small side
   *derived* from big data (a distinct-name map, a dimension built from
   facts): materialise it once (reliable checkpoint), then size-check it, so
@@ -27,11 +27,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
     return F.broadcast(df) if n <= max_rows else df
 
 
-def broadcast_param_table(df: DataFrame, n_rows: int, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a table built from a parameter list whose length is known."""
-    return F.broadcast(df) if n_rows <= max_rows else df
-
-
 def materialize_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Materialise a side derived from big data, then broadcast it if it fits.
 
