@@ -7,6 +7,7 @@ and command-line runs.  On a cluster the session comes from the caller and
 
 from __future__ import annotations
 
+import itertools
 import os
 import tempfile
 
@@ -72,11 +73,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{os.getpid()}-{next(_SEQ)}"
 
 
-def _counter():
-    n = 0
-    while True:
-        n += 1
-        yield n
-
-
-_SEQ = _counter()
+_SEQ = itertools.count(1)  # thread-safe in CPython (next() is atomic)
