@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators: cleaning, vendor matching, EVM, star builders, reports, sizing."""

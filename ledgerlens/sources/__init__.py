@@ -1,0 +1 @@
+"""Raw export schemas, typed CSV ingest, star-table sinks, and the test-input bindings."""

@@ -1,0 +1 @@
+"""Structured Streaming: exactly-once pickup of newly landed raw exports."""
