@@ -35,3 +35,18 @@ def test_reports_on_empty_facts(spark):
     assert evm.evm_cube(cost).count() == 0
     assert reports.cost_variance_by_wbs(cost).count() == 0
     assert reports.variance_drill_through(cost, top_k=3).count() == 0
+
+
+def test_small_side_over_the_bound_falls_back_to_shuffle_join(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerlens.operators.sizing import materialize_small
+
+    big = spark.range(0, 5000).select((F.col("id") % 50).alias("k"), F.col("id").alias("v"))
+    side = spark.range(0, 50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    hinted = materialize_small(side, max_rows=10)  # 50 rows > 10: no broadcast hint
+    j = big.join(hinted, "k")
+    assert "broadcast" not in hinted._jdf.queryExecution().analyzed().toString().lower()
+    assert j.count() == 5000 and j.agg(F.sum("w")).collect()[0][0] == sum((i % 50) * 10 for i in range(5000))
+    small = materialize_small(side, max_rows=100)
+    assert "BroadcastHashJoin" in big.join(small, "k")._jdf.queryExecution().executedPlan().toString()
