@@ -29,3 +29,15 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) > 0
     assert df.columns[:3] == ["building_id", "cpi", "spi"]
+
+
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
+
+
+@pytest.mark.parametrize("key", KEYS)
+def test_query_types_match_oracle(spark, con, key):
+    sdf = E.queries()[key](spark, SF_SMALL)
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    rel = con.sql(E.oracle_sql()[key])
+    d_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert s_types == d_types
