@@ -39,12 +39,15 @@ def dense_surrogate_key(df: DataFrame, order_by: Sequence[str | Column], key: st
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
     # A hash of the whole row as last key spreads rows that tie on ``order_by``
     # over partitions, so a hot key cannot pile into one range partition.
     spread = cols + [F.xxhash64(*[F.col(c) for c in df.columns])]
-    laid_out = df.repartitionByRange(n, *spread).sortWithinPartitions(*spread).checkpoint(eager=True)
+    # Without an explicit count AQE sizes the range exchange from the data
+    # (a 26-row dimension gets one partition, not spark.sql.shuffle.partitions);
+    # it merges only adjacent ranges, so the global order is kept.
+    ranged = df.repartitionByRange(num_partitions, *spread) if num_partitions else df.repartitionByRange(*spread)
+    laid_out = ranged.sortWithinPartitions(*spread).checkpoint(eager=True)
     tagged = laid_out.select(
         "*",
         F.spark_partition_id().alias("__pid"),

@@ -105,3 +105,13 @@ def test_hot_building_is_combined_map_side(spark):
     assert "partial_sum" in plan
     hot = [r for r in out.collect() if r.building_id == "HOT"][0]
     assert hot.total_budget == 10_000 * 100 and hot.cpi == 0.9
+
+
+def test_dense_key_default_width_follows_the_data(spark):
+    df = spark.createDataFrame([(f"v{i:02d}",) for i in range(26)], "k string")
+    out = dense_surrogate_key(df, ["k"], key="sk")
+    assert out.rdd.getNumPartitions() <= 2  # not spark.sql.shuffle.partitions empty tasks
+    assert [r.sk for r in out.orderBy("k").collect()] == list(range(1, 27))
+    big = spark.range(0, 200_000, 1, 8).select((F.col("id") * 7919 % 200_000).alias("k"))
+    rows = dense_surrogate_key(big, ["k"], key="sk").select("sk", "k").collect()
+    assert all(r.sk == r.k + 1 for r in rows) and len(rows) == 200_000
