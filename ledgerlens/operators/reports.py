@@ -241,6 +241,9 @@ def variance_matrix(fact_cost: DataFrame, buildings: Sequence[str], overrun_pct:
     on the row total: ``overrun`` below ``overrun_pct`` %, ``watch`` below 0,
     else ``ok``.
     """
+    names = [_safe_name(b) for b in buildings]
+    if len(set(names)) != len(names):
+        raise ValueError(f"building ids collide after making column names: {list(buildings)}")
     p = fact_cost.groupBy("wbs_level_1").pivot("building_id", list(buildings)).agg(
         F.sum("variance").alias("v"), F.sum("approved_budget").alias("b")
     )

@@ -63,3 +63,9 @@ def test_open_exposure_ages(spark):
     r = reports.co_open_exposure(df, "2024-01-10").collect()[0]
     assert (r.open_count, r.open_cost_impact, r.age_0_15_days, r.age_30_plus_days, r.age_unknown) == (3, 16.0, 1, 1, 1)
     assert r.max_days_outstanding == 40
+
+
+def test_variance_matrix_rejects_colliding_names(spark):
+    df = spark.createDataFrame([("W", "BLD-1", 1, 1)], "wbs_level_1 string, building_id string, variance bigint, approved_budget bigint")
+    with pytest.raises(ValueError):
+        reports.variance_matrix(df, ["BLD-1", "BLD_1"])
