@@ -64,12 +64,14 @@ def ratios_from_totals(df: DataFrame) -> DataFrame:
     })
 
 
-def evm_summary_by_building(fact: DataFrame, key: str = "building_id") -> DataFrame:
-    """Per building: cpi, spi (3 dp), eac, vac (0 dp) + budget / AC / EV totals."""
-    totals = summed_components(fact, [key])
+def evm_summary_by_building(fact: DataFrame, key: str | Sequence[str] = "building_id") -> DataFrame:
+    """Per building (or any slice given as one or more key columns): cpi, spi
+    (3 dp), eac, vac (0 dp) + budget / AC / EV totals, ordered by the keys."""
+    keys = [key] if isinstance(key, str) else list(key)
+    totals = summed_components(fact, keys)
     return ratios_from_totals(totals).select(
-        key, "cpi", "spi", "eac", "vac", "total_budget", "total_actual_cost", "total_earned_value"
-    ).orderBy(F.asc_nulls_last(key))
+        *keys, "cpi", "spi", "eac", "vac", "total_budget", "total_actual_cost", "total_earned_value"
+    ).orderBy(*[F.asc_nulls_last(k) for k in keys])
 
 
 def evm_cube(fact: DataFrame, dims: Sequence[str] = ("building_id", "wbs_level_1", "wbs_level_2")) -> DataFrame:

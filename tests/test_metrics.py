@@ -55,3 +55,14 @@ def test_answer_key_check_statuses(spark):
            evm.answer_key_check(comp, exp, ["building_id"], {"cpi": 0.005, "eac": 0.5}).collect()}
     assert out[("A", "cpi")] == "PASS" and out[("A", "eac")] == "FAIL"
     assert out[("B", "cpi")] == "MISSING_EXPECTED" and out[("C", "eac")] == "MISSING_COMPUTED"
+
+
+def test_summary_at_a_two_key_slice_equals_cube_cells(spark):
+    rows = [(b, w, x, 100 * i, 10 * i, 9 * i, 11 * i, 0) for i, (b, w, x) in enumerate(
+        [(b, w, x) for b in "AB" for w in "PQ" for x in "XY"], start=1)]
+    fact = spark.createDataFrame(rows, COLS)
+    s = {(r.building_id, r.wbs_level_1): (r.cpi, r.eac) for r in
+         evm.evm_summary_by_building(fact, ["building_id", "wbs_level_1"]).collect()}
+    c = {(r.building_id, r.wbs_level_1): (r.cpi, r.eac) for r in
+         evm.evm_cube(fact, ["building_id", "wbs_level_1"]).where(F.col("grouping_level") == 0).collect()}
+    assert s == c and len(s) == 4
