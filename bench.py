@@ -71,19 +71,32 @@ def main() -> None:
         return time.perf_counter() - t
 
     run(qs.get("evm_summary_by_building", next(iter(qs.values()))))  # JVM / codegen warm-up
-    timings = {}
+    timings, failed = {}, []
     for name, fn in qs.items():
-        timings[name] = round(statistics.median(run(fn) for _ in range(repeat)), 3)
+        try:
+            timings[name] = round(statistics.median(run(fn) for _ in range(repeat)), 3)
+        except Exception as exc:  # keep benchmarking the rest; report the failure
+            timings[name] = None
+            failed.append(name)
+            print(f"bench: {name} failed: {type(exc).__name__}: {exc}"[:500], file=sys.stderr)
     if not only or "etl_job" in only:
-        timings["etl_job"] = round(etl_job(spark, sf_dir, repeat), 3)
+        try:
+            timings["etl_job"] = round(etl_job(spark, sf_dir, repeat), 3)
+        except Exception as exc:
+            timings["etl_job"] = None
+            failed.append("etl_job")
+            print(f"bench: etl_job failed: {type(exc).__name__}: {exc}"[:500], file=sys.stderr)
     sf = os.path.basename(sf_dir).replace("sf", "")
-    print(json.dumps({
+    out = {
         "metric": "total_query_seconds",
-        "value": round(sum(timings.values()), 3),
+        "value": round(sum(v for v in timings.values() if v is not None), 3),
         "unit": "sec",
         "queries": timings,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
-    }))
+    }
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
     spark.stop()
 
 
