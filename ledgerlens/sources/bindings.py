@@ -96,9 +96,11 @@ RETAINAGE_BREAK_MOD, RETAINAGE_ERROR = 23, 100
 SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Read one driver table; a narrow fact-sized table is spread over the cores
+    unless ``spread`` is off (a side that is joined as the build side anyway)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    key = SPREAD_KEYS.get(name)
+    key = SPREAD_KEYS.get(name) if spread else None
     return spread_narrow_input(df, key) if key else df
 
 
@@ -255,7 +257,8 @@ def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"
     )
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    o = read_table(spark, sf_dir, "orders", spread=False).select("o_orderkey", "o_custkey", "o_orderdate",
+                                                                 "o_orderpriority")
     rows = li.join(o, li.l_orderkey == o.o_orderkey)
     key, ln = F.col("l_orderkey"), F.col("l_linenumber")
     q = F.col("l_quantity").cast("int")
