@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import exact_dedup, mixing, ngram_join, packing, pii, quality, toxicity
+from ledgerlens.llm import debruijn, exact_dedup, mixing, ngram_join, packing, pii, quality, suffix_dedup, toxicity, vector_dedup
 from ledgerlens.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=50)
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -37,6 +41,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
 
 
+def op8_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.93)
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -47,8 +55,13 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.remove_repeats(table(spark, sf_dir, "documents"), length=35, k=16)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_exact_dedup, op3_toxicity, op4_ngram_join, op6_quality, op7_mixing, op9_packing)}
+    f.__name__: f for f in (op1_pii, op2_exact_dedup, op3_toxicity, op4_ngram_join, op5_suffix_dedup, op6_quality,
+                            op7_mixing, op8_vector_dedup, op9_packing, op10_substring_dedup)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": """
