@@ -63,10 +63,58 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pii, op2_exact_dedup, op3_toxicity, op4_ngram_join, op5_suffix_dedup, op6_quality,
                             op7_mixing, op8_vector_dedup, op9_packing, op10_substring_dedup)}
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"[^\x20\x09-\x0D]+"
+
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": """
         WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, text_sha256
         FROM d WINDOW w AS (PARTITION BY text_sha256)""",
+    "op4_ngram_join": f"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORDS}') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(CASE
+                  WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+                  WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+              FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+        l AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b
+              WHERE 100 * p.c >= 85 * (x.n + y.n - p.c)),
+        r AS (SELECT doc_id AS a, doc_id AS b FROM documents
+              UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+        FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
+        JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) c ON c.a = d.doc_id""",
+    "op8_vector_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+              ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+              WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+        r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+        c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
+        n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+        SELECT e.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+        FROM embeddings e JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id""",
+    "op10_substring_dedup": f"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents),
+        p AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM w),
+        s AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS s FROM p),
+        m AS (SELECT s FROM s GROUP BY s HAVING count(*) > 1),
+        g AS (SELECT s.doc_id, s.i FROM s JOIN m ON s.s = m.s),
+        y AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM w),
+        c AS (SELECT y.doc_id, y.i, y.word,
+                     max(g.i) OVER (PARTITION BY y.doc_id ORDER BY y.i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW)
+                       IS NOT NULL AS gone
+              FROM y LEFT JOIN g ON g.doc_id = y.doc_id AND g.i = y.i),
+        t AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed,
+                     string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept FROM c GROUP BY doc_id)
+        SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(t.n_removed, 0) AS n_removed,
+               sha256(coalesce(t.kept, '')) AS kept_sha256
+        FROM w LEFT JOIN t ON t.doc_id = w.doc_id""",
 }
