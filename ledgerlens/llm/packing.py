@@ -22,6 +22,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +38,8 @@ LENGTH = 2048
 OPEN = 64
 FAN = 32
 END_ID = 1
-CACHE = 500_000  # pieces whose ids a Python worker keeps
+CACHE = 1_000_000  # pieces whose ids a Python worker keeps
+_ENDS = frozenset(".,;:!?")
 # fixed value: the published pre-token pattern of byte-level BPE
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -80,15 +82,31 @@ class Ids:
             self.fast = tiktoken.Encoding("ranks", pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens={})
         self.blank = re.compile(r" (?=\s|$)").search
         self.known: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
         self.to_compare = 3
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def piece(self, piece: str) -> bytes:
-        if self.fast is None:
-            return self.whole(piece)
-        return np.array(self.fast.encode_ordinary(piece), dtype="<u4").tobytes()
+        """Ids of a blank and ``piece``, kept as long as there is room."""
+        ids = self.known.get(piece)
+        if ids is None:
+            last = piece[-1:]
+            if last in _ENDS and piece[:-1].isalpha():  # letters are one pre-token, the mark is another
+                ids = self.piece(piece[:-1]) + self.mark(last)
+            elif self.fast is None:
+                ids = self.whole(" " + piece)
+            else:
+                ids = array("I", self.fast.encode_ordinary(" " + piece)).tobytes()
+            if len(self.known) < CACHE and len(piece) < 40:
+                self.known[piece] = ids
+        return ids
+
+    def mark(self, mark: str) -> bytes:
+        if mark not in self.marks:
+            self.marks[mark] = self.whole(mark)
+        return self.marks[mark]
 
     def pieces(self, text: str) -> list[str]:
         """The text cut before each blank that something visible follows; the cut blanks are left out."""
@@ -109,15 +127,10 @@ class Ids:
         if any(a in text for a in self.added):  # cut out before pieces are found
             return self.whole(text)
         first, *rest = self.pieces(text)
-        known, out = self.known, [self.piece(first)]
-        for p in rest:
-            ids = known.get(p)
-            if ids is None:
-                ids = self.piece(" " + p)
-                if len(known) < CACHE and len(p) < 40:
-                    known[p] = ids
-            out.append(ids)
-        found = b"".join(out)
+        ids = list(map(self.known.get, rest))
+        if None in ids:
+            ids = [i or self.piece(p) for i, p in zip(ids, rest)]
+        found = self.whole(first) + b"".join(ids)
         if self.to_compare:
             self.to_compare -= 1
             if found != self.whole(text):
