@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.session import scratch_path
@@ -208,6 +208,6 @@ def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
         now.select(F.col("b").alias("id"), F.col("b").alias("component_id")).distinct())
 
 
-def sql_word_count(column: str) -> str:
-    """Spark SQL: number of words of a text column (null: 0)."""
-    return f"regexp_count(coalesce({column}, ''), '{WORD}')"
+def word_count(column: str) -> Column:
+    """Number of words of a text column (null: 0), native."""
+    return F.regexp_count(F.coalesce(F.col(column).cast("string"), F.lit("")), F.lit(WORD)).cast("long")

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import sql_word_count, stage, text_bytes
+from ledgerlens.llm.common import stage, text_bytes, word_count
 
 CYCLE = (1, 2, 3)  # weights of the sources in code point order
 CAP = 3.0  # times a source's own size
@@ -88,7 +88,7 @@ def shards_for(docs: DataFrame) -> int:
 def sized(docs: DataFrame, blocks: int) -> DataFrame:
     """``docs`` with its size and its place in the permutation of its source."""
     return docs.withColumns({
-        "size": F.expr(sql_word_count("text")).cast("long"),
+        "size": word_count("text"),
         "block": F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(blocks)).cast("int"),
         "place": F.xxhash64(F.lit(SEED + 1), "doc_id")})
 

@@ -20,13 +20,11 @@ documents.  An empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -45,6 +43,8 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, open boolean, part long, ids binary")
+_NAMES = [f.split()[0] for f in PIECES.split(", ")]
+_TYPES = [pa.int64()] * 7 + [pa.bool_(), pa.int64(), pa.binary()]
 
 
 def _byte_of() -> dict[str, int]:
@@ -80,7 +80,6 @@ class Ids:
             byte_of = _byte_of()
             ranks = {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if t not in self.added}
             self.fast = tiktoken.Encoding("ranks", pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens={})
-        self.blank = re.compile(r" (?=\s|$)").search
         self.known: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
         self.to_compare = 3
@@ -111,8 +110,6 @@ class Ids:
     def pieces(self, text: str) -> list[str]:
         """The text cut before each blank that something visible follows; the cut blanks are left out."""
         parts = text.split(" ")
-        if not self.blank(text):
-            return parts
         out = parts[:1]
         for p in parts[1:]:
             if not p or p[0].isspace():
@@ -126,10 +123,12 @@ class Ids:
             return b""
         if any(a in text for a in self.added):  # cut out before pieces are found
             return self.whole(text)
-        first, *rest = self.pieces(text)
+        first, *rest = text.split(" ")
         ids = list(map(self.known.get, rest))
-        if None in ids:
-            ids = [i or self.piece(p) for i, p in zip(ids, rest)]
+        if None in ids:  # new pieces, or blanks in a row: no kept piece is empty or starts with one
+            if any(i is None and not p[:1].strip() for i, p in zip(ids, rest)):
+                first, *rest = self.pieces(text)
+            ids = [self.piece(p) for p in rest]
         found = self.whole(first) + b"".join(ids)
         if self.to_compare:
             self.to_compare -= 1
@@ -184,7 +183,6 @@ def _pack_partition(path: str, length: int, most: int, with_ids: bool):
         encode, windows = ids_of(path), Windows(length, most)
         part = TaskContext.get().partitionId()
         end = np.array([END_ID], dtype="<u4").tobytes()
-        names = [f.split()[0] for f in PIECES.split(", ")]
         rows: list[tuple] = []
         n_sequences = 0
 
@@ -199,9 +197,8 @@ def _pack_partition(path: str, length: int, most: int, with_ids: bool):
             n_sequences += 1
 
         def batch() -> pa.RecordBatch:
-            columns = list(zip(*rows)) or [[]] * len(names)
-            types = [pa.int64()] * 7 + [pa.bool_(), pa.int64(), pa.binary()]
-            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+            columns = list(zip(*rows)) or [[]] * len(_NAMES)
+            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _TYPES)], names=_NAMES)
             rows.clear()
             return out
 
@@ -225,16 +222,14 @@ def _pack_partition(path: str, length: int, most: int, with_ids: bool):
 
 
 def _merge_group(length: int, turn: int, with_ids: bool):
-    def run(key: tuple, pieces: pd.DataFrame) -> pd.DataFrame:
-        group, out = int(key[0]), []
-        pieces = pieces.sort_values(["sequence_id", "offset"])
+    def run(key: tuple, pieces: pa.Table) -> pa.Table:
+        group, out = key[0].as_py(), []
         sequence, offset = 0, 0
-        for p in pieces.itertuples():
-            doc = None if pd.isna(p.doc_id) else int(p.doc_id)
-            at, ids = int(p.start), bytes(p.ids)
+        for p in pieces.sort_by([("sequence_id", "ascending"), ("offset", "ascending")]).to_pylist():
+            at, ids = p["start"], p["ids"]
             while ids:
                 take = min(len(ids) // 4, length - offset)
-                out.append([doc, at, take, zlib.crc32(ids[:4 * take]), int(p.doc_tokens),
+                out.append([p["doc_id"], at, take, zlib.crc32(ids[:4 * take]), p["doc_tokens"],
                             turn << 56 | group << 28 | sequence, offset, False, group, ids[:4 * take]])
                 ids, at, offset = ids[4 * take:], at + take, offset + take
                 if offset == length:
@@ -243,8 +238,7 @@ def _merge_group(length: int, turn: int, with_ids: bool):
             row[7] = bool(offset) and row[5] & (1 << 28) - 1 == sequence
             if not (row[7] or with_ids):
                 row[9] = None
-        frame = pd.DataFrame(out, columns=[f.split()[0] for f in PIECES.split(", ")])
-        return frame.astype({"doc_id": "Int64"})
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _TYPES)], names=_NAMES)
 
     return run
 
@@ -262,7 +256,7 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, most_open:
     turn, parts = 0, (left.agg(F.max("part")).first()[0] or 0) + 1
     while turn == 0 or parts > 1:  # FAN partitions' leftovers at a time
         turn, parts = turn + 1, -(-parts // FAN)
-        merged = stage(left.groupBy(F.expr(f"part div {FAN}").alias("g")).applyInPandas(
+        merged = stage(left.groupBy(F.expr(f"part div {FAN}").alias("g")).applyInArrow(
             _merge_group(length, turn, with_ids), PIECES), "merged")
         done, left = done.unionByName(merged.where("not open")), merged.where("open")
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]

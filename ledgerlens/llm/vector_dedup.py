@@ -229,10 +229,10 @@ def _search(least: float):
                         if len(links) > 500_000:  # a forest is all that the components need
                             links = _forest(links)
                 edges = _forest(links)
-                yield pd.DataFrame({"rep": [c[0] for c in counts] + [None] * len(edges),
-                                    "links": [c[1] for c in counts] + [None] * len(edges),
-                                    "a": [None] * len(counts) + [e[0] for e in edges],
-                                    "b": [None] * len(counts) + [e[1] for e in edges]}).astype("Int64")
+                none_a, none_b = [None] * len(counts), [None] * len(edges)
+                out = {"rep": [c[0] for c in counts] + none_b, "links": [c[1] for c in counts] + none_b,
+                       "a": none_a + [e[0] for e in edges], "b": none_a + [e[1] for e in edges]}
+                yield pd.DataFrame({k: pd.array(v, dtype="Int64") for k, v in out.items()})  # never as floats
 
     return run
 
