@@ -59,9 +59,9 @@ def main() -> None:
     if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlens-bench-"))
 
-    import __spark_entry__ as E
+    from ledgerlens.plans.catalog import QUERIES
 
-    qs = E.queries()
+    qs = dict(QUERIES)
     if only:
         qs = {k: v for k, v in qs.items() if k in only}
 

@@ -79,6 +79,8 @@ def main(argv):
     spark = build_session()
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0
     for k, fn in qs.items():

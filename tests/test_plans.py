@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from ledgerlens.plans.catalog import QUERIES
 from conftest import SF_SMALL
 from ledgerlens.operators.keys import dense_surrogate_key
 
@@ -35,7 +36,7 @@ def test_top_k_plans_take_ordered(spark):
     assert "TakeOrderedAndProject" in _plan(df)
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_python_evaluation(spark, key):
     plan = _plan(E.queries()[key](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
