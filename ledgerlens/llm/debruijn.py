@@ -80,7 +80,8 @@ def paths(nodes: DataFrame, length: int, k: int, max_rounds: int = 64) -> DataFr
     in_text = Window.partitionBy("id").orderBy("pos")
     follow = nodes.select("id", "pos", F.col("key").alias("u"), F.lead("key").over(in_text).alias("v"),
                           (F.lead("pos").over(in_text) - F.col("pos")).alias("gap"))
-    edges = follow.where(F.col("gap") <= length - k + 1).groupBy("u", "v", "gap").agg(
+    # repeated rows give a place twice: no distance
+    edges = follow.where(F.col("gap").between(1, length - k + 1)).groupBy("u", "v", "gap").agg(
         F.count("*").alias("times")).where("times > 1")
     edges = stage(edges, "edges")
     out = edges.groupBy("u").agg(F.count("*").alias("ways"), F.first("v").alias("v"), F.first("gap").alias("gap"))
@@ -156,11 +157,12 @@ def repeated_windows(docs: DataFrame, length: int = 50, k: int = 16) -> tuple[Da
     rows = rows_of(docs)
     n_groups = groups_for(text_bytes(docs), GROUP_BYTES)
     nodes = stage(repeated(rows.select("id", "text").mapInArrow(
-        _node_entries(k, length, n_groups), ENTRIES), False).distinct(), "nodes")
+        _node_entries(k, length, n_groups), ENTRIES), False), "nodes")
     spans = path_spans(nodes, paths(nodes, length, k), length, k).groupBy("id").agg(
         F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
     # ordered inside a partition, so that a task that runs again flushes the same entries
-    met = rows.join(spans, "id").select("id", "text", "firsts", "lasts").sortWithinPartitions("id", F.length("text"))
+    # doc_id goes along unread: the texts' exchange is then the same as at the end, and Spark uses it twice
+    met = rows.join(spans, "id").select("id", "text", "firsts", "lasts", "doc_id").sortWithinPartitions("id", F.length("text"))
     windows = repeated(met.mapInArrow(_window_entries(k, length, n_groups), ENTRIES), False)
     return rows, windows.groupBy("id").agg(F.collect_set("pos").alias("starts"))
 
