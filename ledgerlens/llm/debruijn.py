@@ -9,7 +9,7 @@
    after another in the nodes' first places need one window, the runs are then
    joined into paths by pointer doubling.
 4. A path's occurrences are spans in the documents (source coordinates).  All
-   windows of those spans are compared on 128-bit hashes of their words, over
+   windows of those spans are compared on 96-bit hashes of their words, over
    all documents, which decides exactly which of them repeat.
 
 Removed is every word of a window whose word sequence starts anywhere else.
@@ -43,7 +43,7 @@ def _node_entries(k: int, length: int, n_groups: int):
                 at = anchors(node, doc, k, length)
                 first = np.searchsorted(doc, np.arange(len(ids)))
                 key = node[at] >> np.uint64(8)
-                yield (key, np.zeros(len(at), np.uint64), np.array(ids, np.int64)[doc[at]],
+                yield (key, np.zeros(len(at), np.uint32), np.array(ids, np.int64)[doc[at]],
                        (at - first[doc[at]]).astype(np.int32))
 
         yield from deal_all(entries(), False, n_groups)
@@ -68,7 +68,7 @@ def _window_entries(k: int, length: int, n_groups: int):
                     np.add.at(step, np.minimum(n, last + 1), -1)
                     start = np.flatnonzero(np.cumsum(step[:-1]) > 0)
                     one, two = runs_of(value, length, 1), runs_of(value, length, 2)
-                    yield one[start], two[start], np.full(len(start), ident.as_py()), start.astype(np.int32)
+                    yield one[start], two[start].astype(np.uint32), np.full(len(start), ident.as_py()), start.astype(np.int32)
 
         yield from deal_all(entries(), False, n_groups)
 

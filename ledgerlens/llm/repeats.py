@@ -109,7 +109,7 @@ def deal_all(entries: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 def _answer(across: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         get = lambda c, kind: np.concatenate([unplanes(b, kind) for b in rows[c]])
-        key, more, ids, pos = get("key", "u8"), get("more", "u8"), get("id", "i8"), get("pos", "i4")
+        key, more, ids, pos = get("key", "u8"), get("more", "u4"), get("id", "i8"), get("pos", "i4")
         proven = get("proven", "u1").astype(bool)
         order = np.lexsort((ids, more, key))
         key, more, ids, pos, proven = key[order], more[order], ids[order], pos[order], proven[order]

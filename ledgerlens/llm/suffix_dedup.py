@@ -12,7 +12,7 @@ the order inside the groups; no symbol is ever renamed recursively.
    for the smallest document that has them: its other documents' windows
    repeat that one's.
 3. A group sorts the distinct surroundings twice, to the right of the anchor and
-   to the left, by suffix arrays over 7-byte symbols; the common prefixes of
+   to the left, by suffix arrays over 17-byte symbols; the common prefixes of
    neighbours cut the orders into classes at every depth.  Two windows are equal
    when they are in the same class on both sides, and the smallest document
    of each class pair decides who keeps the bytes.  Where an anchor has one
@@ -33,6 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +42,7 @@ from ledgerlens.llm.repeats import (ENTRIES, GROUP_BYTES, deal_all, planes, repe
                                     unplanes)
 
 GRAM = 16
-BLOCK = 7  # bytes of a symbol
+BLOCK = 17  # bytes of a symbol
 FLUSH = 200_000  # surroundings that a task gathers
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -125,20 +126,21 @@ def suffix_array(symbols: list[int]) -> list[int]:
 
 
 def ordered(rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """Order of byte rows (after their class numbers) by the suffix array of them all, end to end."""
+    """Order of byte rows (after their class numbers) by the suffix array of them all, end to end.
+
+    A row is its class and its blocks; a block's symbol is its rank among all
+    blocks, so symbols compare as the bytes do.
+    """
     n, width = rows.shape
     n_blocks = -(-width // BLOCK)
-    wide = np.zeros((n, n_blocks, 8), dtype=np.uint8)
     padded = np.zeros((n, n_blocks * BLOCK), dtype=np.uint8)
     padded[:, :width] = rows
-    wide[:, :, 8 - BLOCK:] = padded.reshape(n, n_blocks, BLOCK)
-    blocks = wide.reshape(-1, 8).view(">u8").ravel()
-    symbols = np.zeros((n, n_blocks + 2), dtype=np.int64)
-    symbols[:, 0] = classes + 2
-    symbols[:, 1:-1] = np.unique(blocks, return_inverse=True)[1].reshape(n, n_blocks) + 2
-    symbols[:, -1] = 1
+    blocks = padded.reshape(-1, BLOCK).view(f"V{BLOCK}").ravel()
+    symbols = np.empty((n, n_blocks + 1), dtype=np.int64)
+    symbols[:, 0] = classes + 1
+    symbols[:, 1:] = np.unique(blocks, return_inverse=True)[1].reshape(n, n_blocks) + 1
     found = np.array(suffix_array([*symbols.ravel().tolist(), 0]), dtype=np.int64)
-    heads = found[found % (n_blocks + 2) == 0] // (n_blocks + 2)
+    heads = found[found % (n_blocks + 1) == 0] // (n_blocks + 1)
     return heads[heads < n]
 
 
@@ -153,8 +155,8 @@ def least_owner(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right
     """For each surrounding and each offset j of the anchor in a window, the smallest owner
     of an equal window; the largest int64 where the window leaves the text.
 
-    ``left`` holds the bytes before the anchor, nearest first; ``right`` the
-    anchor and what follows.
+    ``left`` holds the bytes before the anchor, nearest first; ``right`` those
+    after it (the anchor itself is the class).
     """
     n, reach = len(owner), length - GRAM
     least = np.full((n, reach + 1), np.iinfo(np.int64).max)
@@ -165,7 +167,7 @@ def least_owner(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right
         sides.append((order, same))
     for j in range(reach + 1):
         number = []
-        for (order, same), depth in zip(sides, (j, length - j)):
+        for (order, same), depth in zip(sides, (j, reach - j)):
             of = np.empty(n, dtype=np.int64)
             of[order] = np.cumsum(same < depth)
             number.append(of)
@@ -203,7 +205,7 @@ def _anchor_entries(length: int, n_groups: int):
                         pieces.append((where + at, grams[where] >> np.uint64(16)))
                     where, first = np.unique(np.concatenate([p[0] for p in pieces]), return_index=True)
                     key = np.concatenate([p[1] for p in pieces])[first]
-                    yield key, np.zeros(len(key), np.uint64), np.full(len(key), ident), where.astype(np.int32)
+                    yield key, np.zeros(len(key), np.uint32), np.full(len(key), ident), where.astype(np.int32)
 
         yield from deal_all(entries(), True, n_groups)
 
@@ -235,9 +237,10 @@ def _around(length: int, n_groups: int):
         t_to = pos + np.minimum(n_right, length)
         t_real = told & (t_to - t_from >= length)
         columns: list[list] = [[] for _ in range(9)]
+        pack = zstandard.ZstdCompressor(level=3).compress  # neighbours are alike: they are in order
         for g in np.union1d(bucket[sent], t_bucket[t_real]).tolist():
             a, b = np.flatnonzero(sent & (bucket == g)), np.flatnonzero(t_real & (t_bucket == g))
-            values = [g, around[a].tobytes(), planes(n_left[a]), planes(n_right[a]), planes(ids[a]), planes(pos[a]),
+            values = [g, pack(around[a].tobytes()), planes(n_left[a]), planes(n_right[a]), planes(ids[a]), planes(pos[a]),
                       planes(ids[b]), planes(t_from[b].astype(np.int32)), planes(t_to[b].astype(np.int32))]
             for column, value in zip(columns, values):
                 column.append(value)
@@ -276,7 +279,8 @@ def _ranges(length: int):
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         get = lambda c, kind: np.concatenate([unplanes(b, kind) for b in rows[c]])
-        around = np.concatenate([np.frombuffer(b, np.uint8).reshape(-1, width) for b in rows["around"]])
+        unpack = zstandard.ZstdDecompressor().decompress
+        around = np.concatenate([np.frombuffer(unpack(b), np.uint8).reshape(-1, width) for b in rows["around"]])
         n_left, n_right = get("n_left", "u1").astype(np.int64), get("n_right", "u1").astype(np.int64)
         ids, pos = get("id", "i8"), get("pos", "i4")
         told = (get("t_id", "i8"), get("t_from", "i4"), get("t_to", "i4"))
@@ -295,7 +299,7 @@ def _ranges(length: int):
                              owner[:, None], np.iinfo(np.int64).max)
             at = first[several]
             if len(at):
-                least[several] = least_owner(np.ascontiguousarray(around[at, :reach][:, ::-1]), around[at, reach:],
+                least[several] = least_owner(np.ascontiguousarray(around[at, :reach][:, ::-1]), around[at, length:],
                                              n_left[at], n_right[at], classes[several], owner[several], length)
             gone = least[same] < ids[:, None]
             hit = np.flatnonzero(gone.any(axis=1))
@@ -349,7 +353,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, with_bytes: bool = False)
     shared = repeated(rows.select("id", "text").mapInArrow(_anchor_entries(length, n_groups), ENTRIES), True)
     places = shared.groupBy("id").agg(F.collect_list("pos").alias("places"))
     # ordered inside a partition, so that a task that runs again flushes the same entries
-    met = rows.join(places, "id").select("id", "text", "places").sortWithinPartitions("id", F.length("text"))
+    # doc_id goes along unread: the texts' exchange is then the same as at the end, and Spark uses it twice
+    met = rows.join(places, "id").select("id", "text", "places", "doc_id").sortWithinPartitions("id", F.length("text"))
     ranges = met.mapInArrow(_around(length, n_groups), _AROUND).groupBy("bucket").applyInPandas(
         _ranges(length), "id long, first int, past int")
     ranges = ranges.groupBy("id").agg(F.collect_list("first").alias("firsts"), F.collect_list("past").alias("pasts"))
