@@ -158,16 +158,18 @@ def _prefixes(k: int, percent: int, lower: bool, tokens: np.ndarray, classes: np
 
 
 def _sets(k: int, lower: bool):
-    """(key, 6 bytes of each shingle hash, in order) of each text."""
+    """(key, 6 bytes of each shingle hash, in order) of each text whose set is the expected one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in chunked(batches):
+        keyed = (pa.RecordBatch.from_arrays([b.column(2), b.column(1)], names=["key", "text"]) for b in batches)
+        for expected, texts in chunked(keyed):
             value, owner = shingles(texts, k, lower)
-            n = np.bincount(owner, minlength=len(ids))
+            n = np.bincount(owner, minlength=len(texts))
+            key = _set_key(value, owner, n)
             raw = np.ascontiguousarray(value.astype(">u8")).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
             cut = np.concatenate(([0], np.cumsum(n))) * 6
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_set_key(value, owner, n)),
-                 pa.array([raw[a:b] for a, b in zip(cut[:-1], cut[1:])], pa.binary())], names=["key", "tokens"])
+            tokens = pa.array([raw[a:b] for a, b in zip(cut[:-1], cut[1:])], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(key), tokens], names=["key", "tokens"]).filter(
+                pa.array(key == np.array(expected, np.int64)))
 
     return run
 
@@ -239,11 +241,15 @@ class Join:
         pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(
             F.arrays_overlap("a_b", "b_b") & F.arrays_overlap("a_c", "b_c")).select("a", "b")
         pairs = stage(pairs, "candidates")
-        if self.full is None:  # the sets of all documents that may ever be compared
-            met = self.groups.select("key").distinct().join(self.sets.select("key", "least_id"), "key")
-            texts = self.rows.join(met.select(F.col("least_id").alias("doc_id")).distinct(), "doc_id")
-            self.full = stage(texts.mapInArrow(_sets(self.k, self.lower), "key long, tokens binary")
-                              .dropDuplicates(["key"]), "full-sets")
+        # the whole sets of the documents that are compared for the first time
+        met = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+        if self.full is not None:
+            met = met.join(self.full.select("key"), "key", "left_anti")
+        met = stage(met.join(self.sets.select("key", "least_id"), "key").select(
+            F.col("least_id").alias("doc_id"), F.col("key").alias("expected")), "to-fetch")
+        texts = self.rows.join(met, "doc_id").select("doc_id", "text", "expected")
+        fetched = stage(texts.mapInArrow(_sets(self.k, self.lower), "key long, tokens binary"), "full-sets")
+        self.full = fetched if self.full is None else self.full.unionByName(fetched)
         full = lambda s: self.full.select(F.col("key").alias(s), F.col("tokens").alias(f"{s}_tokens"))
         found = pairs.join(full("a"), "a").join(full("b"), "b").select("a", "b", "a_tokens", "b_tokens")
         found = stage(found.mapInArrow(_linked(self.percent), "a long, b long"), "links")
@@ -267,7 +273,7 @@ class Join:
             left = open_pairs.agg(F.sum("open")).first()[0] or 0
             if not left:
                 break
-            if turn and (left <= 2 * n_rows or turn == STARS):
+            if left <= 4 * n_rows or turn == STARS:
                 x, y = (rows.select("token", F.col("key").alias(s), F.col("n").alias(f"n_{s}"),
                                     F.col("component_id").alias(f"of_{s}")) for s in "ab")
                 self.verify(x.join(y, "token").where(
