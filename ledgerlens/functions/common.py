@@ -15,6 +15,12 @@ def ratio(num: Column | str, den: Column | str) -> Column:
     return F.try_divide(as_col(num).cast("double"), as_col(den).cast("double"))
 
 
+def money_sum(col: Column | str) -> Column:
+    """Exact sum of an amount with two decimals: whole cents are added, so the
+    result does not depend on the order of the rows."""
+    return F.sum(F.round(as_col(col) * F.lit(100.0)).cast("bigint")).cast("double") / F.lit(100.0)
+
+
 def pct(num: Column | str, den: Column | str, scale: int = 2) -> Column:
     """Rounded percentage ``num / den * 100``; null on a zero denominator."""
     return F.round(ratio(num, den) * F.lit(100.0), scale)

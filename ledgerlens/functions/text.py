@@ -8,17 +8,23 @@ from pyspark.sql import functions as F
 from .common import as_col
 
 
+# Accented Latin letters (lower case) and the letters they fold to.
+ACCENTS = ("àáâãäåāăąçćčďèéêëēęěìíîïīłñńňòóôõöøōŕřśšťùúûüūůýÿźżž",
+           "aaaaaaaaacccdeeeeeeeiiiiilnnnooooooorrsstuuuuuuyyzzz")
+
+
 def token_sort_key(col: Column | str) -> Column:
     """Lower-case, in-word punctuation dropped, other separators to spaces,
     tokens sorted and re-joined.
 
-    Word order and punctuation stop mattering: ``"Steel Works, Harbor"`` and
+    Letters and digits of every script stay, accents are folded.  Word order and punctuation stop mattering: ``"Steel Works, Harbor"`` and
     ``"harbor steel works"`` give the same key, and dotted initials collapse
     (``"W.S.P. Global"`` -> ``"global wsp"``) while hyphens still separate
     words (``"Granite-Civil"`` -> ``"civil granite"``).
     """
-    joined = F.regexp_replace(F.lower(as_col(col)), r"[.']", "")
-    cleaned = F.trim(F.regexp_replace(joined, r"[^a-z0-9]+", " "))
+    folded = F.translate(F.lower(as_col(col)), *ACCENTS)
+    joined = F.regexp_replace(folded, r"[.']", "")
+    cleaned = F.trim(F.regexp_replace(joined, r"[^\p{L}\p{N}]+", " "))
     tokens = F.filter(F.split(cleaned, " "), lambda t: t != F.lit(""))
     return F.array_join(F.array_sort(tokens), " ")
 

@@ -55,12 +55,13 @@ def variance_backfill(df: DataFrame, variance: str = "variance", budget: str = "
 
 def null_profile(df: DataFrame, source: str, date_columns: Sequence[str] = (),
                  vendor_columns: Mapping[str, str] | None = None, canonical: Sequence[str] = (),
-                 layouts: Sequence[str] = D.DATE_LAYOUTS) -> DataFrame:
+                 layouts: Sequence[str] = D.DATE_LAYOUTS, period_columns: Sequence[str] = ()) -> DataFrame:
     """Data-quality census of one source as long rows (source, column, metric, value).
 
     Metrics: ``nulls`` for every column; ``unparseable`` (non-blank text no
     layout accepts) and ``layout <fmt>`` (values read with each layout, the
-    first that parses) for ``date_columns``; ``unmatched`` for each raw vendor
+    first that parses) for ``date_columns``; ``unparseable`` for
+    ``period_columns``; ``unmatched`` for each raw vendor
     column ``raw`` in ``vendor_columns`` -- non-null rows whose cleaned value
     (column ``vendor_columns[raw]``) is not in ``canonical``.  Profiled
     columns are those of ``df`` except the cleaned vendor columns.  One
@@ -78,6 +79,9 @@ def null_profile(df: DataFrame, source: str, date_columns: Sequence[str] = (),
         first = D.layout_index(c, layouts)  # which layout the value was read with
         for i, fmt in enumerate(layouts):
             aggs.append(F.count_if(first == i).alias(f"{c}|layout {fmt}"))
+    for c in period_columns:
+        text = F.trim(F.col(c))
+        aggs.append(F.count_if(text.isNotNull() & (text != "") & D.normalize_period(c).isNull()).alias(f"{c}|unparseable"))
     for raw, clean in (vendor_columns or {}).items():
         known = F.col(clean).isin(*canonical) if canonical else F.lit(False)
         aggs.append(F.count_if(F.col(raw).isNotNull() & ~known).alias(f"{raw}|unmatched"))

@@ -116,10 +116,14 @@ def evm_trend_monthly(fact: DataFrame, period_col: str = "period", key: str = "b
     """Cumulative CPI / SPI / EAC per building and month, with month-over-month change.
 
     The fact is aggregated to (building, month) first; the running-sum and
-    lag windows then only see that small grain.
+    lag windows then only see that small grain.  Rows whose period cannot be
+    read ('yyyy-MM') are one row of their own with their own sums, outside
+    every running total.  The change is against the calendar month before:
+    where that has no row, there is none ('n/a').
     """
     monthly = summed_components(fact, [key, period_col])
-    w = Window.partitionBy(key).orderBy(period_col)
+    known = F.col(period_col).isNotNull()
+    w = Window.partitionBy(key, known).orderBy(period_col)  # the unread rows are apart
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = monthly.select(
         key, period_col,
@@ -135,7 +139,9 @@ def evm_trend_monthly(fact: DataFrame, period_col: str = "period", key: str = "b
         "spi": spi_expr(ev, pv),
         "eac": F.round(eac, 0),
     })
-    prev = F.lag("cpi").over(w)
+    month = lambda c: F.to_date(c, "yyyy-MM")
+    adjacent = F.add_months(month(F.lag(period_col).over(w)), 1) == month(F.col(period_col))
+    prev = F.when(adjacent, F.lag("cpi").over(w))
     delta = F.round(F.col("cpi") - prev, 3)
     return with_ratios.withColumns({
         "cpi_change": delta,
@@ -150,14 +156,18 @@ def answer_key_check(computed: DataFrame, expected: DataFrame, keys: Sequence[st
                      tolerances: dict[str, float]) -> DataFrame:
     """Compare computed metrics with an expected table, metric by metric.
 
-    Full outer join on ``keys``; one output row per key x metric with
+    Full outer join on ``keys`` (null keys meet); one output row per key x metric with
     status PASS (|diff| <= tolerance), FAIL, MISSING_COMPUTED or
     MISSING_EXPECTED.
     """
     metrics = list(tolerances)
     c = computed.select(*keys, *[F.col(m).cast("double").alias(f"c__{m}") for m in metrics]).withColumn("c__present", F.lit(True))
     e = expected.select(*keys, *[F.col(m).cast("double").alias(f"e__{m}") for m in metrics]).withColumn("e__present", F.lit(True))
-    j = c.join(e, list(keys), "full")
+    e = e.withColumnsRenamed({k: f"e__key_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & c[k].eqNullSafe(e[f"e__key_{k}"])
+    j = c.join(e, same, "full").withColumns({k: F.coalesce(F.col(k), F.col(f"e__key_{k}")) for k in keys})
     stacked = F.explode(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(f"c__{m}").alias("computed"), F.col(f"e__{m}").alias("expected"),
                  F.lit(float(tol)).alias("tolerance"))

@@ -14,9 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.common import pct, ratio
+from ..functions.common import money_sum, pct, ratio
 from ..functions.dates import period_label
-from .sizing import materialize_small_all
+from .evm import summed_components, ratios_from_totals
 
 # ---------------------------------------------------------------- change orders
 
@@ -32,7 +32,7 @@ def change_order_aging(fact_co: DataFrame) -> DataFrame:
     lag = F.col("co_approval_lag_days")
     out = fact_co.groupBy("building_id", "status").agg(
         F.count(F.lit(1)).alias("co_count"),
-        F.sum("cost_impact").alias("total_cost_impact"),
+        money_sum("cost_impact").alias("total_cost_impact"),
         F.avg(lag).alias("avg_approval_lag"),
         F.count_if(lag.between(0, 15)).alias("bucket_0_15_days"),
         F.count_if(lag.between(16, 30)).alias("bucket_16_30_days"),
@@ -51,7 +51,7 @@ def co_open_exposure(fact_co: DataFrame, snapshot_date: str) -> DataFrame:
     a = F.col("age")
     return open_.groupBy("building_id").agg(
         F.count(F.lit(1)).alias("open_count"),
-        F.sum("cost_impact").alias("open_cost_impact"),
+        money_sum("cost_impact").alias("open_cost_impact"),
         F.avg(a).alias("avg_days_outstanding"),
         F.max(a).alias("max_days_outstanding"),
         F.count_if(a.between(0, 15)).alias("age_0_15_days"),
@@ -61,28 +61,33 @@ def co_open_exposure(fact_co: DataFrame, snapshot_date: str) -> DataFrame:
     )
 
 
-# Waterfall steps in display order.
+# Waterfall steps in display order; every other status, and none, is "Other".
 WATERFALL_STEPS = (("Approved", 1, ("Approved",)), ("Pending", 2, OPEN_STATUSES), ("Rejected", 3, ("Rejected",)))
+OTHER_STEP = ("Other", 4)
 
 
 def co_waterfall(fact_co: DataFrame) -> DataFrame:
-    """Per building: approved -> pending -> rejected cost impact as start/end bars."""
-    step_name = F.lit(None).cast("string")
-    step_order = F.lit(None).cast("int")
+    """Per building: approved -> pending -> rejected -> other cost impact as start/end bars.
+
+    The last bar ends at the building's whole cost impact, whatever the statuses.
+    """
+    step_name, step_order = F.lit(OTHER_STEP[0]), F.lit(OTHER_STEP[1])
     for name, order, statuses in reversed(WATERFALL_STEPS):
         hit = F.col("status").isin(*statuses)
         step_name = F.when(hit, F.lit(name)).otherwise(step_name)
         step_order = F.when(hit, F.lit(order)).otherwise(step_order)
     steps = (
         fact_co.select("building_id", step_name.alias("step"), step_order.alias("step_order"), "cost_impact")
-        .where(F.col("step").isNotNull())
         .groupBy("building_id", "step", "step_order")
-        .agg(F.sum("cost_impact").alias("amount"), F.count(F.lit(1)).alias("co_count"))
+        .agg(F.sum(F.round(F.col("cost_impact") * F.lit(100.0)).cast("bigint")).alias("cents"),
+             F.count(F.lit(1)).alias("co_count"))
     )
     run = Window.partitionBy("building_id").orderBy("step_order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    end = F.sum("amount").over(run)
-    return steps.select("building_id", "step", "step_order", "co_count", "amount",
-                        (end - F.col("amount")).alias("bar_start"), end.alias("bar_end"))
+    cents = F.coalesce(F.col("cents"), F.lit(0))
+    end = F.sum(cents).over(run)
+    dollars = lambda c: c.cast("double") / F.lit(100.0)
+    return steps.select("building_id", "step", "step_order", "co_count", dollars(cents).alias("amount"),
+                        dollars(end - cents).alias("bar_start"), dollars(end).alias("bar_end"))
 
 
 # ---------------------------------------------------------------- pay applications
@@ -111,8 +116,10 @@ def cash_flow_by_period(fact_pay: DataFrame) -> DataFrame:
         F.sum("retainage_held").alias("retainage_held"),
         F.sum("net_payment_due").alias("net_payment_due"),
     )
+    # rows whose period cannot be read are a row of their own, outside the running total
+    known = F.col("period").isNotNull()
     run = Window.partitionBy("building_id").orderBy("period").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return monthly.withColumn("running_monthly_spend", F.sum("monthly_spend").over(run))
+    return monthly.withColumn("running_monthly_spend", F.when(known, F.sum(F.when(known, F.col("monthly_spend"))).over(run)))
 
 
 def pay_app_reconciliation(fact_pay: DataFrame) -> DataFrame:
@@ -151,29 +158,43 @@ def retainage_audit(fact_pay: DataFrame) -> DataFrame:
     """Row checks on each application, counted per (building, contractor).
 
     earned = to_date + stored; held = round(earned * pct / 100); net = earned - held.
+    A row with an amount missing is counted in ``missing_amounts``; it breaks
+    only those checks whose amounts it has.
     """
     expected_held = F.round(F.col("total_earned") * F.col("retainage_pct") / F.lit(100.0)).cast("bigint")
-    earned_bad = F.col("total_earned") != F.col("work_completed_to_date") + F.col("stored_materials")
-    held_bad = F.col("retainage_held") != expected_held
-    net_bad = F.col("net_payment_due") != F.col("total_earned") - F.col("retainage_held")
+    earned = F.col("work_completed_to_date") + F.col("stored_materials")
+    net = F.col("total_earned") - F.col("retainage_held")
+    off = lambda value, expected: F.coalesce(value != expected, F.lit(False))
+    amounts = ("total_earned", "work_completed_to_date", "stored_materials", "retainage_pct", "retainage_held",
+               "net_payment_due")
+    missing = F.lit(False)
+    for name in amounts:
+        missing = missing | F.col(name).isNull()
+    earned_bad = off(F.col("total_earned"), earned)
+    held_bad = off(F.col("retainage_held"), expected_held)
+    net_bad = off(F.col("net_payment_due"), net)
     return fact_pay.groupBy("building_id", "contractor_name").agg(
         F.count(F.lit(1)).alias("pay_app_count"),
         F.count_if(earned_bad).alias("earned_breaks"),
         F.count_if(held_bad).alias("retainage_breaks"),
         F.count_if(net_bad).alias("net_payment_breaks"),
         F.sum(F.abs(F.col("retainage_held") - expected_held)).alias("retainage_diff_amount"),
+        F.count_if(missing).alias("missing_amounts"),
     )
 
 
 SCURVE_SHAPES = ("linear", "sine")
 
 
-def scurve_vs_baseline(fact_pay: DataFrame, shape: str = "linear") -> DataFrame:
+def scurve_vs_baseline(fact_pay: DataFrame, shape: str = "linear", planned_end: str | None = None) -> DataFrame:
     """Cumulative actual spend vs a planned S-curve per building and month.
 
     The baseline is not in the data: the building's total scheduled value
-    (one contract value per contractor) is spread over the building's billed
-    months along ``shape`` (linear, or the sine ``(1 - cos(pi t)) / 2``).
+    (one contract value per contractor) is spread over the calendar months
+    from its first billed one to ``planned_end`` ('yyyy-MM'; none: its last
+    billed month) along ``shape`` (linear, or the sine ``(1 - cos(pi t)) / 2``).
+    Contractor names must be clean, or a contract counts once a spelling.
+    Spend whose period cannot be read is a row of its own, outside the curve.
     """
     if shape not in SCURVE_SHAPES:
         raise ValueError(f"shape must be one of {SCURVE_SHAPES}")
@@ -183,23 +204,29 @@ def scurve_vs_baseline(fact_pay: DataFrame, shape: str = "linear") -> DataFrame:
         norm.groupBy("building_id", "contractor_name", "trade").agg(F.max("scheduled_value").alias("sv"))
         .groupBy("building_id").agg(F.sum("sv").alias("budget"))
     )
-    w = Window.partitionBy("building_id").orderBy("period")
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    known = F.col("period").isNotNull()
+    building = Window.partitionBy("building_id")
+    run = building.orderBy("period").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    month = lambda c: F.to_date(c, "yyyy-MM")
+    first = F.min("period").over(building)
+    last = F.max("period").over(building) if planned_end is None else F.lit(planned_end)
+    nth = lambda c: F.round(F.months_between(month(c), month(F.col("first_period"))) + F.lit(1)).cast("bigint")
     seq = monthly.select(
         "building_id", "period", "monthly_spend",
-        F.sum("monthly_spend").over(run).alias("actual_cumulative"),
-        F.row_number().over(w).alias("i"),
-        F.count(F.lit(1)).over(Window.partitionBy("building_id")).alias("n"),
+        F.when(known, F.sum(F.when(known, F.col("monthly_spend"))).over(run)).alias("actual_cumulative"),
+        first.alias("first_period"), last.alias("last_period"),
     ).join(contract, "building_id")
-    t = F.col("i").cast("double") / F.col("n").cast("double")
+    # planned to be done at the end, and from then on
+    t = F.least(F.lit(1.0), nth(F.col("period")).cast("double") / F.greatest(nth(F.col("last_period")), F.lit(1)).cast("double"))
     frac = t if shape == "linear" else (F.lit(1.0) - F.cos(F.lit(3.141592653589793) * t)) / F.lit(2.0)
-    baseline = F.round(F.col("budget") * frac, 0)
+    baseline = F.when(known, F.round(F.col("budget") * frac, 0))
     out = seq.select("building_id", "period", "monthly_spend", "actual_cumulative",
                      baseline.alias("baseline_cumulative"))
     diff = F.col("actual_cumulative") - F.col("baseline_cumulative")
     return out.withColumns({
         "variance_to_baseline": diff,
-        "position": F.when(diff > 0, F.lit("ahead")).when(diff < 0, F.lit("behind")).otherwise(F.lit("on plan")),
+        "position": F.when(F.col("period").isNull(), F.lit("unassigned")).when(diff > 0, F.lit("ahead"))
+        .when(diff < 0, F.lit("behind")).otherwise(F.lit("on plan")),
     })
 
 
@@ -237,54 +264,56 @@ def _safe_name(value: str) -> str:
 def variance_matrix(fact_cost: DataFrame, buildings: Sequence[str], overrun_pct: float = -2.0) -> DataFrame:
     """WBS-1 x building matrix of variance and variance %, with a row band.
 
-    Pivot values are passed in, so Spark skips the value-discovery job.  Band
+    The listed buildings have columns of their own; ``other`` sums all that
+    are not listed, null ids included, so the total is over every row.  Band
     on the row total: ``overrun`` below ``overrun_pct`` %, ``watch`` below 0,
     else ``ok``.
     """
     names = [_safe_name(b) for b in buildings]
-    if len(set(names)) != len(names):
+    if len(set(names)) != len(names) or "other" in names:
         raise ValueError(f"building ids collide after making column names: {list(buildings)}")
-    p = fact_cost.groupBy("wbs_level_1").pivot("building_id", list(buildings)).agg(
-        F.sum("variance").alias("v"), F.sum("approved_budget").alias("b")
-    )
+    listed = F.coalesce(F.col("building_id").isin(*buildings), F.lit(False)) if buildings else F.lit(False)
+    slices = {n: F.col("building_id") == F.lit(b) for n, b in zip(names, buildings)} | {"other": ~listed}
+    sums = []
+    for n, hit in slices.items():
+        sums += [F.sum(F.when(hit, F.col("variance"))).alias(f"variance_{n}"),
+                 F.sum(F.when(hit, F.col("approved_budget"))).alias(f"b_{n}")]
+    p = fact_cost.groupBy("wbs_level_1").agg(*sums, F.coalesce(F.sum("variance"), F.lit(0)).alias("total_variance"),
+                                             F.coalesce(F.sum("approved_budget"), F.lit(0)).alias("b_total"))
     cols = [F.col("wbs_level_1")]
-    for b in buildings:
-        n = _safe_name(b)
-        cols.append(F.col(f"`{b}_v`").alias(f"variance_{n}"))
-        cols.append(pct(F.col(f"`{b}_v`"), F.col(f"`{b}_b`"), 2).alias(f"variance_pct_{n}"))
-    tot_v = sum((F.coalesce(F.col(f"`{b}_v`"), F.lit(0)) for b in buildings), F.lit(0).cast("bigint"))
-    tot_b = sum((F.coalesce(F.col(f"`{b}_b`"), F.lit(0)) for b in buildings), F.lit(0).cast("bigint"))
-    out = p.select(*cols, tot_v.alias("total_variance"), pct(tot_v, tot_b, 2).alias("total_variance_pct"))
-    tp = F.col("total_variance_pct")
-    return out.withColumn(
-        "band", F.when(tp < F.lit(overrun_pct), F.lit("overrun")).when(tp < 0, F.lit("watch")).otherwise(F.lit("ok"))
-    )
+    for n in slices:
+        cols += [F.col(f"variance_{n}"), pct(F.col(f"variance_{n}"), F.col(f"b_{n}"), 2).alias(f"variance_pct_{n}")]
+    tp = pct(F.col("total_variance"), F.col("b_total"), 2)
+    return p.select(*cols, "total_variance", tp.alias("total_variance_pct"),
+                    F.when(tp < F.lit(overrun_pct), F.lit("overrun")).when(tp < 0, F.lit("watch")).otherwise(F.lit("ok")).alias("band"))
 
 
-def variance_drill_through(fact_cost: DataFrame, top_k: int | None = None) -> DataFrame:
-    """Cost codes inside each (WBS-1, building) cell with share of the overrun and rank.
+def variance_drill_through(fact_cost: DataFrame, top_k: int | None = None,
+                           cell: Sequence[str] = ("wbs_level_1", "building_id")) -> DataFrame:
+    """Cost codes inside each cell with share of the overrun and rank.
 
     Rank 1 = most negative variance (ties by cost code).  ``share_of_overrun``
     is the code's overrun over the cell's total overrun (overrun = negative
-    variance only).  With ``top_k`` only the worst k per cell are kept --
-    Spark plans this as a window group limit, so each partition drops rows
-    before the window is computed.
+    variance only).  With ``top_k`` only the worst k per cell are kept: the
+    cell totals are an aggregate joined back, so the rank is the only window
+    and Spark drops rows before it is computed (a window group limit).
     """
-    codes = fact_cost.groupBy("wbs_level_1", "building_id", "cost_code").agg(
+    keys = list(cell)
+    codes = fact_cost.groupBy(*keys, "cost_code").agg(
         F.sum("variance").alias("variance"),
         F.sum("approved_budget").alias("approved_budget"),
     )
-    cell = Window.partitionBy("wbs_level_1", "building_id")
     overrun = F.greatest(-F.col("variance"), F.lit(0))
-    ranked = codes.select(
-        "*",
-        F.row_number().over(cell.orderBy(F.col("variance").asc_nulls_last(), "cost_code")).alias("rank_in_cell"),
-        F.sum(overrun).over(cell).alias("cell_overrun"),
-    )
+    worst = Window.partitionBy(*keys).orderBy(F.col("variance").asc_nulls_last(), "cost_code")
+    ranked = codes.withColumn("rank_in_cell", F.row_number().over(worst))
     if top_k is not None:
         ranked = ranked.where(F.col("rank_in_cell") <= top_k)
-    return ranked.select(
-        "wbs_level_1", "building_id", "cost_code", "variance", "approved_budget", "rank_in_cell",
+    totals = codes.groupBy(*[F.col(k).alias(f"t_{k}") for k in keys]).agg(F.sum(overrun).alias("cell_overrun"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"t_{k}"))
+    return ranked.join(totals, same).select(
+        *keys, "cost_code", "variance", "approved_budget", "rank_in_cell",
         F.round(ratio(overrun, "cell_overrun"), 4).alias("share_of_overrun"),
     )
 
@@ -293,7 +322,11 @@ def variance_drill_through(fact_cost: DataFrame, top_k: int | None = None) -> Da
 
 
 def schedule_slippage(fact_sched: DataFrame) -> DataFrame:
-    """Per (building, WBS-1): progress counts, start / finish slip, duration overrun, float risk."""
+    """Per (building, WBS-1): progress counts, start / finish slip, duration overrun, float risk.
+
+    Finished, in progress and not started add up to the activities; a finish
+    without a start is finished, and counted on its own besides.
+    """
     started = F.col("actual_start").isNotNull()
     finished = F.col("actual_finish").isNotNull()
     start_slip = F.datediff("actual_start", "planned_start")
@@ -303,7 +336,8 @@ def schedule_slippage(fact_sched: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("activity_count"),
         F.count_if(finished).alias("finished_count"),
         F.count_if(started & ~finished).alias("in_progress_count"),
-        F.count_if(~started).alias("not_started_count"),
+        F.count_if(~started & ~finished).alias("not_started_count"),
+        F.count_if(~started & finished).alias("finished_without_start_count"),
         F.avg(start_slip).alias("avg_start_slip_days"),
         F.avg(finish_slip).alias("avg_finish_slip_days"),
         F.sum(overrun).alias("duration_overrun_days"),
@@ -315,31 +349,38 @@ def schedule_slippage(fact_sched: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- star join
 
 
-def star_join_report(fact_co: DataFrame, dim_date: DataFrame, dim_building: DataFrame, dim_wbs: DataFrame,
-                     max_dim_rows: int = 1_000_000) -> DataFrame:
+def star_join_report(fact_co: DataFrame, dim_date: DataFrame, dim_building: DataFrame,
+                     dim_wbs: DataFrame) -> DataFrame:
     """Change orders through the date, building and WBS dimensions.
 
-    The fact joins ``dim_date`` on the integer ``date_key``.  Each dimension
-    (pruned to the join key and the attributes used) is materialised and
-    counted first; within ``max_dim_rows`` it is broadcast, so the fact is
-    never shuffled for the joins -- only its partial aggregate moves.
+    The fact joins ``dim_date`` on the integer ``date_key``.  The dimensions
+    are read from staged tables, whose size in bytes Spark knows: it
+    broadcasts those below its own limit, so only the partial aggregate of
+    the fact moves, and shuffles the others.
     """
     f = fact_co.select(
         "building_id", "wbs_code", "wbs_level_1", "cost_impact",
         F.date_format("submitted_date", "yyyyMMdd").cast("int").alias("date_key"),
     )
-    d_date, d_bld, d_wbs = materialize_small_all([
-        dim_date.select("date_key", "year", "quarter"),
-        dim_building.select("building_id", "campus"),
-        dim_wbs.select("wbs_code", "wbs_level_1", "wbs_level_2"),
-    ], max_dim_rows)
     j = (
-        f.join(d_date, "date_key", "left")
-        .join(d_bld, "building_id", "left")
-        .join(d_wbs, ["wbs_code", "wbs_level_1"], "left")
+        f.join(dim_date.select("date_key", "year", "quarter"), "date_key", "left")
+        .join(dim_building.select("building_id", "campus"), "building_id", "left")
+        .join(dim_wbs.select("wbs_code", "wbs_level_1", "wbs_level_2"), ["wbs_code", "wbs_level_1"], "left")
     )
     return j.groupBy("year", "quarter", "campus", "building_id", "wbs_level_1").agg(
         F.count(F.lit(1)).alias("co_count"),
-        F.sum("cost_impact").alias("total_cost_impact"),
+        money_sum("cost_impact").alias("total_cost_impact"),
         F.count_if(F.col("wbs_level_2").isNotNull()).alias("with_level_2"),
     )
+
+
+def star_cost_report(fact_cost: DataFrame, dim_building: DataFrame, dim_wbs: DataFrame) -> DataFrame:
+    """Earned value per campus, building and WBS level 1 and 2, through the dimensions.
+
+    Level 2 comes from ``dim_wbs`` by the fact's cost code; like
+    ``star_join_report`` it leaves the join strategy to Spark.
+    """
+    f = fact_cost.drop("wbs_level_2").join(dim_building.select("building_id", "campus"), "building_id", "left")
+    codes = dim_wbs.select(F.col("wbs_code").alias("cost_code"), "wbs_level_1", "wbs_level_2")
+    j = f.join(codes, ["cost_code", "wbs_level_1"], "left")
+    return ratios_from_totals(summed_components(j, ["campus", "building_id", "wbs_level_1", "wbs_level_2"]))

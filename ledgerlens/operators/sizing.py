@@ -1,88 +1,21 @@
-"""Sizing decisions: broadcast only what is proven or checked small.
+"""Small derived sides of a join: written once, then sized in bytes by Spark.
 
-* ``broadcast_if_small`` -- counts at most ``max_rows + 1`` rows of a cheap
-  side (a ``limit`` job that stops early; e.g. a table built from a
-  parameter list) and hints a broadcast only when it fits; otherwise the
-  join stays a shuffle join.
-* ``materialize_small`` / ``materialize_small_all`` -- for a small side
-  *derived* from big data (a distinct-name map, a dimension built from
-  facts): materialise it once (reliable checkpoint), then size-check it, so
-  the big side is never shuffled just to meet it.
-* ``spread_narrow_input`` -- give an input that arrives in too few
-  partitions the cluster's parallelism; a no-op for wide inputs.
-
-Fixed-size tables (TPC-H nation / region) are hinted directly by the caller.
+A side that is derived from big data (a distinct-name map, a dimension) has
+no known size when the join is planned, so the big side would be shuffled to
+meet it.  Written as Parquet it has one: Spark broadcasts it below its own
+byte limit (``spark.sql.autoBroadcastJoinThreshold``) and shuffles it above.
+Nothing is hinted here, and no row count stands in for bytes.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def materialize_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Materialise a side derived from big data, then broadcast it if it fits.
-
-    For a join of a big fact with a small *derived* side (a name map, a
-    dimension built from the facts), AQE can only switch to a broadcast
-    after both map stages ran -- the big side has then been shuffled
-    already.  Computing the small side first (reliable ``checkpoint()`` into
-    the session's checkpoint folder, so it survives executor loss and is not
-    recomputed) and counting it lets the join broadcast it without moving
-    the fact.  Above ``max_rows`` it stays a shuffle join.
-    """
-    from ..session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    staged = df.checkpoint(eager=True)
-    return broadcast_if_small(staged, max_rows)
-
-
-def spread_narrow_input(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
-    """Hash-repartition an input that arrives in fewer partitions than the
-    cluster can run at once (e.g. one big row group or an unsplittable file).
-
-    Wide inputs (the normal case at scale: thousands of splits) are left
-    untouched, so no shuffle is added there.  Hashing on ``key`` keeps the
-    assignment deterministic when a task is retried.
-    """
-    try:
-        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        files = tuple(sorted(df.inputFiles()))
-        if not files:
-            splits = df.rdd.getNumPartitions()
-        else:
-            if files not in _SPLITS:
-                _SPLITS[files] = df.rdd.getNumPartitions()
-            splits = _SPLITS[files]
-    except Exception:  # e.g. a Spark Connect session: no RDD view; leave the input as is
-        return df
-    if splits >= n:
-        return df
-    return df.repartition(n, key) if key else df.repartition(n)
-
-
-_SPLITS: dict[tuple[str, ...], int] = {}  # input files -> scan partitions (planning-time, per process)
-
-
-def materialize_small_all(dfs: list[DataFrame], max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> list[DataFrame]:
-    """``materialize_small`` for several independent sides, submitted together.
 
-    Spark runs jobs from different driver threads concurrently, so the small
-    sides are computed side by side instead of one after another.
-    """
-    from concurrent.futures import ThreadPoolExecutor
+from ..session import scratch_path
 
-    from ..session import ensure_checkpoint_dir
 
-    if dfs:
-        ensure_checkpoint_dir(dfs[0].sparkSession)  # once, before the threads start
-    with ThreadPoolExecutor(max_workers=max(1, len(dfs))) as pool:
-        return list(pool.map(lambda d: materialize_small(d, max_rows), dfs))
+def staged(df: DataFrame, name: str = "staged") -> DataFrame:
+    """``df`` written below the shared checkpoint folder and read again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

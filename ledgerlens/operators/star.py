@@ -60,12 +60,15 @@ def fact_pay_applications(raw: DataFrame, rules=DEFAULT_VENDOR_RULES, fuzzy: boo
 
 def dim_building(sources: Sequence[DataFrame], campus: str, client: str, program_value_usd: int,
                  snapshot_date: str) -> DataFrame:
-    """Distinct building ids over all sources + programme constants (parameters)."""
+    """Distinct building ids over all sources + programme constants (parameters).
+
+    Rows without an id have a row of their own, with a null id.
+    """
     ids = None
     for df in sources:
         part = df.select("building_id")
         ids = part if ids is None else ids.unionByName(part)
-    return ids.where(F.col("building_id").isNotNull()).distinct().select(
+    return ids.distinct().select(
         "building_id",
         F.lit(campus).alias("campus"),
         F.lit(client).alias("client"),

@@ -3,8 +3,8 @@
 Differences from a straight script, all for scale:
 
 * raw files are read with declared schemas (no inference pass per file);
-* the four row counts are one job (tagged union + group), not four, and are
-  taken from the staged facts (row-preserving) rather than a second CSV parse;
+* the exports are parsed once, into staged typed tables; the four row counts
+  are one job (tagged union + group) over those, and are held against the facts;
 * each fact is computed once and staged as Parquet, and the dimensions are
   derived from the staged facts (column-pruned Parquet scans), instead of
   re-reading and re-cleaning the raw text for every table;
@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import SENTINEL_DATE
 from ..operators import clean, star
-from ..operators.vendors import DEFAULT_VENDOR_RULES
+from ..operators.sizing import staged as staged_table
+from ..operators.vendors import DEFAULT_VENDOR_RULES, vendor_rule_map
 from ..sources import files
 from ..sources.schemas import RAW_SOURCES, STAR_TABLES
 
@@ -48,10 +49,9 @@ class ProgramConfig:
         "fact_project_cost": ["building_id"], "fact_change_orders": ["building_id"],
         "fact_schedule": ["building_id"], "fact_pay_applications": ["building_id"],
     })
-    extra: dict = field(default_factory=dict)
 
 
-# Which fact holds the rows of each raw export (one row per raw row).
+# The fact that each raw export becomes, one row per raw row.
 SOURCE_FACT = {
     "cost_ledger": "fact_project_cost",
     "change_orders": "fact_change_orders",
@@ -61,8 +61,28 @@ SOURCE_FACT = {
 
 
 def read_raw(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
-    """Read the four raw exports (keys of ``RAW_SOURCES``) with declared schemas."""
-    return {name: files.read_csv_typed(spark, paths[name], RAW_SOURCES[name]) for name in RAW_SOURCES}
+    """Read the four raw exports (keys of ``RAW_SOURCES``) with declared schemas and the
+    raw text of rows that do not fit them."""
+    return {name: files.read_csv_typed(spark, paths[name], RAW_SOURCES[name], corrupt_column=files.CORRUPT)
+            for name in RAW_SOURCES}
+
+
+def quality_profile(raw: Mapping[str, DataFrame], cfg: ProgramConfig) -> DataFrame:
+    """The data-quality census of all four exports (source, column_name, metric, value)."""
+    canonical = list(dict.fromkeys(cfg.canonical_vendors or [c for _, c in cfg.vendor_rules]))
+    dates = {"change_orders": ["submitted_date", "approved_date"], "schedule": star.SCHEDULE_DATES}
+    vendors = {"cost_ledger": "vendor_name", "pay_applications": "contractor_name"}
+    periods = {"cost_ledger": ["period_month"], "pay_applications": ["period"]}
+    out = None
+    for name, df in raw.items():
+        vendor = vendors.get(name)
+        if vendor:
+            df = vendor_rule_map(df, vendor, "__clean", cfg.vendor_rules)
+        part = clean.null_profile(df.drop(files.CORRUPT), name, date_columns=dates.get(name, ()),
+                                  vendor_columns={vendor: "__clean"} if vendor else None, canonical=canonical,
+                                  period_columns=periods.get(name, ()))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def build_facts(raw: Mapping[str, DataFrame], cfg: ProgramConfig) -> dict[str, DataFrame]:
@@ -83,16 +103,19 @@ def _date_span(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(F.least(*[F.min(r) for r in real]).alias("lo"), F.greatest(*[F.max(r) for r in real]).alias("hi"))
 
 
+def fact_calendar(co: DataFrame, sched: DataFrame) -> DataFrame:
+    """The calendar of every date a fact carries (the open-item sentinel is ignored)."""
+    spans = _date_span(co, ["submitted_date", "approved_date"]).unionByName(_date_span(sched, star.SCHEDULE_DATES))
+    return star.calendar_spanning(spans, ["lo", "hi"])
+
+
 def build_dims(spark: SparkSession, facts: Mapping[str, DataFrame], cfg: ProgramConfig) -> dict[str, DataFrame]:
     cost, co = facts["fact_project_cost"], facts["fact_change_orders"]
     sched, pay = facts["fact_schedule"], facts["fact_pay_applications"]
     if cfg.calendar_start and cfg.calendar_end:
         dim_date = star.calendar(spark, cfg.calendar_start, cfg.calendar_end)
-    else:  # every date any fact carries (the open-item sentinel is ignored)
-        dim_date = star.calendar_spanning(
-            _date_span(co, ["submitted_date", "approved_date"]).unionByName(_date_span(sched, star.SCHEDULE_DATES)),
-            ["lo", "hi"],
-        )
+    else:
+        dim_date = fact_calendar(co, sched)
     return {
         "dim_building": star.dim_building([cost, co, sched, pay], cfg.campus, cfg.client, cfg.program_value_usd,
                                           cfg.snapshot_date),
@@ -104,27 +127,33 @@ def build_dims(spark: SparkSession, facts: Mapping[str, DataFrame], cfg: Program
 
 def run(spark: SparkSession, raw_paths: Mapping[str, str], out_root: str, cfg: ProgramConfig,
         jdbc: Mapping[str, object] | None = None) -> dict:
-    """Run the whole job; returns the source row audit and the written paths.
+    """Run the whole job; returns the audit, the corrupt rows and the written paths.
 
-    Facts are written first and re-read, so dimension builds scan staged
-    Parquet.  With ``jdbc`` (``url``, ``properties``, optional
+    The exports are parsed once, into staged typed tables: the audit counts
+    their rows, the profile (table ``data_quality``) and the facts read them.
+    A fact that has not as many rows as its export is an error.  With ``jdbc`` (``url``, ``properties``, optional
     ``num_partitions``) each table is also loaded into the warehouse.
     """
-    raw = read_raw(spark, raw_paths)
+    raw = {name: staged_table(df, f"raw-{name}") for name, df in read_raw(spark, raw_paths).items()}
+    audit = {r["source"]: r["row_count"] for r in clean.source_row_audit(raw).collect()}  # 4 rows
+    corrupt = {r["source"]: r["row_count"] for r in clean.source_row_audit(
+        {name: df.where(F.col(files.CORRUPT).isNotNull()) for name, df in raw.items()}).collect()}  # 4 rows
+    raw = {name: df.drop(files.CORRUPT) for name, df in raw.items()}
+    files.write_table(quality_profile(raw, cfg), f"{out_root.rstrip('/')}/data_quality")
     fact_paths = files.write_star(build_facts(raw, cfg), out_root, partition_by=cfg.fact_partitions)
     staged = {name: spark.read.schema(STAR_TABLES[name]).parquet(path).select(*STAR_TABLES[name].fieldNames())
               for name, path in fact_paths.items()}
-    # Every fact keeps one row per raw row, so the source audit is counted on the
-    # staged Parquet (largely from file metadata) instead of a second CSV parse.
-    audit_input = {source: staged[fact] for source, fact in SOURCE_FACT.items()}
-    audit = {r["source"]: r["row_count"] for r in clean.source_row_audit(audit_input).collect()}  # 4 rows
+    loaded = {r["source"]: r["row_count"] for r in clean.source_row_audit(
+        {source: staged[fact] for source, fact in SOURCE_FACT.items()}).collect()}  # 4 rows
+    if loaded != audit:
+        raise RuntimeError(f"rows read {audit}, rows in the facts {loaded}")
     dim_paths = files.write_star(build_dims(spark, staged, cfg), out_root)
     paths = {**fact_paths, **dim_paths}
     if jdbc:
         for name, path in paths.items():
             files.write_jdbc(spark.read.parquet(path), jdbc["url"], name, jdbc["properties"],
                              num_partitions=jdbc.get("num_partitions"))
-    return {"audit": audit, "paths": paths}
+    return {"audit": audit, "corrupt": corrupt, "paths": paths}
 
 
 def main(argv: Sequence[str] | None = None) -> None:

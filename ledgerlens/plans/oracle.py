@@ -66,7 +66,7 @@ cost_base AS (
          CAST(l_quantity AS INTEGER) AS q,
          CAST(round(l_discount * 100) AS INTEGER) AS dp,
          CAST(l_shipdate AS DATE) AS ship,
-         'BLD-' || CAST(r_regionkey AS VARCHAR) AS building_id
+         CASE WHEN l_orderkey % {B.COST_NO_BUILDING_MOD} <> 0 THEN 'BLD-' || CAST(r_regionkey AS VARCHAR) END AS building_id
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
        JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 ),
@@ -84,7 +84,8 @@ cost_raw AS (
          CAST(floor(approved_budget * (36 + q + ln) / {D100}) AS BIGINT) AS planned_value,
          (40 + q) / {D100} AS percent_complete_actual,
          (36 + q + ln) / {D100} AS percent_complete_baseline,
-         date_trunc('month', ship)::DATE AS period_start,
+         CASE WHEN month(ship) = {B.JUNK_PERIOD_MONTH} AND year(ship) % 2 = 0 THEN NULL
+              ELSE date_trunc('month', ship)::DATE END AS period_start,
          building_id, okey
   FROM cost_base
 ),
@@ -106,7 +107,8 @@ cost_fact AS (
 )"""
 
 CO_STATUS = (
-    "CASE WHEN o_orderstatus = 'F' THEN 'Approved' "
+    f"CASE WHEN o_orderkey % {B.VOID_MOD} = 0 THEN 'Void' WHEN o_orderkey % {B.NO_STATUS_MOD} = 0 THEN NULL "
+    "WHEN o_orderstatus = 'F' THEN 'Approved' "
     "WHEN o_orderstatus = 'P' AND o_orderkey % 3 = 0 THEN 'Rejected' "
     "WHEN o_orderkey % 2 = 0 THEN 'Pending' ELSE 'Under Review' END"
 )
@@ -117,14 +119,14 @@ co_base AS (
          'CO-' || CAST(o_orderkey AS VARCHAR) AS change_order_id,
          CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'OCO'
               WHEN o_orderpriority = '3-MEDIUM' THEN 'COR' ELSE 'PCO' END AS co_type,
-         'Scope change – order ' || CAST(o_orderkey AS VARCHAR) AS description,
+         'Scope "change", order ' || CAST(o_orderkey AS VARCHAR) || ', "left"' AS description,
          CAST(o_orderdate AS DATE) AS sub_true,
          CAST(o_orderdate AS DATE) + CAST((o_orderkey * 13) % 54 - 2 AS INTEGER) AS dec_true,
          {CO_STATUS} AS status,
-         CAST(CAST(round(o_totalprice * 100) AS BIGINT) - 5000000 AS DOUBLE) AS cost_impact,
+         CAST(CAST(round(o_totalprice * 100) AS BIGINT) - 5000000 AS DOUBLE) / {D100} AS cost_impact,
          CAST(o_orderkey % 46 AS INTEGER) AS schedule_impact_days,
          {_list(B.CO_PARTIES)}[o_orderkey % {len(B.CO_PARTIES)} + 1] AS responsible_party,
-         'BLD-' || CAST(o_custkey % 5 AS VARCHAR) AS building_id,
+         CASE WHEN o_orderkey % {B.CO_NO_BUILDING_MOD} <> 0 THEN 'BLD-' || CAST(o_custkey % 5 AS VARCHAR) END AS building_id,
          o_orderpriority || '.' || CAST(o_custkey % 10 AS VARCHAR) AS wbs_code,
          o_orderpriority AS wbs_level_1
   FROM orders
@@ -210,24 +212,28 @@ pay_calc AS (
 ),
 pay_raw AS (
   SELECT 'PA-' || CAST(region AS VARCHAR) || '-' || CAST(contractor AS VARCHAR) || '-' || CAST(seq AS VARCHAR) AS pay_app_id,
-         CASE WHEN seq % 10 < {B.PAY_PERIOD_ALT} THEN strftime(month, '%B %Y') ELSE strftime(month, '%Y-%m') END AS period,
-         strftime(month, '%Y-%m') AS period_label, month AS period_start,
+         CASE WHEN seq % {B.PAY_JUNK_PERIOD_MOD} = 0 THEN {_q(B.JUNK_TEXT)}
+              WHEN seq % 10 < {B.PAY_PERIOD_ALT} THEN strftime(month, '%B %Y') ELSE strftime(month, '%Y-%m') END AS period,
+         CASE WHEN seq % {B.PAY_JUNK_PERIOD_MOD} <> 0 THEN strftime(month, '%Y-%m') END AS period_label,
+         CASE WHEN seq % {B.PAY_JUNK_PERIOD_MOD} <> 0 THEN month END AS period_start,
          seq AS period_sequence,
          'BLD-' || CAST(region AS VARCHAR) AS building_id,
          {VARIANTS}[contractor * 5 + seq % 5 + 1] AS contractor_raw,
+         {_list(B.CANONICAL_VENDORS)}[contractor + 1] AS contractor_true,
          {_list(B.CONTRACTOR_TRADES)}[contractor + 1] AS trade,
          scheduled AS scheduled_value, this_period AS work_completed_this_period,
          to_date AS work_completed_to_date, stored AS stored_materials, earned AS total_earned,
          pct AS retainage_pct,
-         held + CASE WHEN (seq * 7 + contractor) % {B.RETAINAGE_BREAK_MOD} = 0 THEN {B.RETAINAGE_ERROR} ELSE 0 END
-           AS retainage_held,
-         earned - held AS net_payment_due,
+         CASE WHEN (seq * 5 + contractor) % {B.HELD_NULL_MOD} <> 0
+              THEN held + CASE WHEN (seq * 7 + contractor) % {B.RETAINAGE_BREAK_MOD} = 0 THEN {B.RETAINAGE_ERROR} ELSE 0 END
+         END AS retainage_held,
+         CASE WHEN (seq * 11 + contractor) % {B.NET_NULL_MOD} <> 0 THEN earned - held END AS net_payment_due,
          {_list(B.PAY_STATUSES)}[seq % 4 + 1] AS pay_app_status
   FROM pay_calc
 ),
 pay_fact AS (
   SELECT pay_app_id, building_id, period, period_sequence,
-         {_rule_case('contractor_raw', RULES)} AS contractor_name,
+         contractor_true AS contractor_name, contractor_raw,
          trade, scheduled_value, work_completed_this_period, work_completed_to_date, stored_materials,
          total_earned, retainage_pct, retainage_held, net_payment_due, pay_app_status,
          period_label, period_start
@@ -260,6 +266,10 @@ FACT_PAY_COLS = (
 )
 
 
+def _money(agg: str, expr: str) -> str:
+    return f"CAST({agg}(CAST(round({expr} * 100) AS BIGINT)) AS DOUBLE) / {D100}"
+
+
 def _i(expr: str) -> str:
     return f"CAST({expr} AS BIGINT)"
 
@@ -283,8 +293,8 @@ FROM t"""
 
 def _fuzzy_key(expr: str) -> str:
     return (
-        f"array_to_string(list_sort(string_split(trim(regexp_replace(regexp_replace(lower({expr}), '[.'']', '', 'g'), "
-        f"'[^a-z0-9]+', ' ', 'g')), ' ')), ' ')"
+        f"array_to_string(list_sort(string_split(trim(regexp_replace(regexp_replace(strip_accents(lower({expr})), '[.'']', '', 'g'), "
+        f"'[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ')), ' ')"
     )
 
 
@@ -298,7 +308,7 @@ names AS (SELECT DISTINCT vendor_name AS raw FROM cost_raw
 names_k AS (SELECT raw, {_fuzzy_key('raw')} AS nk FROM names),
 scored AS (
   SELECT raw, canon_id, canonical,
-         CASE WHEN greatest(length(nk), length(ck)) = 0 THEN 100.0::DOUBLE
+         CASE WHEN least(length(nk), length(ck)) = 0 THEN 0.0::DOUBLE
               ELSE 100.0::DOUBLE * (1.0::DOUBLE - CAST(levenshtein(nk, ck) AS DOUBLE) / CAST(greatest(length(nk), length(ck)) AS DOUBLE))
          END AS score
   FROM names_k CROSS JOIN canon_k
@@ -320,7 +330,7 @@ def _layout_counts():
     from ..functions.dates import DATE_LAYOUTS
 
     sub_ok = f"okey % {B.BLANK_MOD} <> 0 AND okey % {B.JUNK_MOD} <> 0"
-    dec_ok = f"status NOT IN ('Pending', 'Under Review') AND okey % {B.APPROVED_JUNK_MOD} <> 0 AND {sub_ok}"
+    dec_ok = f"coalesce(status, '') NOT IN ('Pending', 'Under Review') AND okey % {B.APPROVED_JUNK_MOD} <> 0 AND {sub_ok}"
     out = []
     for i, fmt in enumerate(DATE_LAYOUTS):
         if i < 4:
@@ -355,10 +365,51 @@ CO_RAW_COLS = (
     "schedule_impact_days", "responsible_party", "building_id", "wbs_code", "wbs_level_1",
 )
 
+SCHED_RAW_COLS = (
+    "activity_id", "activity_name", "building_id", "wbs_level_1", "wbs_code", "planned_start", "planned_finish",
+    "actual_start", "actual_finish", "baseline_duration", "actual_duration", "percent_complete", "total_float_days",
+    "critical_path_flag",
+)
+PAY_RAW_COLS = (
+    "pay_app_id", "period", "period_sequence", "building_id", "contractor_name", "trade", "scheduled_value",
+    "work_completed_this_period", "work_completed_to_date", "stored_materials", "total_earned", "retainage_pct",
+    "retainage_held", "net_payment_due", "pay_app_status",
+)
+# Raw schedule dates: null, junk, or text in one of four layouts by the row's key.
+_BLANK, _JUNK = f"rk % {B.BLANK_MOD} = 0", f"(rk % {B.BLANK_MOD} <> 0 AND rk % {B.JUNK_MOD} = 0)"
+_SCHED_TEXT = {"planned_start": ("TRUE", 0), "planned_finish": ("TRUE", 1), "actual_start": ("st", 2), "actual_finish": ("fin", 3)}
+
+
+def _sched_profile():
+    from ..functions.dates import DATE_LAYOUTS
+
+    out = []
+    for column, (there, shift) in _SCHED_TEXT.items():
+        planned = there == "TRUE"
+        out.append((column, "unparseable", f"{there} AND {_JUNK}"))
+        for i, fmt in enumerate(DATE_LAYOUTS):
+            plain = f"(NOT {_BLANK} AND NOT {_JUNK} AND (rk + {shift}) % 4 = {i})" if i < 4 else "FALSE"
+            if planned and i == 0:  # a planned date is never blank: the first layout instead
+                plain = f"({plain} OR {_BLANK})"
+            out.append((column, f"layout {fmt}", f"{there} AND {plain}"))
+    return out
+
+
+SCHED_P = (
+    "sched_q AS (SELECT activity_id, activity_name, building_id, wbs_level_1, wbs_code, rk, st, fin, "
+    "'x' AS planned_start, 'x' AS planned_finish, "
+    f"CASE WHEN st AND NOT {_BLANK} THEN 'x' END AS actual_start, CASE WHEN fin AND NOT {_BLANK} THEN 'x' END AS actual_finish, "
+    "q AS baseline_duration, CASE WHEN fin OR st THEN 1 END AS actual_duration, 1 AS percent_complete, "
+    "1 AS total_float_days, 'x' AS critical_path_flag FROM sched_base)"
+)
+PAY_P = ("pay_p AS (SELECT pay_app_id, period, period_sequence, building_id, contractor_raw AS contractor_name, trade, scheduled_value, "
+         "work_completed_this_period, work_completed_to_date, stored_materials, total_earned, retainage_pct, retainage_held, "
+         "net_payment_due, pay_app_status FROM pay_raw)")
+
 _CANON_IN = "(" + ", ".join(_q(c) for c in B.CANONICAL_VENDORS) + ")"
 
 NULL_PROFILE = (
-    _with(COST_BASE, CO_BASE)
+    _with(COST_BASE, CO_BASE, SCHED, PAY, SCHED_P, PAY_P)
     + ", cost_p AS (SELECT *, 'x' AS period_month, "
     + f"{_rule_case('vendor_name', RULES)} AS vendor_clean FROM cost_raw) "
     + _profile("cost_ledger", "cost_p", COST_RAW_COLS,
@@ -368,6 +419,10 @@ NULL_PROFILE = (
                [("submitted_date", "unparseable", f"submitted_date = {_q(B.JUNK_TEXT)}"),
                 ("approved_date", "unparseable", f"approved_date = {_q(B.JUNK_TEXT)}")]
                + _layout_counts())
+    + " UNION ALL " + _profile("schedule", "sched_q", SCHED_RAW_COLS, _sched_profile())
+    + " UNION ALL "
+    + _profile("pay_applications", "pay_p", PAY_RAW_COLS,
+               [("contractor_name", "unmatched", "FALSE"), ("period", "unparseable", f"period = {_q(B.JUNK_TEXT)}")])
 )
 
 AUDIT = (
@@ -395,7 +450,7 @@ ids AS (SELECT building_id FROM cost_raw UNION SELECT building_id FROM co_base
         UNION SELECT building_id FROM sched_fact UNION SELECT building_id FROM pay_raw)
 SELECT building_id, {_q(C.CAMPUS)} AS campus, {_q(C.CLIENT)} AS client,
        CAST({C.PROGRAM_VALUE} AS BIGINT) AS program_value_usd, DATE '{C.SNAPSHOT}' AS snapshot_date
-FROM ids WHERE building_id IS NOT NULL"""
+FROM ids"""
 
 DIM_VENDOR = f"""{_with(COST_BASE, PAY)},
 names AS (SELECT vendor_name FROM cost_fact UNION SELECT contractor_name FROM pay_fact),
@@ -419,10 +474,14 @@ SELECT full_date, CAST(strftime(full_date, '%Y%m%d') AS INTEGER) AS date_key,
 FROM days"""
 
 
-DIM_DATE = _calendar(f"{CO}, span AS (SELECT min(submitted_date) AS s, max(submitted_date) AS e FROM co_fact)")
+DIM_DATE = _calendar(f"""{_with(CO_BASE, SCHED)},
+dates AS (SELECT submitted_date AS d FROM co_fact UNION ALL SELECT approved_date FROM co_fact WHERE approved_date < {SENT}
+          UNION ALL SELECT planned_start FROM sched_fact UNION ALL SELECT planned_finish FROM sched_fact
+          UNION ALL SELECT actual_start FROM sched_fact UNION ALL SELECT actual_finish FROM sched_fact),
+span AS (SELECT min(d) AS s, max(d) AS e FROM dates)""")
 
 AGING = f"""{CO}
-SELECT building_id, status, count(*) AS co_count, sum(cost_impact) AS total_cost_impact,
+SELECT building_id, status, count(*) AS co_count, {_money('sum', 'cost_impact')} AS total_cost_impact,
        avg(co_approval_lag_days) AS avg_approval_lag,
        count(*) FILTER (WHERE co_approval_lag_days BETWEEN 0 AND 15) AS bucket_0_15_days,
        count(*) FILTER (WHERE co_approval_lag_days BETWEEN 16 AND 30) AS bucket_16_30_days,
@@ -432,7 +491,7 @@ FROM co_fact GROUP BY building_id, status"""
 EXPOSURE = f"""{CO},
 o AS (SELECT building_id, cost_impact, CAST(datediff('day', submitted_date, DATE '{C.SNAPSHOT}') AS INTEGER) AS age
       FROM co_fact WHERE status IN ('Pending', 'Under Review'))
-SELECT building_id, count(*) AS open_count, sum(cost_impact) AS open_cost_impact,
+SELECT building_id, count(*) AS open_count, {_money('sum', 'cost_impact')} AS open_cost_impact,
        avg(age) AS avg_days_outstanding, max(age) AS max_days_outstanding,
        count(*) FILTER (WHERE age BETWEEN 0 AND 15) AS age_0_15_days,
        count(*) FILTER (WHERE age BETWEEN 16 AND 30) AS age_16_30_days,
@@ -443,15 +502,17 @@ FROM o GROUP BY building_id"""
 WATERFALL = f"""{CO},
 s AS (SELECT building_id,
              CASE WHEN status = 'Approved' THEN 'Approved' WHEN status IN ('Pending', 'Under Review') THEN 'Pending'
-                  WHEN status = 'Rejected' THEN 'Rejected' END AS step,
+                  WHEN status = 'Rejected' THEN 'Rejected' ELSE 'Other' END AS step,
              CASE WHEN status = 'Approved' THEN 1 WHEN status IN ('Pending', 'Under Review') THEN 2
-                  WHEN status = 'Rejected' THEN 3 END AS step_order, cost_impact
+                  WHEN status = 'Rejected' THEN 3 ELSE 4 END AS step_order, cost_impact
       FROM co_fact),
-g AS (SELECT building_id, step, CAST(step_order AS INTEGER) AS step_order, sum(cost_impact) AS amount, count(*) AS co_count
-      FROM s WHERE step IS NOT NULL GROUP BY ALL),
+g AS (SELECT building_id, step, CAST(step_order AS INTEGER) AS step_order,
+             sum(CAST(round(cost_impact * 100) AS BIGINT)) AS amount, count(*) AS co_count
+      FROM s GROUP BY ALL),
 r AS (SELECT *, sum(amount) OVER (PARTITION BY building_id ORDER BY step_order
                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bar_end FROM g)
-SELECT building_id, step, step_order, co_count, amount, bar_end - amount AS bar_start, bar_end FROM r"""
+SELECT building_id, step, step_order, co_count, CAST(amount AS DOUBLE) / {D100} AS amount,
+       CAST(bar_end - amount AS DOUBLE) / {D100} AS bar_start, CAST(bar_end AS DOUBLE) / {D100} AS bar_end FROM r"""
 
 RECON = f"""{PAYW}
 SELECT building_id, contractor_name, count(*) AS pay_app_count,
@@ -477,31 +538,32 @@ SELECT building_id, contractor_name, count(*) AS pay_app_count,
        count(*) FILTER (WHERE total_earned <> work_completed_to_date + stored_materials) AS earned_breaks,
        count(*) FILTER (WHERE retainage_held <> exp_held) AS retainage_breaks,
        count(*) FILTER (WHERE net_payment_due <> total_earned - retainage_held) AS net_payment_breaks,
-       {_i('sum(abs(retainage_held - exp_held))')} AS retainage_diff_amount
+       {_i('sum(abs(retainage_held - exp_held))')} AS retainage_diff_amount,
+       count(*) FILTER (WHERE retainage_held IS NULL OR net_payment_due IS NULL) AS missing_amounts
 FROM x GROUP BY building_id, contractor_name"""
 
 CASH_BY_PERIOD = f"""{PAYW},
 g AS (SELECT building_id, period_label AS period, {CASH_SUMS} FROM pay_fact GROUP BY building_id, period_label)
-SELECT *, CAST(sum(monthly_spend) OVER (PARTITION BY building_id ORDER BY period
-              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_monthly_spend
+SELECT *, (SELECT CAST(sum(x.monthly_spend) AS BIGINT) FROM g x
+           WHERE x.building_id = g.building_id AND x.period <= g.period) AS running_monthly_spend
 FROM g"""
 
 SCURVE = f"""{PAYW},
-m AS (SELECT building_id, period_label AS period, {_i('sum(work_completed_this_period)')} AS monthly_spend
-      FROM pay_fact GROUP BY building_id, period_label),
-c AS (SELECT building_id, {_i('sum(sv)')} AS budget FROM
-        (SELECT building_id, contractor_name, trade, max(scheduled_value) AS sv FROM pay_fact GROUP BY ALL)
-      GROUP BY building_id),
-s AS (SELECT m.building_id, period, monthly_spend,
-             CAST(sum(monthly_spend) OVER (PARTITION BY m.building_id ORDER BY period
-                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS actual_cumulative,
-             row_number() OVER (PARTITION BY m.building_id ORDER BY period) AS i,
-             count(*) OVER (PARTITION BY m.building_id) AS n, budget
-      FROM m JOIN c ON m.building_id = c.building_id),
-b AS (SELECT building_id, period, monthly_spend, actual_cumulative,
-             round(budget * (CAST(i AS DOUBLE) / CAST(n AS DOUBLE)), 0) AS baseline_cumulative FROM s)
+m AS (SELECT building_id, period_start, {_i('sum(work_completed_this_period)')} AS monthly_spend
+      FROM pay_fact GROUP BY building_id, period_start),
+c AS (SELECT building_id, {_i('sum(this_period)')} AS budget
+      FROM (SELECT 'BLD-' || CAST(region AS VARCHAR) AS building_id, this_period FROM pay_month) GROUP BY building_id),
+f AS (SELECT building_id, min(period_start) AS first FROM m GROUP BY building_id),
+s AS (SELECT m.building_id, m.period_start, monthly_spend, budget,
+             (SELECT CAST(sum(x.monthly_spend) AS BIGINT) FROM m x
+              WHERE x.building_id = m.building_id AND x.period_start <= m.period_start) AS actual_cumulative,
+             least(1.0::DOUBLE, CAST(datediff('month', first, m.period_start) + 1 AS DOUBLE)
+                   / CAST(greatest(datediff('month', first, DATE '{C.PLANNED_END}-01') + 1, 1) AS DOUBLE)) AS t
+      FROM m JOIN c ON m.building_id = c.building_id JOIN f ON m.building_id = f.building_id),
+b AS (SELECT building_id, strftime(period_start, '%Y-%m') AS period, monthly_spend, actual_cumulative,
+             CASE WHEN period_start IS NOT NULL THEN round(budget * t, 0) END AS baseline_cumulative FROM s)
 SELECT *, actual_cumulative - baseline_cumulative AS variance_to_baseline,
-       CASE WHEN actual_cumulative - baseline_cumulative > 0 THEN 'ahead'
+       CASE WHEN period IS NULL THEN 'unassigned' WHEN actual_cumulative - baseline_cumulative > 0 THEN 'ahead'
             WHEN actual_cumulative - baseline_cumulative < 0 THEN 'behind' ELSE 'on plan' END AS position
 FROM b"""
 
@@ -537,39 +599,39 @@ SELECT *, round(total_actual_cost / NULLIF(total_earned_value, 0), 3) AS cost_pe
 FROM s"""
 
 TREND = f"""{COST},
-m AS (SELECT building_id, strftime(period_start, '%Y-%m') AS period,
+m AS (SELECT building_id, period_start,
              {_i('sum(approved_budget)')} AS b, {_i('sum(actual_cost_to_date)')} AS a,
              {_i('sum(earned_value)')} AS e, {_i('sum(planned_value)')} AS p
       FROM cost_raw GROUP BY ALL),
-c AS (SELECT building_id, period,
-             {_i('sum(b) OVER w')} AS cum_budget, {_i('sum(a) OVER w')} AS cum_actual_cost,
-             {_i('sum(e) OVER w')} AS cum_earned_value, {_i('sum(p) OVER w')} AS cum_planned_value
-      FROM m WINDOW w AS (PARTITION BY building_id ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+c AS (SELECT m.building_id, m.period_start,
+             {_i('sum(x.b)')} AS cum_budget, {_i('sum(x.a)')} AS cum_actual_cost,
+             {_i('sum(x.e)')} AS cum_earned_value, {_i('sum(x.p)')} AS cum_planned_value
+      FROM m JOIN m x ON x.building_id IS NOT DISTINCT FROM m.building_id
+           AND (x.period_start <= m.period_start OR (x.period_start IS NULL AND m.period_start IS NULL))
+      GROUP BY m.building_id, m.period_start),
 r AS (SELECT *, round(cum_earned_value / NULLIF(cum_actual_cost, 0), 3) AS cpi,
              round(cum_earned_value / NULLIF(cum_planned_value, 0), 3) AS spi,
              round(cum_budget / NULLIF(cum_earned_value / NULLIF(cum_actual_cost, 0), 0), 0) AS eac FROM c),
-l AS (SELECT *, lag(cpi) OVER (PARTITION BY building_id ORDER BY period) AS prev FROM r)
-SELECT building_id, period, cum_budget, cum_actual_cost, cum_earned_value, cum_planned_value, cpi, spi, eac,
-       round(cpi - prev, 3) AS cpi_change,
+l AS (SELECT r.*, y.cpi AS prev FROM r LEFT JOIN r y ON y.building_id IS NOT DISTINCT FROM r.building_id
+           AND y.period_start + INTERVAL 1 MONTH = r.period_start)
+SELECT building_id, strftime(period_start, '%Y-%m') AS period, cum_budget, cum_actual_cost, cum_earned_value,
+       cum_planned_value, cpi, spi, eac, round(cpi - prev, 3) AS cpi_change,
        CASE WHEN prev IS NULL OR cpi IS NULL THEN 'n/a' WHEN cpi > prev THEN 'improving'
             WHEN cpi < prev THEN 'worsening' ELSE 'flat' END AS cpi_direction
 FROM l"""
 
 
 def _matrix() -> str:
-    cols, tv, tb = [], [], []
-    for b in C.BUILDINGS:
-        n = "".join(ch if ch.isalnum() else "_" for ch in b.lower())
-        v = f"{_i(f'sum(variance) FILTER (WHERE building_id = {_q(b)})')}"
-        bb = f"{_i(f'sum(approved_budget) FILTER (WHERE building_id = {_q(b)})')}"
-        cols.append(f"{v} AS variance_{n}")
-        cols.append(f"round({v} / NULLIF({bb}, 0) * 100, 2) AS variance_pct_{n}")
-        tv.append(f"coalesce({v}, 0)")
-        tb.append(f"coalesce({bb}, 0)")
-    tot_v, tot_b = " + ".join(tv), " + ".join(tb)
+    cols = []
+    for b in [*C.BUILDINGS, None]:
+        n = "other" if b is None else b.lower().replace("-", "_")
+        where = (f"building_id IS NULL OR building_id NOT IN ({', '.join(_q(x) for x in C.BUILDINGS)})" if b is None
+                 else f"building_id = {_q(b)}")
+        v, bb = (_i(f"sum({x}) FILTER (WHERE {where})") for x in ("variance", "approved_budget"))
+        cols += [f"{v} AS variance_{n}", f"round({v} / NULLIF({bb}, 0) * 100, 2) AS variance_pct_{n}"]
     return f"""{COST},
-m AS (SELECT wbs_level_1, {', '.join(cols)}, {_i(tot_v)} AS total_variance,
-             round(({tot_v}) / NULLIF({tot_b}, 0) * 100, 2) AS total_variance_pct
+m AS (SELECT wbs_level_1, {', '.join(cols)}, {_i('sum(variance)')} AS total_variance,
+             round({_i('sum(variance)')} / NULLIF({_i('sum(approved_budget)')}, 0) * 100, 2) AS total_variance_pct
       FROM cost_fact GROUP BY wbs_level_1)
 SELECT *, CASE WHEN total_variance_pct < -2.0 THEN 'overrun' WHEN total_variance_pct < 0 THEN 'watch' ELSE 'ok' END AS band
 FROM m"""
@@ -583,13 +645,23 @@ r AS (SELECT *, row_number() OVER (PARTITION BY wbs_level_1, building_id ORDER B
              sum(greatest(-variance, 0)) OVER (PARTITION BY wbs_level_1, building_id) AS cell_overrun FROM c)
 SELECT wbs_level_1, building_id, cost_code, variance, approved_budget, CAST(rank_in_cell AS INTEGER) AS rank_in_cell,
        round(greatest(-variance, 0) / NULLIF(CAST(cell_overrun AS DOUBLE), 0), 4) AS share_of_overrun
+FROM r"""
+
+DRILL_WORST = f"""{COST},
+c AS (SELECT building_id, cost_code, {_i('sum(variance)')} AS variance,
+             {_i('sum(approved_budget)')} AS approved_budget FROM cost_fact GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY building_id ORDER BY variance ASC NULLS LAST, cost_code) AS rank_in_cell,
+             sum(greatest(-variance, 0)) OVER (PARTITION BY building_id) AS cell_overrun FROM c)
+SELECT building_id, cost_code, variance, approved_budget, CAST(rank_in_cell AS INTEGER) AS rank_in_cell,
+       round(greatest(-variance, 0) / NULLIF(CAST(cell_overrun AS DOUBLE), 0), 4) AS share_of_overrun
 FROM r WHERE rank_in_cell <= 5"""
 
 SLIPPAGE = f"""{SCH}
 SELECT building_id, wbs_level_1, count(*) AS activity_count,
        count(*) FILTER (WHERE actual_finish IS NOT NULL) AS finished_count,
        count(*) FILTER (WHERE actual_start IS NOT NULL AND actual_finish IS NULL) AS in_progress_count,
-       count(*) FILTER (WHERE actual_start IS NULL) AS not_started_count,
+       count(*) FILTER (WHERE actual_start IS NULL AND actual_finish IS NULL) AS not_started_count,
+       count(*) FILTER (WHERE actual_start IS NULL AND actual_finish IS NOT NULL) AS finished_without_start_count,
        avg(datediff('day', planned_start, actual_start)) AS avg_start_slip_days,
        avg(datediff('day', planned_finish, actual_finish)) AS avg_finish_slip_days,
        {_i("sum(CASE WHEN actual_finish IS NOT NULL THEN greatest(actual_duration - baseline_duration, 0) END)")}
@@ -613,30 +685,64 @@ wbs AS (SELECT wbs_code, wbs_level_1, max(wbs_level_2) AS wbs_level_2 FROM codes
 f AS (SELECT building_id, wbs_code, wbs_level_1, cost_impact,
              CAST(strftime(submitted_date, '%Y%m%d') AS INTEGER) AS date_key FROM co_fact)
 SELECT cal.year, cal.quarter, bld.campus, f.building_id, f.wbs_level_1, count(*) AS co_count,
-       sum(f.cost_impact) AS total_cost_impact, count(wbs.wbs_level_2) AS with_level_2
+       {_money('sum', 'f.cost_impact')} AS total_cost_impact, count(wbs.wbs_level_2) AS with_level_2
 FROM f LEFT JOIN cal ON f.date_key = cal.date_key
        LEFT JOIN bld ON f.building_id = bld.building_id
        LEFT JOIN wbs ON f.wbs_code = wbs.wbs_code AND f.wbs_level_1 = wbs.wbs_level_1
 GROUP BY ALL"""
 
+STAR_COST = f"""{COST},
+g AS (SELECT {_q(C.CAMPUS)} AS campus, building_id, wbs_level_1, wbs_level_2,
+             {_i('sum(approved_budget)')} AS total_budget, {_i('sum(actual_cost_to_date)')} AS total_actual_cost,
+             {_i('sum(earned_value)')} AS total_earned_value, {_i('sum(planned_value)')} AS total_planned_value
+      FROM cost_fact GROUP BY ALL)
+SELECT CASE WHEN building_id IS NOT NULL THEN campus END AS campus, building_id, wbs_level_1, wbs_level_2,
+       total_budget, total_actual_cost, total_earned_value, total_planned_value,
+       {_evm_ratios('total_budget', 'total_actual_cost', 'total_earned_value', 'total_planned_value')}
+FROM g"""
+
+# Vendors of the cost fact as the job names them: rules, else the best fuzzy match.
+_FUZZY_VENDORS = FUZZY.rsplit("\nSELECT cost_key, vendor_name AS vendor_raw,", 1)[0]
+ETL_JOB = f"""{_FUZZY_VENDORS}, {CO_BASE}, {SCHED}, {PAY},
+vendors AS (SELECT CASE WHEN {_rule_hit('vendor_name', RULES)} THEN {_rule_case('vendor_name', RULES)}
+                        ELSE coalesce(best.canonical, vendor_name) END AS vendor_name
+            FROM cost_raw LEFT JOIN best ON cost_raw.vendor_name = best.raw
+            UNION SELECT contractor_name FROM pay_fact),
+dv AS (SELECT DISTINCT v.vendor_name, p.trade FROM vendors v
+       LEFT JOIN (SELECT DISTINCT contractor_name, trade FROM pay_fact) p ON p.contractor_name = v.vendor_name
+       WHERE v.vendor_name IS NOT NULL),
+codes AS (SELECT cost_code AS wbs_code, wbs_level_1, wbs_level_2 FROM cost_raw
+          UNION ALL SELECT wbs_code, wbs_level_1, NULL FROM sched_fact
+          UNION ALL SELECT wbs_code, wbs_level_1, NULL FROM co_base),
+wbs AS (SELECT wbs_code, wbs_level_1, max(wbs_level_2) AS wbs_level_2 FROM codes GROUP BY ALL),
+ids AS (SELECT building_id FROM cost_raw UNION SELECT building_id FROM co_base
+        UNION SELECT building_id FROM sched_fact UNION SELECT building_id FROM pay_raw),
+cal AS ({DIM_DATE})
+SELECT 'fact_project_cost' AS table_name, count(*) AS row_count, {_i('sum(approved_budget)')} AS checksum FROM cost_fact
+UNION ALL SELECT 'fact_change_orders', count(*), {_i('sum(CAST(round(cost_impact * 100) AS BIGINT))')} FROM co_fact
+UNION ALL SELECT 'fact_schedule', count(*), {_i('sum(baseline_duration)')} FROM sched_fact
+UNION ALL SELECT 'fact_pay_applications', count(*), {_i('sum(scheduled_value)')} FROM pay_fact
+UNION ALL SELECT 'dim_building', count(*), count(building_id) FROM ids
+UNION ALL SELECT 'dim_wbs', count(*), count(wbs_level_2) FROM wbs
+UNION ALL SELECT 'dim_vendor', count(*), {_i('count(*) * (count(*) + 1) // 2')} FROM dv
+UNION ALL SELECT 'dim_date', count(*), {_i('sum(date_key)')} FROM cal"""
+
+
 def _answer_key() -> str:
-    """Summary and cube building slice are the same sums, so the oracle pairs
-    the summary's ratios with themselves: every metric PASSes with 0 difference."""
+    """The key's differences, told from the sums: BLD-1's CPI is 0.01 off, BLD-2 is
+    missing, BLD-9 repeats BLD-0's metrics under an id that does not exist."""
     base = SUMMARY.split("\nSELECT building_id,", 1)[0]
-    comp = (
-        f"comp AS (SELECT building_id, {_evm_ratios('total_budget', 'total_actual_cost', 'total_earned_value', 'total_planned_value')} FROM t)"
-    )
-    metrics = [("cpi", 0.0005), ("spi", 0.0005), ("eac", 0.5), ("vac", 0.5)]
-    rows = " UNION ALL ".join(
-        f"SELECT building_id, {_q(m)} AS metric, CAST({m} AS DOUBLE) AS computed, CAST({m} AS DOUBLE) AS expected, "
-        f"{tol}::DOUBLE AS tolerance FROM comp"
-        for m, tol in metrics
-    )
-    return f"""{base}, {comp}, long AS ({rows})
-SELECT building_id, metric, computed, expected, abs(computed - expected) AS abs_diff,
-       CASE WHEN computed IS NULL AND expected IS NULL THEN 'PASS'
-            WHEN abs(computed - expected) <= tolerance THEN 'PASS' ELSE 'FAIL' END AS status
-FROM long"""
+    ratios = _evm_ratios("total_budget", "total_actual_cost", "total_earned_value", "total_planned_value")
+    rows = []
+    for metric, tolerance in (("cpi", 0.0005), ("spi", 0.0005), ("eac", 1.5), ("vac", 1.5)):
+        off = f"CASE WHEN building_id = 'BLD-1' THEN round({metric} + 0.01, 3) ELSE {metric} END" if metric == "cpi" else metric
+        rows.append(f"SELECT building_id, {_q(metric)} AS metric, {metric} AS computed, "
+                    f"CASE WHEN building_id IS DISTINCT FROM 'BLD-2' THEN {off} END AS expected, "
+                    f"CASE WHEN building_id = 'BLD-2' THEN 'MISSING_EXPECTED' "
+                    f"WHEN building_id = 'BLD-1' AND {_q(metric)} = 'cpi' THEN 'FAIL' ELSE 'PASS' END AS status FROM comp")
+        rows.append(f"SELECT 'BLD-9', {_q(metric)}, NULL, {metric}, 'MISSING_COMPUTED' FROM comp WHERE building_id = 'BLD-0'")
+    return f"""{base}, comp AS (SELECT building_id, {ratios} FROM t)
+{' UNION ALL '.join(rows)}"""
 
 
 ORACLE_SQL: dict[str, str] = {
@@ -661,6 +767,8 @@ ORACLE_SQL: dict[str, str] = {
     "fact_change_orders": f"{CO} SELECT {FACT_CO_COLS} FROM co_fact",
     "fact_schedule": f"{SCH} SELECT * FROM sched_fact",
     "fact_pay_applications": f"{PAYW} SELECT {FACT_PAY_COLS} FROM pay_fact",
+    "fact_pay_applications_as_written": f"{PAYW} SELECT {FACT_PAY_COLS.replace('contractor_name', 'contractor_raw AS contractor_name')} "
+                                        f"FROM pay_fact",
     "dim_building": DIM_BUILDING,
     "dim_wbs": DIM_WBS,
     "dim_vendor": DIM_VENDOR,
@@ -681,10 +789,13 @@ ORACLE_SQL: dict[str, str] = {
     "co_waterfall": WATERFALL,
     "variance_matrix": _matrix(),
     "variance_drill_through": DRILL,
+    "variance_drill_worst": DRILL_WORST,
     "retainage_audit": RETAINAGE,
     "schedule_slippage": SLIPPAGE,
     "pay_app_current_position": CURRENT,
     "scurve_vs_baseline": SCURVE,
     "star_join_report": STAR_JOIN,
+    "star_cost_report": STAR_COST,
+    "etl_job": ETL_JOB,
     "answer_key_check": _answer_key(),
 }

@@ -33,7 +33,7 @@ REPORT_SQL: dict[str, str] = {
     "change_order_aging": """
         SELECT building_id, status,
                count(*)                                          AS co_count,
-               sum(cost_impact)                                  AS total_cost_impact,
+               CAST(sum(CAST(round(cost_impact * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS total_cost_impact,
                avg(co_approval_lag_days)                         AS avg_approval_lag,
                count_if(co_approval_lag_days BETWEEN 0 AND 15)   AS bucket_0_15_days,
                count_if(co_approval_lag_days BETWEEN 16 AND 30)  AS bucket_16_30_days,

@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.sizing import spread_narrow_input
 
 # Fixed values for the test bindings (invented names, not real vendors).
 CANONICAL_VENDORS: tuple[str, ...] = (
@@ -44,9 +43,9 @@ VENDOR_VARIANTS: tuple[tuple[str, ...], ...] = (
     ("Redline Fire Protection", "REDLINE FIRE PROTECTION", "Red Line Fire Protection", "Fire Protection Redline", "R.F.P."),
     ("Cedar Glass Systems", "CEDAR GLASS SYSTEMS", "Cedar Glas Systems", "Glass Systems Cedar", "Cedar Glass Sys."),
     ("Ironbridge Structural", "IRONBRIDGE STRUCTURAL", "Iron Bridge Structural", "Structural Ironbridge", "Ironbridge Structural Ltd"),
-    ("Lakeshore Plumbing", "LAKESHORE PLUMBING", "Lake Shore Plumbing", "Plumbing Lakeshore", "Lakeshore Plumbing & Heating"),
+    ("Lakeshore Plumbing", "LAKESHORE PLUMBING", "Läke Shore Plümbing", "Plumbing Lakeshore", "Lakeshore Plumbing & Heating"),
     ("Meridian Controls", "MERIDIAN CONTROLS", "Meridian Ctrls", "Controls Meridian", "Meridian Controls Inc"),
-    ("Copperline Data Systems", "COPPERLINE DATA SYSTEMS", "Copper Line Data Systems", "Data Systems Copperline", "Copperline Data"),
+    ("Copperline Data Systems", "COPPERLINE DATA SYSTEMS", "Copper Line Data Systems", "Data Systems Copperline", "東京建設"),
 )
 
 # Substring rules for the invented vendors (upper-case pattern, canonical);
@@ -58,6 +57,11 @@ BINDING_VENDOR_RULES: tuple[tuple[str, str], ...] = (
     ("BLUEFIELD", "Bluefield Mechanical"),
     ("SUMMIT", "Summit Concrete Inc."),
     ("SUMMIT MECH", "Summit Mechanical LLC"),
+    ("MECHANICAL LLC SUMMIT", "Summit Mechanical LLC"),
+    ("H.S.W.", "Harbor Steel Works"),
+    ("IRON BRIDGE", "Ironbridge Structural"),
+    ("RED LINE", "Redline Fire Protection"),
+    ("R.F.P.", "Redline Fire Protection"),
     ("REDLINE", "Redline Fire Protection"),
     ("CEDAR GLASS", "Cedar Glass Systems"),
     ("IRONBRIDGE", "Ironbridge Structural"),
@@ -90,18 +94,16 @@ PERIOD_ALT_MOD = 5
 PAY_PERIOD_ALT = 3  # sequence % 10 < 3 -> 'MMMM yyyy'
 # Pay applications whose reported retainage is off by RETAINAGE_ERROR cents.
 RETAINAGE_BREAK_MOD, RETAINAGE_ERROR = 23, 100
+# Rows without a building id (cost ledger, change orders), orders of a status
+# that no report lists, and orders without a status.
+COST_NO_BUILDING_MOD, CO_NO_BUILDING_MOD, VOID_MOD, NO_STATUS_MOD = 43, 41, 31, 37
+# Ship months whose cost period text is junk in even years (so those months are
+# missing), and pay sequences whose period text is junk or whose amounts are blank.
+JUNK_PERIOD_MONTH, PAY_JUNK_PERIOD_MOD, HELD_NULL_MOD, NET_NULL_MOD = 7, 13, 29, 31
 
 
-# Fact-sized driver tables and the key to spread them on when they arrive narrow.
-SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Read one driver table; a narrow fact-sized table is spread over the cores
-    unless ``spread`` is off (a side that is joined as the build side anyway)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    key = SPREAD_KEYS.get(name) if spread else None
-    return spread_narrow_input(df, key) if key else df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def cents(col: Column) -> Column:
@@ -183,10 +185,11 @@ def cost_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("vendor_name"),
         cents(F.col("l_extendedprice")).alias("approved_budget"),
         q.alias("_q"), dp.alias("_dp"), ln.alias("_ln"), key.alias("_key"),
-        F.when(key % PERIOD_ALT_MOD == 0, F.date_format(ship, "MMM-yyyy"))
+        F.when((F.month(ship) == JUNK_PERIOD_MONTH) & (F.year(ship) % 2 == 0), F.lit(JUNK_TEXT))
+        .when(key % PERIOD_ALT_MOD == 0, F.date_format(ship, "MMM-yyyy"))
         .otherwise(F.date_format(ship, "yyyy-MM"))
         .alias("period_month"),
-        building_of(F.col("r_regionkey")).alias("building_id"),
+        F.when(key % COST_NO_BUILDING_MOD != 0, building_of(F.col("r_regionkey"))).alias("building_id"),
     )
     q, dp, ln, key = F.col("_q"), F.col("_dp"), F.col("_ln"), F.col("_key")
     forecast = share(F.lit(96) + dp)
@@ -211,7 +214,9 @@ def cost_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _co_status(key: Column, status: Column) -> Column:
     return (
-        F.when(status == "F", F.lit("Approved"))
+        F.when(key % VOID_MOD == 0, F.lit("Void"))
+        .when(key % NO_STATUS_MOD == 0, F.lit(None).cast("string"))
+        .when(status == "F", F.lit("Approved"))
         .when((status == "P") & (key % 3 == 0), F.lit("Rejected"))
         .when(key % 2 == 0, F.lit("Pending"))
         .otherwise(F.lit("Under Review"))
@@ -239,14 +244,14 @@ def change_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("o_orderpriority") == "3-MEDIUM", F.lit("COR"))
         .otherwise(F.lit("PCO"))
         .alias("co_type"),
-        F.concat(F.lit("Scope change – order "), key.cast("string")).alias("description"),
+        F.concat(F.lit('Scope "change", order '), key.cast("string"), F.lit(', "left"')).alias("description"),
         dirty_date(submitted, key).alias("submitted_date"),
         approved_text.alias("approved_date"),
         status.alias("status"),
-        (cents(F.col("o_totalprice")) - F.lit(5_000_000)).cast("double").alias("cost_impact"),
+        ((cents(F.col("o_totalprice")) - F.lit(5_000_000)).cast("double") / F.lit(100.0)).alias("cost_impact"),
         (key % 46).cast("int").alias("schedule_impact_days"),
         pick(CO_PARTIES, key % len(CO_PARTIES)).alias("responsible_party"),
-        building_of(F.col("o_custkey") % 5).alias("building_id"),
+        F.when(key % CO_NO_BUILDING_MOD != 0, building_of(F.col("o_custkey") % 5)).alias("building_id"),
         F.concat(F.col("o_orderpriority"), F.lit("."), (F.col("o_custkey") % 10).cast("string")).alias("wbs_code"),
         F.col("o_orderpriority").alias("wbs_level_1"),
     )
@@ -257,7 +262,7 @@ def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"
     )
-    o = read_table(spark, sf_dir, "orders", spread=False).select("o_orderkey", "o_custkey", "o_orderdate",
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                                                  "o_orderpriority")
     rows = li.join(o, li.l_orderkey == o.o_orderkey)
     key, ln = F.col("l_orderkey"), F.col("l_linenumber")
@@ -331,7 +336,8 @@ def pay_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged.select(
         F.concat_ws("-", F.lit("PA"), F.col("region").cast("string"), F.col("contractor").cast("string"),
                     seq.cast("string")).alias("pay_app_id"),
-        F.when(seq % 10 < PAY_PERIOD_ALT, F.date_format("month", "MMMM yyyy"))
+        F.when(seq % PAY_JUNK_PERIOD_MOD == 0, F.lit(JUNK_TEXT))
+        .when(seq % 10 < PAY_PERIOD_ALT, F.date_format("month", "MMMM yyyy"))
         .otherwise(F.date_format("month", "yyyy-MM")).alias("period"),
         seq.alias("period_sequence"),
         building_of(F.col("region")).alias("building_id"),
@@ -343,9 +349,10 @@ def pay_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
         stored.alias("stored_materials"),
         earned.alias("total_earned"),
         pct.alias("retainage_pct"),
-        (held + F.when((seq * F.lit(7) + F.col("contractor")) % RETAINAGE_BREAK_MOD == 0, F.lit(RETAINAGE_ERROR))
-         .otherwise(F.lit(0))).alias("retainage_held"),
-        (earned - held).alias("net_payment_due"),
+        F.when((seq * F.lit(5) + F.col("contractor")) % HELD_NULL_MOD != 0,
+               held + F.when((seq * F.lit(7) + F.col("contractor")) % RETAINAGE_BREAK_MOD == 0, F.lit(RETAINAGE_ERROR))
+               .otherwise(F.lit(0))).alias("retainage_held"),
+        F.when((seq * F.lit(11) + F.col("contractor")) % NET_NULL_MOD != 0, earned - held).alias("net_payment_due"),
         pick(PAY_STATUSES, seq % 4).alias("pay_app_status"),
     )
 

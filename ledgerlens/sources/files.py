@@ -10,26 +10,51 @@ from pyspark.sql.types import StringType, StructField, StructType
 from .schemas import STAR_TABLES
 
 
+# Every reader of an export: RFC 4180 quoting (a quote inside a field is doubled), empty is null.
+CSV_OPTIONS = {"header": "true", "mode": "PERMISSIVE", "nullValue": "", "emptyValue": "", "encoding": "UTF-8",
+               "multiLine": "false", "quote": '"', "escape": '"'}
+CORRUPT = "_corrupt_record"
+
+
+def header_schema(spark: SparkSession, path: str, schema: StructType) -> StructType:
+    """The declared fields in the order of the file's header, unknown columns as text.
+
+    Reads one line.  A declared column that the header lacks is an error:
+    taking columns by place would put values into the wrong ones.
+    """
+    line = spark.read.options(**{**CSV_OPTIONS, "header": "false"}).csv(path).limit(1).collect()
+    if not line:
+        return schema
+    names = [(c or "").strip() for c in line[0]]
+    declared = {f.name: f for f in schema.fields}
+    missing = [n for n in declared if n not in names]
+    if missing:
+        raise ValueError(f"{path}: the header lacks {missing}")
+    return StructType([declared.get(n, StructField(n, StringType(), True)) for n in names])
+
+
 def read_csv_typed(spark: SparkSession, path: str, schema: StructType, corrupt_column: str | None = None,
                    **options) -> DataFrame:
     """Header CSV -> typed DataFrame with a declared schema (no inference scan).
 
-    Empty fields become null.  ``PERMISSIVE`` keeps malformed rows with nulls
-    in the unreadable fields instead of failing the job; with
-    ``corrupt_column`` the raw text of such rows is kept in that column so
-    they can be counted and inspected.  Files stay splittable (no multiLine).
+    Columns are found by the header's names.  Empty fields become null.
+    ``PERMISSIVE`` keeps malformed rows with nulls in the unreadable fields
+    instead of failing the job; with ``corrupt_column`` the raw text of such
+    rows is kept in that column so they can be counted and inspected.  Files
+    stay splittable (no multiLine).
     """
-    opts = {"header": "true", "mode": "PERMISSIVE", "nullValue": "", "emptyValue": "",
-            "encoding": "UTF-8", "multiLine": "false"}
+    opts = {**CSV_OPTIONS, "enforceSchema": "true", **options}
+    wanted = [f.name for f in schema.fields]
+    read = header_schema(spark, path, schema) if opts["header"] == "true" else schema
     if corrupt_column:
         opts["columnNameOfCorruptRecord"] = corrupt_column
-        schema = StructType(schema.fields + [StructField(corrupt_column, StringType(), True)])
-    opts.update(options)
-    return spark.read.schema(schema).options(**opts).csv(path)
+        read = StructType(read.fields + [StructField(corrupt_column, StringType(), True)])
+        wanted.append(corrupt_column)
+    return spark.read.schema(read).options(**opts).csv(path).select(*wanted)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", "true").csv(path)
+    df.write.mode(mode).options(header="true", quote='"', escape='"').csv(path)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,

@@ -5,7 +5,9 @@ source folder is a Structured Streaming file source with the declared raw
 schema: ``trigger(availableNow=True)`` processes every file that arrived
 since the last run and stops, and the checkpoint records which files were
 taken, so a rerun (or a run after an executor / driver loss) neither skips
-nor repeats a file.  Landed rows are appended to a Parquet "landed" table
+nor repeats a file.  The checkpoint is the caller's to name and must be the
+same folder in every application: one below the session's checkpoint folder
+is new each time, and the file sink would drop what a fresh one hands it.  Landed rows are appended to a Parquet "landed" table
 per source; the star is then rebuilt from those tables (full rebuild, the
 same semantics as the batch job).
 """
@@ -18,21 +20,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans import etl
-from ..session import ensure_checkpoint_dir
 from ..sources import files
 from ..sources.schemas import RAW_SOURCES, STAR_TABLES
 
 
 def land_new_exports(spark: SparkSession, landing: Mapping[str, str], landed_root: str,
-                     checkpoint_root: str | None = None) -> dict[str, int]:
+                     checkpoint_root: str) -> dict[str, int]:
     """Append rows of files not seen before; returns rows taken per source."""
-    ckpt = (checkpoint_root or ensure_checkpoint_dir(spark)).rstrip("/")
+    if not checkpoint_root:
+        raise ValueError("name a checkpoint folder that stays the same between runs")
+    ckpt = checkpoint_root.rstrip("/")
     taken = {}
     for name, path in landing.items():
         stream = (
-            spark.readStream.schema(RAW_SOURCES[name])
-            .option("header", "true").option("mode", "PERMISSIVE").option("nullValue", "")
-            .csv(path)
+            # enforceSchema off: a file whose header names other columns fails instead of shifting values
+            spark.readStream.schema(RAW_SOURCES[name]).options(**files.CSV_OPTIONS, enforceSchema="false").csv(path)
             .withColumn("_source_file", F.input_file_name())
         )
         q = (

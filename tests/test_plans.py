@@ -85,12 +85,13 @@ def test_star_join_broadcasts_dimensions(spark):
     assert "SortMergeJoin" not in plan
 
 
-def test_spread_only_narrow_inputs(spark):
-    from ledgerlens.operators.sizing import spread_narrow_input
-    wide = spark.range(0, 1000, 1, 64)
-    assert spread_narrow_input(wide, min_partitions=8) is wide
-    narrow = spark.range(0, 1000, 1, 1)
-    assert spread_narrow_input(narrow, "id", min_partitions=8).rdd.getNumPartitions() == 8
+def test_worst_codes_drop_rows_before_the_window(spark):
+    assert "WindowGroupLimit" in _plan(E.queries()["variance_drill_worst"](spark, SF_SMALL))
+
+
+def test_row_level_keys_do_not_shuffle_the_facts(spark):
+    for key in ("normalize_date", "sentinel_date", "approval_lag"):
+        assert "hashpartitioning" not in _plan(E.queries()[key](spark, SF_SMALL))
 
 
 def test_hot_building_is_combined_map_side(spark):

@@ -39,3 +39,20 @@ def test_overwrite_replaces(spark):
     files.write_table(spark.range(3).withColumn("x", F.lit("b")), root)
     back = spark.read.parquet(root)
     assert back.count() == 3 and {r.x for r in back.collect()} == {"b"}
+
+
+def test_columns_follow_the_header_and_quotes_are_doubled(spark, tmp_path):
+    import pytest
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+    schema = StructType([StructField("id", IntegerType()), StructField("name", StringType()), StructField("n", IntegerType())])
+    path = tmp_path / "x.csv"
+    path.write_text('n,extra,name,id\n7,e,"He said ""go"", then left",1\nzz,e,plain,2\n')
+    df = files.read_csv_typed(spark, str(path), schema, corrupt_column=files.CORRUPT)
+    rows = {r.id: r for r in df.collect()}
+    assert df.columns == ["id", "name", "n", files.CORRUPT]
+    assert (rows[1].name, rows[1].n, rows[1][files.CORRUPT]) == ('He said "go", then left', 7, None)
+    assert rows[2].n is None and rows[2][files.CORRUPT]
+    path.write_text("id,name\n1,x\n")
+    with pytest.raises(ValueError):
+        files.read_csv_typed(spark, str(path), schema)

@@ -32,6 +32,36 @@ def test_new_files_taken_once(spark):
     assert spark.read.parquet(paths["fact_change_orders"]).count() == 2 * counts["change_orders"]
 
 
+def test_a_checkpoint_must_be_named(spark):
+    import pytest
+
+    with pytest.raises((TypeError, ValueError)):
+        land_new_exports(spark, {}, "landed")
+    with pytest.raises(ValueError):
+        land_new_exports(spark, {}, "landed", "")
+
+
+def test_new_session_takes_only_the_new_file(spark):
+    """A second application with the same checkpoint folder: the old file is not lost, nor taken twice."""
+    from ledgerlens.sources.schemas import RAW_CHANGE_ORDERS
+
+    root = tempfile.mkdtemp(prefix="ledgerlens-landing-apps-")
+    land, out, ckpt = (os.path.join(root, d) for d in ("co", "landed", "ck"))
+    os.makedirs(land)
+    row = "{},OCO,\"said \"\"go\"\", then left\",2024-01-05,,Pending,12.5,3,Owner,BLD-A,01.10,01\n"
+    taken = []
+    for run, name in enumerate(("a", None, "b")):
+        if name:
+            with open(os.path.join(land, f"{name}.csv"), "w") as fh:
+                fh.write(",".join(RAW_CHANGE_ORDERS.fieldNames()) + "\n" + row.format(name))
+        spark.sparkContext.setCheckpointDir(os.path.join(root, f"app{run}"))  # new in every application
+        taken.append(land_new_exports(spark.newSession(), {"change_orders": land}, out, ckpt)["change_orders"])
+    assert taken == [1, 0, 1]
+    rows = spark.read.parquet(os.path.join(out, "change_orders")).collect()
+    assert sorted(r.change_order_id for r in rows) == ["a", "b"]
+    assert {r.description for r in rows} == {'said "go", then left'}
+
+
 def test_malformed_file_does_not_stop_the_stream(spark):
     from ledgerlens.sources.schemas import RAW_CHANGE_ORDERS
     root = tempfile.mkdtemp(prefix="ledgerlens-landing-bad-")
