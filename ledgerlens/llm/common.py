@@ -89,7 +89,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[size]
 
 
-_SEGMENT = 1 << 21
+_SEGMENT = 1 << 19
 
 
 def chunked(batches: Iterator[pa.RecordBatch], limit: int = _SEGMENT) -> Iterator[tuple[list, list[bytes]]]:

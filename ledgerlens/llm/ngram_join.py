@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import chunked, components, mix64, runs_of, stage, text_rows, words_of
 
 FREQUENT = 1 << 18  # tokens of the frequency list, at most
-FLUSH = 3_000_000  # shingles whose local counts a task keeps at once
+FLUSH = 1_500_000  # shingles whose local counts a task keeps at once
 STARS = 3  # rounds with leaders before the exact round, at most
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _SALTS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344), np.uint64(0xA4093822299F31D0))

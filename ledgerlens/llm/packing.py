@@ -36,7 +36,7 @@ LENGTH = 2048
 OPEN = 64
 FAN = 32
 END_ID = 1
-CACHE = 1_000_000  # pieces whose ids a Python worker keeps
+CACHE = 400_000  # pieces whose ids a Python worker keeps
 _ENDS = frozenset(".,;:!?")
 # fixed value: the published pre-token pattern of byte-level BPE
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"

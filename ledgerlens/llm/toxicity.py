@@ -19,6 +19,7 @@ Extra columns are ignored.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -37,7 +38,8 @@ EPOCHS = 300
 RIDGE = 1e-4
 CALM = 0.005
 THRESHOLD = 0.3
-CACHE = 500_000  # words whose weights a task keeps
+CELLS = 1 << 22  # of the first count of features
+CACHE = 200_000  # words whose weights a task keeps
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -60,24 +62,42 @@ def features(word: str) -> list[str]:
     return [word, *(f"{word[:n]}-" for n in STEMS if len(word) > n)]
 
 
+def _found(text: str) -> set[str]:
+    words = set().union(*(w for _, _, w in sentences(text)))
+    return set().union(*map(features, words))
+
+
 def choose(texts: list[str], labels: list[int]) -> list[str]:
     """Features that are in toxic documents more often than chance has it, most telling first.
 
     The measure is the number of standard deviations from what the feature's
     frequency lets expect; a rare word that only happens to be in a few toxic
-    documents stays out.
+    documents stays out.  A first pass counts by hash, in a table of fixed
+    size; the second counts the features of the telling cells one by one.
     """
+    share = sum(labels) / max(1, len(labels))
+
+    def telling(n, toxic):
+        return (toxic >= MIN_DOCS) & ((toxic - n * share) / (n * share * (1 - share) + 0.25) ** 0.5 >= LEAST_Z)
+
+    cell = lambda f: zlib.crc32(f.encode()) % CELLS
+    cells = np.zeros((2, CELLS), dtype=np.int32)
+    for text, label in zip(texts, labels):
+        at = np.unique(np.fromiter(map(cell, _found(text)), np.int64))
+        cells[0, at] += 1
+        if label:
+            cells[1, at] += 1
+    # a cell can hold other features besides a telling one: half the measure is enough here
+    likely = (cells[1] >= MIN_DOCS) & (cells[1] - cells[0] * share >= LEAST_Z / 2 * np.sqrt(cells[0] * share * (1 - share) + 0.25))
     seen, toxic = Counter(), Counter()
     for text, label in zip(texts, labels):
-        words = set().union(*(w for _, _, w in sentences(text)))
-        found = set().union(*map(features, words))
-        seen.update(found)
+        some = [f for f in _found(text) if likely[cell(f)]]
+        seen.update(some)
         if label:
-            toxic.update(found)
-    share = sum(labels) / max(1, len(labels))
+            toxic.update(some)
     z = {f: (toxic[f] - n * share) / (n * share * (1 - share) + 0.25) ** 0.5
-         for f, n in seen.items() if toxic[f] >= MIN_DOCS}
-    return [f for f, v in sorted(z.items(), key=lambda x: (-x[1], x[0])) if v >= LEAST_Z][:MAX_FEATURES]
+         for f, n in seen.items() if telling(n, toxic[f])}
+    return [f for f, _ in sorted(z.items(), key=lambda x: (-x[1], x[0]))][:MAX_FEATURES]
 
 
 def fit(texts: list[str], labels: list[int]) -> tuple[float, dict[str, float]]:
