@@ -8,7 +8,10 @@ the tokens (the prefix has n - ceil(s * n) + 1 tokens).  Three orders are used:
   finds candidates.  Frequencies order the tokens, they decide nothing; a
   bounded list of the most frequent ones is enough.
 * B and C, two keyed hash orders: a candidate must share prefix tokens under
-  them too.  The intersection of the filters is verified on the whole sets.
+  them too.  A token of one prefix that comes before the end of the other and
+  is not in it is in no part of the other set; as soon as either set has too
+  many such tokens, the overlap cannot be reached.  What passes all filters is
+  verified on the whole sets.
 
 Equal sets are one class from the start.  A token's group does not emit all
 its pairs: first its members meet two leaders of their size band; what links
@@ -121,7 +124,8 @@ def _profile(k: int, percent: int, lower: bool):
             marks = []
             for salt in _SALTS[1:]:
                 got, _ = _prefix(value, owner, mix64(value ^ salt), take, first)
-                marks.append(_lists((got >> np.uint64(13)).astype(np.uint16).view(np.int16), take, pa.int16()))
+                # the upper bits of the place in the order: whoever is less by them is less
+                marks.append(_lists((mix64(got ^ salt) >> np.uint64(49)).astype(np.int16), take, pa.int16()))
             empty = [pa.nulls(len(ids), pa.int64())] * 2
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(n, pa.int64()),
@@ -237,9 +241,16 @@ class Join:
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if self.seen is not None:
             pairs = pairs.join(self.seen, ["a", "b"], "left_anti")
-        side = lambda s: self.sets.select(F.col("key").alias(s), F.col("b").alias(f"{s}_b"), F.col("c").alias(f"{s}_c"))
-        pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(
-            F.arrays_overlap("a_b", "b_b") & F.arrays_overlap("a_c", "b_c")).select("a", "b")
+        side = lambda s: self.sets.select(
+            F.col("key").alias(s), F.col("n").alias(f"{s}_n"), *[F.col(o).alias(f"{s}_{o}") for o in "bc"],
+            *[F.array_max(o).alias(f"{s}_{o}_end") for o in "bc"])
+        pairs = pairs.join(side("a"), "a").join(side("b"), "b")
+        for o in "bc":
+            pairs = pairs.where(F.arrays_overlap(f"a_{o}", f"b_{o}"))
+            for s, t in ("ab", "ba"):  # tokens of s that t cannot have: the overlap is the rest at most
+                absent = F.size(F.array_except(F.filter(f"{s}_{o}", lambda w, end=F.col(f"{t}_{o}_end"): w < end), F.col(f"{t}_{o}")))
+                pairs = pairs.where((100 + self.percent) * (F.col(f"{s}_n") - absent) >= self.percent * (F.col("a_n") + F.col("b_n")))
+        pairs = pairs.select("a", "b")
         pairs = stage(pairs, "candidates")
         # the whole sets of the documents that are compared for the first time
         met = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
