@@ -284,7 +284,7 @@ class Join:
             left = open_pairs.agg(F.sum("open")).first()[0] or 0
             if not left:
                 break
-            if left <= 4 * n_rows or turn == STARS:
+            if turn and (left <= 4 * n_rows or turn == STARS):
                 x, y = (rows.select("token", F.col("key").alias(s), F.col("n").alias(f"n_{s}"),
                                     F.col("component_id").alias(f"of_{s}")) for s in "ab")
                 self.verify(x.join(y, "token").where(
