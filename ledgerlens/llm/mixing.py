@@ -80,15 +80,22 @@ def plan(docs: DataFrame, weights: DataFrame | None = None) -> DataFrame:
         (F.col("target") - full * F.col("source_size")).alias("rest"))
 
 
+def _shards(n_bytes: int) -> int:
+    return max(SHARDS, 1 << (n_bytes // SHARD_BYTES).bit_length())
+
+
 def shards_for(docs: DataFrame) -> int:
     """A power of two that keeps a shard near SHARD_BYTES of text."""
-    return max(SHARDS, 1 << (text_bytes(docs) // SHARD_BYTES).bit_length())
+    return _shards(text_bytes(docs))
+
+
+def blocks_for(shards: int) -> int:
+    return max(BLOCKS, 4 * shards)
 
 
-def sized(docs: DataFrame, blocks: int) -> DataFrame:
-    """``docs`` with its size and its place in the permutation of its source."""
-    return docs.withColumns({
-        "size": word_count("text"),
+def placed(rows: DataFrame, blocks: int) -> DataFrame:
+    """``rows`` with their place in the permutation of their source."""
+    return rows.withColumns({
         "block": F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(blocks)).cast("int"),
         "place": F.xxhash64(F.lit(SEED + 1), "doc_id")})
 
@@ -110,7 +117,10 @@ def draws(rows: DataFrame, sources: DataFrame) -> DataFrame:
 def taken(docs: DataFrame, weights: DataFrame | None = None,
           blocks: int = BLOCKS) -> tuple[DataFrame, DataFrame]:
     """(rows with ``times`` each is taken, per-block draws)."""
-    rows = sized(docs, blocks)
+    return _taken(placed(docs.withColumn("size", word_count("text")), blocks), weights)
+
+
+def _taken(rows: DataFrame, weights: DataFrame | None) -> tuple[DataFrame, DataFrame]:
     sources = stage(plan(rows.select("source", "size"), weights), "mix-plan")
     keyed = rows.join(sources.select(
         "source_key", F.col("source").alias("s_source"), "source_size", "target"),
@@ -168,15 +178,8 @@ def split_tree(drawn: DataFrame, shards: int = SHARDS) -> DataFrame:
     return leaf.withColumn("first", F.coalesce(F.sum("quota").over(before), F.lit(0)).cast("long"))
 
 
-def mix(docs: DataFrame, weights: DataFrame | None = None, shards: int | None = None) -> DataFrame:
-    """The mix: ``docs`` with every copy a row, plus mix_shard, mix_copy and mix_place.
-
-    A copy's shard is that of its drawn block: the draws of a source are its
-    blocks pass after pass in permuted order, and every shard owns an
-    interval of them.  Rows are ordered inside a shard by a keyed hash.
-    """
-    shards = shards or shards_for(docs)
-    rows, drawn = taken(docs, weights, max(BLOCKS, 4 * shards))
+def dealt(rows: DataFrame, drawn: DataFrame, shards: int) -> DataFrame:
+    """Every copy of the ``taken`` rows with its mix_shard, mix_copy and mix_place."""
     drawn_n = (F.col("passes") + F.coalesce("more", F.lit(1))).cast("int")
     turns = drawn.where(drawn_n > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), drawn_n)))
     turns = turns.withColumn("turn", F.row_number().over(
@@ -188,18 +191,46 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, shards: int | None =
                   .select("source_key", "block", "copy", F.col("shard").alias("mix_shard")), "mix-owned")
     copies = rows.where("times > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
     out = copies.join(owned.withColumnRenamed("copy", "mix_copy"), ["source_key", "block", "mix_copy"])
-    out = out.withColumn("mix_place", F.xxhash64(F.lit(SEED + 3), "doc_id", "mix_copy"))
-    return out.select(*docs.columns, "mix_shard", "mix_copy", "mix_place")
+    return out.withColumn("mix_place", F.xxhash64(F.lit(SEED + 3), "doc_id", "mix_copy"))
+
+
+def shuffled(copies: DataFrame, shards: int) -> DataFrame:
+    """The copies shard by shard, in the order of their places."""
+    return copies.repartition(shards, "mix_shard").sortWithinPartitions("mix_shard", "mix_place", "mix_copy", "doc_id")
+
+
+def mix(docs: DataFrame, weights: DataFrame | None = None, shards: int | None = None) -> DataFrame:
+    """The mix: ``docs`` with every copy a row, plus mix_shard, mix_copy and mix_place.
+
+    A copy's shard is that of its drawn block: the draws of a source are its
+    blocks pass after pass in permuted order, and every shard owns an
+    interval of them.  Rows are ordered inside a shard by a keyed hash.
+    """
+    shards = shards or shards_for(docs)
+    rows, drawn = taken(docs, weights, blocks_for(shards))
+    return dealt(rows, drawn, shards).select(*docs.columns, "mix_shard", "mix_copy", "mix_place")
 
 
 def mixed_documents(docs: DataFrame, shards: int | None = None) -> DataFrame:
     """The mix as rows of ``docs``, shard by shard, shuffled inside each shard."""
     shards = shards or shards_for(docs)
-    out = mix(docs, shards=shards).repartition(shards, "mix_shard")
-    return out.sortWithinPartitions("mix_shard", "mix_place", "mix_copy", "doc_id").select(*docs.columns)
+    return shuffled(mix(docs, shards=shards), shards).select(*docs.columns)
 
 
 def mix_digest(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, taken per document."""
-    return taken(docs.select("doc_id", "text", "source"))[0].select(
-        "doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"))
+    """doc_id, size, source_size, target, taken per document.
+
+    ``taken`` counts the document's copies in the shuffled shards.  A copy
+    carries its row's number instead of the text, so that null and repeated
+    doc_ids are told apart; the number holds because the rows are staged.
+    """
+    rows = stage(docs.select("doc_id", "source", word_count("text").alias("size"), F.octet_length("text").alias("n_bytes"),
+                             F.monotonically_increasing_id().alias("row")), "mix-rows")
+    shards = _shards(rows.agg(F.sum("n_bytes")).first()[0] or 0)
+    rows, drawn = _taken(placed(rows, blocks_for(shards)), None)
+    mixed = stage(shuffled(dealt(rows, drawn, shards), shards).select(
+        "row", "mix_shard", "mix_place", "mix_copy"), "mix-shards")
+    copies = mixed.groupBy(F.col("row").alias("of_row")).agg(F.count("*").alias("copies"))
+    return rows.join(copies, F.col("row") == F.col("of_row"), "left").select(
+        "doc_id", "size", "source_size", "target",
+        (F.coalesce("copies", F.lit(0)) * F.col("size")).alias("taken"))

@@ -195,6 +195,34 @@ def test_mixing_tree_and_shards(docs):
     assert mixing.mixed_documents(docs).count() == mixed.count()
 
 
+def test_mixing_digest_counts_the_shards_copies(docs, monkeypatch):
+    want = {}
+    for r in mixing.mix(docs).select("doc_id", "text").collect():
+        k = (r.doc_id, len((r.text or "").encode().split()))
+        want[k] = want.get(k, 0) + k[1]
+    got = {}
+    for r in mixing.mix_digest(docs).collect():
+        k = (r.doc_id, r["size"])
+        got[k] = got.get(k, 0) + r.taken
+    assert {k: n for k, n in got.items() if n} == {k: n for k, n in want.items() if n}
+    # a shard that is missing from the deal is missing from the digest
+    whole, tree = sum(got.values()), mixing.split_tree
+    monkeypatch.setattr(mixing, "split_tree", lambda drawn, shards: tree(drawn, shards).where("shard <> 0"))
+    less = mixing.mix_digest(docs)
+    assert less.count() == docs.count() and less.agg(F.sum("taken")).first()[0] < whole
+
+
+def test_mixing_digest_has_the_mixes_blocks(docs, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_BYTES", 64)  # as if the text were large
+    asked, place = [], mixing.placed
+    monkeypatch.setattr(mixing, "placed", lambda rows, blocks: asked.append(blocks) or place(rows, blocks))
+    monkeypatch.setattr(mixing, "dealt", lambda rows, drawn, shards: rows.select(
+        "*", F.lit(0).alias("mix_shard"), F.lit(1).alias("mix_copy"), F.lit(0).alias("mix_place")))
+    mixing.mix_digest(docs)
+    mixing.mix(docs)
+    assert asked[0] == asked[1] > mixing.BLOCKS
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
 
