@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import chunked, components, mix64, runs_of, stage, text_rows, words_of
@@ -197,6 +197,11 @@ def _linked(percent: int):
     return run
 
 
+def _below(end: Column):
+    """A test of one parameter: F.filter passes the index to a second one, defaults or not."""
+    return lambda w: w < end
+
+
 class Join:
     """One run of the self-join over ``docs`` (doc_id, text)."""
 
@@ -248,7 +253,7 @@ class Join:
         for o in "bc":
             pairs = pairs.where(F.arrays_overlap(f"a_{o}", f"b_{o}"))
             for s, t in ("ab", "ba"):  # tokens of s that t cannot have: the overlap is the rest at most
-                absent = F.size(F.array_except(F.filter(f"{s}_{o}", lambda w, end=F.col(f"{t}_{o}_end"): w < end), F.col(f"{t}_{o}")))
+                absent = F.size(F.array_except(F.filter(f"{s}_{o}", _below(F.col(f"{t}_{o}_end"))), F.col(f"{t}_{o}")))
                 pairs = pairs.where((100 + self.percent) * (F.col(f"{s}_n") - absent) >= self.percent * (F.col("a_n") + F.col("b_n")))
         pairs = pairs.select("a", "b")
         pairs = stage(pairs, "candidates")

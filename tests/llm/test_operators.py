@@ -111,6 +111,27 @@ def test_ngram_join_chain_of_near_copies(spark):
     assert rows_of(got, "doc_id", "n_shingles", "component_id") == sorted(brute.jaccard(rows, 4, 85), key=repr)
 
 
+def test_ngram_join_large_sets_just_above_the_bound(spark):
+    rows = []
+    for i in range(6):  # one text holds 85.0 % of the other's shingles, and no others
+        words = [f"p{i}w{j}" for j in range(48_003)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:40_803 + i]))]
+    got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85)
+    assert rows_of(got, "doc_id", "component_id") == sorted(((d, d - d % 2) for d, _ in rows), key=repr)
+
+
+def test_ngram_join_bound_keeps_few_candidates(spark, monkeypatch):
+    """Pairs that share prefix tokens under all orders but not enough of them: no whole set moves."""
+    staged = {}
+    monkeypatch.setattr(ngram_join, "stage", lambda df, name: staged.setdefault(name, []).append(
+        out := common.stage(df, name)) or out)
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.sample([f"w{j}" for j in range(10_000)], 3000))) for i in range(12)]
+    got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 1, 85)
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == sorted(brute.jaccard(rows, 1, 85), key=repr)
+    assert sum(df.count() for df in staged["candidates"]) == 0
+
+
 def test_suffix_array():
     rng = random.Random(3)
     for _ in range(400):
