@@ -1,7 +1,8 @@
 """Format-preserving pseudonyms for personal numbers, addresses and dates.
 
 A match counts only when it is valid (Luhn check, mod-97 check, number plan,
-octet range, calendar).  Valid values of a format are numbered 0..N-1, a keyed
+octet range, calendar); cards and IBANs are found among further digits and
+words as well, between separators.  Valid values of a format are numbered 0..N-1, a keyed
 Feistel network permutes the numbers (cycle-walking back into the range), and
 the permuted number is written in the same layout: separators, letter case and
 check digits are kept right.  The permutation depends on the key and the
@@ -21,6 +22,7 @@ import re
 import string
 from collections.abc import Iterator
 from datetime import date
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -71,21 +73,83 @@ def _digits(permute: Feistel, digits: str, tweak: str) -> str:
     return str(permute(10 ** len(digits), int(digits), tweak)).zfill(len(digits))
 
 
-def _card(permute: Feistel, m: re.Match) -> str | None:
-    d = re.sub(r"\D", "", m[0])
+def _card(permute: Feistel, text: str) -> str | None:
+    d = re.sub(r"\D", "", text)
     if not 13 <= len(d) <= 19 or luhn_digit(d[:-1]) != d[-1] or len(set(d)) == 1:
         return None
     body = d[0] + _digits(permute, d[1:-1], f"card{d[0]}")
-    return _lay(m[0], body + luhn_digit(body))
+    return _lay(text, body + luhn_digit(body))
 
 
-def _iban(permute: Feistel, m: re.Match) -> str | None:
-    v = m[0].replace(" ", "")
+def _iban(permute: Feistel, text: str) -> str | None:
+    v = text.replace(" ", "")
     if not 15 <= len(v) <= 34 or int("".join(str(int(c, 36)) for c in v[4:] + v[:4])) % 97 != 1:
         return None
     body = _mixed(permute, v[4:], "iban" + v[:2])
     check = 98 - int("".join(str(int(c, 36)) for c in body + v[:2] + "00")) % 97
-    return _lay(m[0], f"{v[:2]}{check:02d}{body}")
+    return _lay(text, f"{v[:2]}{check:02d}{body}")
+
+
+#: Length of an IBAN by country.
+_IBAN_LENGTH = {c: int(n) for n, some in (x.split(":") for x in (
+    "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA "
+    "23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM "
+    "28:AL,AZ,BY,CY,DO,EG,GT,HU,LB,NI,PL,SV 29:BR,PS,QA,UA 30:JO,KW,YE 31:MT,SC 32:LC 33:RU").split()) for c in some.split(",")}
+
+
+def _card_ends(groups: list[str], whole: bool) -> list[int]:
+    """How many of the groups may be a card: 13 to 19 digits, the most first."""
+    ends = list(accumulate(map(len, groups[:19])))
+    return [i + 1 for i, n in reversed(list(enumerate(ends))) if 13 <= n <= 19 and (whole or i + 1 < len(groups))]
+
+
+def _card_like(groups: list[str], whole: bool) -> list[int]:
+    """Those in which cards are written: one group, or groups of 3 to 12 digits."""
+    return [n for n in _card_ends(groups, whole) if n == 1 or all(3 <= len(g) <= 12 for g in groups[:n])]
+
+
+def _iban_ends(groups: list[str], whole: bool) -> list[int]:
+    """How many of the groups may be an IBAN: the country's length first, then the most
+    of up to 34 characters; all of them where the country is not known."""
+    if not re.match(r"[A-Z]{2}\d{2}", groups[0]):
+        return []
+    ends = list(accumulate(map(len, groups[:34])))
+    fit = [i + 1 for i, n in reversed(list(enumerate(ends))) if 15 <= n <= 34]
+    length = _IBAN_LENGTH.get(groups[0][:2])
+    return [i for i in fit if ends[i - 1] == length] + fit[:1] if length else fit
+
+
+def _in_run(permute: Feistel, run: str, whole: bool, change) -> list[tuple[int, int, str]]:
+    """(start, end, pseudonym) of the valid values in a run of groups.
+
+    A value begins and ends with a group; what fails its check is tried
+    shorter, then from the next group on.  What no card was found in is tried
+    once more in layouts that cards seldom have, but there the longest extent
+    alone: among small numbers some shorter one would nearly always pass.
+    ``whole``: a value may end the run.
+    """
+    at = [(m.start(), m.end()) for m in re.finditer(r"[A-Z0-9]+", run)]
+    groups = [run[a:b] for a, b in at]
+    found: list[tuple[int, int, str]] = []
+
+    def search(i: int, stop: int, ends, retry: bool) -> None:
+        while i < stop:
+            tries = ends(groups[i:min(stop, i + 35)], whole or min(stop, i + 35) < len(at))
+            for n in tries if retry else tries[:1]:
+                new = change(permute, run[at[i][0]:at[i + n - 1][1]])
+                if new is not None:
+                    found.append((i, i + n, new))
+                    i += n
+                    break
+            else:
+                i += 1 if retry or not tries else tries[0]
+
+    search(0, len(at), _iban_ends if change is _iban else _card_like, True)
+    if change is _card:
+        edges = [0, *(x for i, j, _ in found for x in (i, j)), len(at)]
+        for i, stop in zip(edges[::2], edges[1::2]):
+            search(i, stop, _card_ends, False)
+    return [(at[i][0], at[j - 1][1], new) for i, j, new in sorted(found)]
 
 
 def _mixed(permute: Feistel, text: str, tweak: str) -> str:
@@ -172,8 +236,8 @@ def _date(permute: Feistel, m: re.Match) -> str | None:
 
 _FOUND = {
     "email": (r"(?<![\w.%+-])[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,63})@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}", _email),
-    "card": (r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d-])", _card),
-    "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])", _iban),
+    "card": (r"(?<![\d.-])\d(?:[ -]?\d){12,}", _card),
+    "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,}(?![A-Za-z0-9])", _iban),
     "ssn": (r"(?<![\d-])(?P<sa>\d{3})-(?P<sg>\d{2})-(?P<ss>\d{4})(?![\d-])", _ssn),
     "phone": (r"(?<![\w+])(?P<pc>\+\d{1,3}[ .-]?)?(?P<pn>\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}"
               r"|\d{3}[ .-]\d{3}[ .-]\d{4}|(?<=[ .-])\d{2,4}(?:[ .-]?\d{2,4}){2,4}|(?<=\d)\d{6,12})(?![\w-])", _phone),
@@ -212,10 +276,14 @@ def pseudonymise(text: str, permute: Feistel) -> tuple[str, dict[str, int]]:
                 continue
             at = 0
             for m in find(part):
-                new = change(permute, _Either(m) if kind == "date" else m)
-                if new is not None:
-                    out += [part[at:m.start()], new]
-                    at = m.end()
+                if kind in ("card", "iban"):
+                    found = _in_run(permute, m[0], kind == "iban" or part[m.end():m.end() + 1] != "-", change)
+                else:
+                    new = change(permute, _Either(m) if kind == "date" else m)
+                    found = [(0, m.end() - m.start(), new)] if new is not None else []
+                for start, end, new in found:
+                    out += [part[at:m.start() + start], new]
+                    at = m.start() + end
                     counts[kind] += 1
             out.append(part[at:])
         parts = out

@@ -359,6 +359,23 @@ def test_pseudonyms_keep_the_format():
     assert pii.pseudonymise("plain text. Version 2.0.", pii.Feistel(b"key")) == ("plain text. Version 2.0.", dict.fromkeys(pii.KINDS, 0))
 
 
+def test_pseudonyms_of_cards_and_ibans_among_other_groups():
+    permute = pii.Feistel(b"key")
+    card, iban = "4111111111111111", "DE89370400440532013000"
+    new = {v: pii.pseudonymise(v, permute)[0] for v in (card, iban)}
+    assert all(v != n for v, n in new.items())
+    for text in ("{} 12/27", "{} 123", "{} 1227 123", "{}-12345", "42 {}", "42 {} 12/27 x", "123-{} 4", "{} {}", "{} 12 {} 34"):
+        out, counts = pii.pseudonymise(text.format(card, card), permute)
+        assert (out, counts["card"]) == (text.format(new[card], new[card]), text.count("{}"))
+    out, counts = pii.pseudonymise("4111 1111 1111 1111 123", permute)
+    assert out.replace(" ", "") == new[card] + "123" and counts["card"] == 1
+    for text in ("{} BIC COBADEFF", "{} BIC", "IN20 24 {} A", "{} {}", "{} BANK OF X {} EUR 12", "{} A1 Bank"):
+        out, counts = pii.pseudonymise(text.format(iban, iban), permute)
+        assert (out, counts["iban"]) == (text.format(new[iban], new[iban]), text.count("{}"))
+    spaced = "GB82 WEST 1234 5698 7654 32"
+    assert pii.pseudonymise(spaced + " SORT CODE", permute)[0] == pii.pseudonymise(spaced, permute)[0] + " SORT CODE"
+
+
 def test_pseudonymise_documents(docs, empty):
     got = pii.pseudonymise_documents(docs, b"key")
     assert rows_of(got, "doc_id", "text") == sorted(awkward(), key=repr)  # nothing personal in it
