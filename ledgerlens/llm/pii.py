@@ -184,18 +184,35 @@ def _ssn(permute: Feistel, m: re.Match) -> str | None:
     return f"{areas + 1 + (areas >= 665):03d}-{group + 1:02d}-{serial + 1:04d}"
 
 
+#: Country codes (E.164) of one and two digits; all others have three.
+_CODES = {"1", "7", *"20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+          "81 82 84 86 90 91 92 93 94 95 98".split()}
+
+
+def _in_plan(d: str) -> bool:
+    """Number plan of country code 1: area, exchange, line."""
+    return len(d) == 10 and d[0] in "23456789" and d[3] in "23456789"
+
+
 def _phone(permute: Feistel, m: re.Match) -> str | None:
-    lead, d = m["pc"] or "", re.sub(r"\D", "", m["pn"])
-    if not lead and m["pn"].isdigit():
+    """Digits alone make the value: the country code and the rest, however they are laid out."""
+    d = re.sub(r"\D", "", m[0])
+    if not m["pc"] and (m["pn"].isdigit() or not _in_plan(d)):
         return None  # bare digits are no phone number
-    if len(d) == 10 and d[0] in "23456789" and d[3] in "23456789":  # number plan: area, exchange, line
-        value = ((int(d[:3]) - 200) * 800 + int(d[3:6]) - 200) * 10_000 + int(d[6:])
+    code = next(d[:n] for n in (1, 2, 3) if n == 3 or d[:n] in _CODES) if m["pc"] else "1"
+    rest = d[len(code):] if m["pc"] else d
+    if code == "1" and _in_plan(rest):
+        value = ((int(rest[:3]) - 200) * 800 + int(rest[3:6]) - 200) * 10_000 + int(rest[6:])
         value, line = divmod(permute(800 * 800 * 10_000, value, "phone"), 10_000)
         area, exchange = divmod(value, 800)
-        return lead + _lay(m["pn"], f"{area + 200}{exchange + 200}{line:04d}")
-    if not lead or not 7 <= len(d) <= 14:
+        new = f"{area + 200}{exchange + 200}{line:04d}"
+    elif 8 <= len(d) <= 17:
+        new = _digits(permute, rest, "phone+" + code)
+        while code == "1" and _in_plan(new):  # the walk stays outside the plan
+            new = _digits(permute, new, "phone+" + code)
+    else:
         return None
-    return lead + _lay(m["pn"], _digits(permute, d, "phone" + lead.strip()))
+    return _lay(m[0], code + new if m["pc"] else new)
 
 
 def _ip(permute: Feistel, m: re.Match) -> str | None:
@@ -239,8 +256,11 @@ _FOUND = {
     "card": (r"(?<![\d.-])\d(?:[ -]?\d){12,}", _card),
     "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,}(?![A-Za-z0-9])", _iban),
     "ssn": (r"(?<![\d-])(?P<sa>\d{3})-(?P<sg>\d{2})-(?P<ss>\d{4})(?![\d-])", _ssn),
-    "phone": (r"(?<![\w+])(?P<pc>\+\d{1,3}[ .-]?)?(?P<pn>\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}"
-              r"|\d{3}[ .-]\d{3}[ .-]\d{4}|(?<=[ .-])\d{2,4}(?:[ .-]?\d{2,4}){2,4}|(?<=\d)\d{6,12})(?![\w-])", _phone),
+    "phone": (r"(?<![\w+])(?:(?P<pc>\+1[ .-]?(?=(?:\([2-9]\d\d\)|[2-9]\d\d)[ .-]?[2-9]\d\d[ .-]?\d{4}(?![\w-]))"
+              r"|\+\d{1,3}[ .-]?)?(?P<pn>(?<=\+1)[2-9]\d\d[ .-]?[2-9]\d\d[ .-]?\d{4}(?![\w-])"
+              r"|\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}"
+              r"|\d{3}[ .-]\d{3}[ .-]\d{4}|(?<=[ .-])\d{2,4}(?:[ .-]?\d{2,4}){2,4}|(?<=\d)\d{6,12}"
+              r"|(?<=\d)\d{1,4}(?:[ .-]?\d{2,4}){2,4}))(?![\w-])", _phone),
     "ip": (r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\d]|\.\d)", _ip),
     "date": (r"(?<![\d./-])(?:(?P<da>\d{4})(?P<ds>[-./])(?P<db>\d{2})(?P=ds)(?P<dc>\d{2})"
              r"|(?P<ea>\d{2})(?P<es>[-./])(?P<eb>\d{2})(?P=es)(?P<ec>\d{4}))(?![\d/-])", _date),

@@ -376,6 +376,25 @@ def test_pseudonyms_of_cards_and_ibans_among_other_groups():
     assert pii.pseudonymise(spaced + " SORT CODE", permute)[0] == pii.pseudonymise(spaced, permute)[0] + " SORT CODE"
 
 
+@pytest.mark.parametrize("code,same", [
+    ("1", ["+15551234567", "+1 555 123 4567", "+1 (555) 123-4567", "+1-555-123-4567", "+1555 123 4567", "+1 5551234567"]),
+    ("1", ["+14155552671", "+1 415 555 2671", "+1 (415) 555-2671", "+1415 555 2671", "415-555-2671", "(415) 555-2671"]),
+    ("44", ["+442079460958", "+44 20 7946 0958", "+44 2079460958", "+44-20-7946-0958", "+4420 7946 0958"]),
+    ("49", ["+4930901820", "+49 30 901820", "+49 30 90 18 20", "+4930 901820"]),
+    ("7", ["+74951234567", "+7 495 123-45-67", "+7 (495) 123-4567"]),
+    ("353", ["+35312345678", "+353 12 345 678", "+353 1234 5678"])])
+def test_pseudonyms_of_phone_numbers_ignore_the_layout(code, same):
+    permute, news = pii.Feistel(b"key"), set()
+    for phone in same:
+        out, counts = pii.pseudonymise(f"call {phone} now", permute)
+        out = out[5:-4]
+        assert counts["phone"] == 1 and [c.isdigit() for c in out] == [c.isdigit() for c in phone]
+        digits = "".join(c for c in out if c.isdigit())
+        assert "+" not in phone or digits.startswith(code)
+        news.add(digits.removeprefix(code) if "+" in phone else digits)
+    assert len(news) == 1 and not news & {"5551234567", "4155552671", "2079460958", "30901820", "4951234567", "12345678"}
+
+
 def test_pseudonymise_documents(docs, empty):
     got = pii.pseudonymise_documents(docs, b"key")
     assert rows_of(got, "doc_id", "text") == sorted(awkward(), key=repr)  # nothing personal in it
