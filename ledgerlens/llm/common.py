@@ -119,6 +119,11 @@ def text_rows(docs: DataFrame) -> DataFrame:
                        F.col("text").cast("string").cast("binary").alias("text"))
 
 
+def blanks(data: np.ndarray) -> np.ndarray:
+    """Whether each byte is a blank."""
+    return _BLANK[data]
+
+
 def _segment_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     blank = _BLANK[data]
     edge = np.diff(np.concatenate(([1], blank.view(np.int8), [1])))

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import debruijn, exact_dedup, mixing, ngram_join, packing, pii, quality, suffix_dedup, toxicity, vector_dedup
+from ledgerlens.llm import (debruijn, exact_dedup, fim, mixing, ngram_join, packing, pii, quality, suffix_dedup,
+                            token_store, toxicity, vector_codes, vector_dedup)
 from ledgerlens.llm.common import table
 
 
@@ -45,10 +46,10 @@ def op8_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.93)
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,9 +60,61 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debruijn.remove_repeats(table(spark, sf_dir, "documents"), length=35, k=16)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fim_digest(table(spark, sf_dir, "documents"))
+
+
+def op12_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.token_digest(spark, table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_digest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pii, op2_exact_dedup, op3_toxicity, op4_ngram_join, op5_suffix_dedup, op6_quality,
-                            op7_mixing, op8_vector_dedup, op9_packing, op10_substring_dedup)}
+                            op7_mixing, op8_vector_dedup, op9_packing, op10_substring_dedup,
+                            op11_fill_in_middle, op12_token_store, op13_vector_codes)}
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """The rounds of ``vector_codes`` one after the other: nearest entries, then their parts' means."""
+    ctes = [f"""
+        x AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding::DOUBLE[]) AS r, vec_id, label,
+                   list_transform(embedding::DOUBLE[], lambda y: floor(4096 * y)::BIGINT) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+        w AS (SELECT (max(len(e)) // {parts})::BIGINT AS w FROM x),
+        v AS MATERIALIZED (
+            SELECT r, p.p, e[p.p * w + 1:(p.p + 1) * w] AS e FROM x, w, range({parts}) AS p(p)),
+        b0 AS MATERIALIZED (SELECT p, r - 1 AS k, e FROM v WHERE r <= {entries})"""]
+    distance = "list_sum(list_transform(range(1, len(v.e) + 1), lambda i: (v.e[i] - b.e[i]) * (v.e[i] - b.e[i])))"
+    for i in range(rounds + 1):
+        ctes.append(f"""
+        a{i} AS MATERIALIZED (
+            SELECT v.r, v.p, min((d.d, d.k)) AS m FROM v, LATERAL (
+                SELECT {distance}::BIGINT AS d, b.k FROM b{i} b WHERE b.p = v.p) d GROUP BY v.r, v.p)""")
+        if i < rounds:
+            ctes.append(f"""
+        s{i} AS MATERIALIZED (
+            SELECT p, k, list(q ORDER BY i) AS e FROM (
+                SELECT v.p, a.m[2] AS k, j.i, (sum(v.e[j.i]) // count(*)
+                       - CASE WHEN sum(v.e[j.i]) % count(*) < 0 THEN 1 ELSE 0 END)::BIGINT AS q
+                FROM v JOIN a{i} a ON a.r = v.r AND a.p = v.p, LATERAL (SELECT unnest(range(1, len(v.e) + 1)) AS i) j
+                GROUP BY v.p, a.m[2], j.i) GROUP BY p, k),
+        b{i + 1} AS MATERIALIZED (
+            SELECT b.p, b.k, coalesce(s.e, b.e) AS e FROM b{i} b LEFT JOIN s{i} s ON s.p = b.p AND s.k = b.k)""")
+    return f"""
+        WITH {','.join(ctes)},
+        c AS (SELECT r, string_agg(printf('%02x', m[2]), '' ORDER BY p) AS code, sum(m[1])::BIGINT AS error
+              FROM a{rounds} GROUP BY r),
+        h AS (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY p, k)) AS codebooks_sha256 FROM b{rounds})
+        SELECT x.vec_id, c.code, c.error, (sum(c.error) OVER (PARTITION BY x.label))::BIGINT AS label_error,
+               h.codebooks_sha256
+        FROM x JOIN c ON c.r = x.r, h"""
+
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"[^\x20\x09-\x0D]+"
@@ -101,6 +154,27 @@ ORACLE_SQL: dict[str, str] = {
         n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
         SELECT e.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
         FROM embeddings e JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id""",
+    "op11_fill_in_middle": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+                   regexp_extract_all(coalesce(text, ''),
+                                      '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+            FROM documents),
+        i AS (SELECT doc_id, text, u, len(u) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+                     ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+        f AS (SELECT doc_id, text, u, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                     CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                               OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM i),
+        p AS (SELECT doc_id, text, n, form, array_to_string(u[1:a], '') AS prefix,
+                     array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix FROM f)
+        SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text
+                      WHEN 'psm' THEN concat('<P>', prefix, '<S>', suffix, '<M>', middle)
+                      ELSE concat('<S>', suffix, '<P>', prefix, '<M>', middle) END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM p""",
+    "op13_vector_codes": _codes_sql(),
     "op10_substring_dedup": f"""
         WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents),
         p AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM w),
