@@ -14,13 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..operators import clean, evm, reports, star
+from ..operators import clean, evm, reports, spine, star
 from ..operators.keys import dense_surrogate_key
+from ..operators.rule_table import vendor_rule_table
 from ..operators.sizing import staged
 from ..operators.vendors import vendor_fuzzy_match, vendor_rule_map
 from ..session import scratch_path
 from ..sources import bindings as B
-from ..sources import files
+from ..sources import files, publication, records
 from ..sources.schemas import FACT_PROJECT_COST, RAW_CHANGE_ORDERS, STAR_TABLES
 from . import etl
 
@@ -65,6 +66,20 @@ def q_csv_ingest_typed(spark, sf_dir):
     return files.read_csv_typed(spark, path, RAW_CHANGE_ORDERS)
 
 
+def q_csv_line_breaks(spark, sf_dir):
+    """Change orders from an export whose descriptions hold line breaks, quotes and commas."""
+    path = scratch_path(spark, "csv-breaks")
+    files.write_csv(B.change_orders_with_breaks(spark, sf_dir), path)
+    return records.read_records(spark, path, RAW_CHANGE_ORDERS).rows
+
+
+def q_csv_quarantine(spark, sf_dir):
+    """The rows of such an export whose amount is no number, as they were written."""
+    path = scratch_path(spark, "csv-quarantine")
+    files.write_csv(B.change_orders_with_breaks(spark, sf_dir, bad_amounts=True), path)
+    return records.read_records(spark, path, RAW_CHANGE_ORDERS).quarantine.select("text")
+
+
 def q_source_row_audit(spark, sf_dir):
     return clean.source_row_audit({name: fn(spark, sf_dir) for name, fn in B.BINDINGS.items()})
 
@@ -124,6 +139,11 @@ def q_vendor_rule_map(spark, sf_dir):
     return vendor_rule_map(raw, "vendor_raw", "vendor_name", RULES)
 
 
+def q_vendor_rule_table(spark, sf_dir):
+    """Account texts by a table of rules: one per customer, and one per block of ten."""
+    return vendor_rule_table(B.account_texts(spark, sf_dir), "account_raw", B.account_rules(spark, sf_dir), "account_name")
+
+
 def q_vendor_fuzzy_match(spark, sf_dir):
     raw = B.cost_ledger(spark, sf_dir).select("cost_key", F.col("vendor_name").alias("vendor_raw"))
     return vendor_fuzzy_match(raw, "vendor_raw", "vendor_name", canonical=CANONICAL, rules=RULES)
@@ -265,6 +285,15 @@ def q_scurve_vs_baseline(spark, sf_dir):
     return reports.scurve_vs_baseline(pay_fact(spark, sf_dir), "linear", PLANNED_END)
 
 
+def q_scurve_every_month(spark, sf_dir):
+    return spine.scurve_every_month(pay_fact(spark, sf_dir), "linear", PLANNED_END)
+
+
+def q_evm_trend_every_month(spark, sf_dir):
+    raw = clean.variance_backfill(B.cost_ledger(spark, sf_dir))
+    return spine.evm_trend_every_month(clean.normalize_periods(raw, {"period_month": "period"}), "period")
+
+
 def q_star_join_report(spark, sf_dir):
     co = co_fact(spark, sf_dir)
     return reports.star_join_report(
@@ -288,6 +317,11 @@ def q_etl_job(spark, sf_dir):
         files.write_csv(fn(spark, sf_dir), raw_paths[name])
     cfg = etl.ProgramConfig(CAMPUS, CLIENT, PROGRAM_VALUE, SNAPSHOT, vendor_rules=RULES, canonical_vendors=CANONICAL)
     done = etl.run(spark, raw_paths, scratch_path(spark, "star"), cfg)
+    return table_sums({name: spark.read.schema(STAR_TABLES[name]).parquet(path) for name, path in done["paths"].items()})
+
+
+def table_sums(tables) -> DataFrame:
+    """Rows and a sum of keys or amounts of every table of the star."""
     sums = {
         "fact_project_cost": F.sum("approved_budget"),
         "fact_change_orders": F.sum(F.round(F.col("cost_impact") * 100).cast("bigint")),
@@ -297,13 +331,49 @@ def q_etl_job(spark, sf_dir):
     }
     out = None
     for name, total in sums.items():
-        part = spark.read.schema(STAR_TABLES[name]).parquet(done["paths"][name]).agg(
+        part = tables[name].agg(
             F.count(F.lit(1)).alias("row_count"), total.cast("bigint").alias("checksum"))
         part = part.select(F.lit(name).alias("table_name"), "row_count", "checksum")
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def q_star_publication(spark, sf_dir):
+    """The star that readers see after a second publication has failed in its fifth table: the first one, whole."""
+    root = scratch_path(spark, "published-star")
+    raw = {name: fn(spark, sf_dir) for name, fn in B.BINDINGS.items()}
+    cfg = etl.ProgramConfig(CAMPUS, CLIENT, PROGRAM_VALUE, SNAPSHOT, vendor_rules=RULES, canonical_vendors=CANONICAL)
+    etl.publish(spark, raw, root, cfg)
+    later = publication.Publication(spark, root)
+    current = publication.read_published(spark, root)
+    for name in ("fact_project_cost", "fact_change_orders", "fact_schedule", "fact_pay_applications"):
+        later.write(name, current[name].where("building_id = 'BLD-1'"))
+    broken = F.when(F.col("building_id") == "BLD-1", F.raise_error(F.lit("fifth table"))).otherwise(F.col("building_id"))
+    try:
+        later.write("dim_building", current["dim_building"].withColumn("building_id", broken))
+        later.commit()
+    except Exception as error:
+        if "fifth table" not in str(error):
+            raise
+    return table_sums(publication.read_published(spark, root))
+
+
+READ_FROM, READ_TO = "1996-02-10", "1996-03-20"
+
+
+def q_star_read(spark, sf_dir):
+    """Change orders of a span of days, read by SQL from a published table that is clustered by day."""
+    root = scratch_path(spark, "clustered-star")
+    out = publication.Publication(spark, root)
+    out.write("fact_change_orders", co_fact(spark, sf_dir), cluster_by=["submitted_date", "change_order_id"])
+    out.commit()
+    publication.read_published(spark, root, register_views=True)
+    return spark.sql(f"""SELECT submitted_date, status, count(*) AS co_count, sum(schedule_impact_days) AS impact_days
+                         FROM fact_change_orders
+                         WHERE submitted_date BETWEEN DATE'{READ_FROM}' AND DATE'{READ_TO}'
+                         GROUP BY submitted_date, status""")
+
+
 def answer_key(spark, sf_dir) -> DataFrame:
     """A published key to check against, with known differences.
 
@@ -333,6 +403,8 @@ def q_answer_key_check(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_ingest_typed": q_csv_ingest_typed,
+    "csv_line_breaks": q_csv_line_breaks,
+    "csv_quarantine": q_csv_quarantine,
     "source_row_audit": q_source_row_audit,
     "sink_overwrite_roundtrip": q_sink_overwrite_roundtrip,
     "normalize_date": q_normalize_date,
@@ -341,6 +413,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "approval_lag": q_approval_lag,
     "variance_backfill": q_variance_backfill,
     "vendor_rule_map": q_vendor_rule_map,
+    "vendor_rule_table": q_vendor_rule_table,
     "vendor_fuzzy_match": q_vendor_fuzzy_match,
     "null_profile": q_null_profile,
     "evm_row_metrics": q_evm_row_metrics,
@@ -372,6 +445,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schedule_slippage": q_schedule_slippage,
     "pay_app_current_position": q_pay_app_current_position,
     "scurve_vs_baseline": q_scurve_vs_baseline,
+    "scurve_every_month": q_scurve_every_month,
+    "evm_trend_every_month": q_evm_trend_every_month,
+    "star_publication": q_star_publication,
+    "star_read": q_star_read,
     "star_join_report": q_star_join_report,
     "star_cost_report": q_star_cost_report,
     "etl_job": q_etl_job,

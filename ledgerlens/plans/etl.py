@@ -3,13 +3,16 @@
 Differences from a straight script, all for scale:
 
 * raw files are read with declared schemas (no inference pass per file);
-* the exports are parsed once, into staged typed tables; the four row counts
-  are one job (tagged union + group) over those, and are held against the facts;
+* the exports are parsed once, into staged typed tables (line breaks in quoted
+  text included); rows are counted while they are staged, and held against the
+  rows counted while the facts are written: no scan is made for a count;
 * each fact is computed once and staged as Parquet, and the dimensions are
   derived from the staged facts (column-pruned Parquet scans), instead of
   re-reading and re-cleaning the raw text for every table;
 * the vendor surrogate key is numbered in parallel (``dense_surrogate_key``)
   rather than by a single-partition window;
+* the tables are published together, as one version (a failed run leaves the
+  old one whole);
 * the sink is Parquet by default; JDBC is available with bounded
   connection count and batch size.
 """
@@ -24,9 +27,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import SENTINEL_DATE
 from ..operators import clean, star
-from ..operators.sizing import staged as staged_table
 from ..operators.vendors import DEFAULT_VENDOR_RULES, vendor_rule_map
-from ..sources import files
+from ..sources import files, publication, records
 from ..sources.schemas import RAW_SOURCES, STAR_TABLES
 
 
@@ -60,11 +62,10 @@ SOURCE_FACT = {
 }
 
 
-def read_raw(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
-    """Read the four raw exports (keys of ``RAW_SOURCES``) with declared schemas and the
-    raw text of rows that do not fit them."""
-    return {name: files.read_csv_typed(spark, paths[name], RAW_SOURCES[name], corrupt_column=files.CORRUPT)
-            for name in RAW_SOURCES}
+def read_raw(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, records.Records]:
+    """Read the four raw exports (keys of ``RAW_SOURCES``) with declared schemas: staged rows, their
+    number, and the text of those that do not fit."""
+    return {name: records.read_records(spark, paths[name], RAW_SOURCES[name]) for name in RAW_SOURCES}
 
 
 def quality_profile(raw: Mapping[str, DataFrame], cfg: ProgramConfig) -> DataFrame:
@@ -78,7 +79,7 @@ def quality_profile(raw: Mapping[str, DataFrame], cfg: ProgramConfig) -> DataFra
         vendor = vendors.get(name)
         if vendor:
             df = vendor_rule_map(df, vendor, "__clean", cfg.vendor_rules)
-        part = clean.null_profile(df.drop(files.CORRUPT), name, date_columns=dates.get(name, ()),
+        part = clean.null_profile(df, name, date_columns=dates.get(name, ()),
                                   vendor_columns={vendor: "__clean"} if vendor else None, canonical=canonical,
                                   period_columns=periods.get(name, ()))
         out = part if out is None else out.unionByName(part)
@@ -125,35 +126,58 @@ def build_dims(spark: SparkSession, facts: Mapping[str, DataFrame], cfg: Program
     }
 
 
+def quarantine(raw: Mapping[str, records.Records]) -> DataFrame:
+    """The unread rows of all exports: source, file, split, line, text."""
+    out = None
+    for name, found in raw.items():
+        part = found.quarantine.select(F.lit(name).alias("source"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def publish(spark: SparkSession, raw: Mapping[str, DataFrame], out_root: str, cfg: ProgramConfig,
+            also: Mapping[str, DataFrame] | None = None,
+            expected: Mapping[str, int] | None = None) -> publication.Publication:
+    """Write the eight tables (and ``also``) as one version: all of them are published, or none.
+
+    With ``expected`` rows per export, a fact that has not as many rows is an
+    error; its rows are counted while they are written.
+    """
+    out = publication.Publication(spark, out_root)
+    for name, df in (also or {}).items():
+        out.write(name, df)
+    facts = {name: out.write(name, df, cfg.fact_partitions.get(name, ())) for name, df in build_facts(raw, cfg).items()}
+    loaded = {source: out.entries[fact].row_count for source, fact in SOURCE_FACT.items()}
+    if expected is not None and loaded != dict(expected):
+        raise RuntimeError(f"rows read {dict(expected)}, rows in the facts {loaded}")
+    for name, df in build_dims(spark, facts, cfg).items():
+        out.write(name, df)
+    out.commit()
+    return out
+
+
 def run(spark: SparkSession, raw_paths: Mapping[str, str], out_root: str, cfg: ProgramConfig,
         jdbc: Mapping[str, object] | None = None) -> dict:
-    """Run the whole job; returns the audit, the corrupt rows and the written paths.
+    """Run the whole job; returns the audit, the corrupt rows, the version and the written paths.
 
-    The exports are parsed once, into staged typed tables: the audit counts
-    their rows, the profile (table ``data_quality``) and the facts read them.
-    A fact that has not as many rows as its export is an error.  With ``jdbc`` (``url``, ``properties``, optional
-    ``num_partitions``) each table is also loaded into the warehouse.
+    The exports are parsed once, into staged typed tables; their rows are
+    counted on the way (the audit).  The profile (table ``data_quality``), the
+    unread rows (``quarantine``) and the eight tables become one version.  With
+    ``jdbc`` (``url``, ``properties``, optional ``num_partitions``) each table
+    is then loaded into the warehouse as well.
     """
-    raw = {name: staged_table(df, f"raw-{name}") for name, df in read_raw(spark, raw_paths).items()}
-    audit = {r["source"]: r["row_count"] for r in clean.source_row_audit(raw).collect()}  # 4 rows
-    corrupt = {r["source"]: r["row_count"] for r in clean.source_row_audit(
-        {name: df.where(F.col(files.CORRUPT).isNotNull()) for name, df in raw.items()}).collect()}  # 4 rows
-    raw = {name: df.drop(files.CORRUPT) for name, df in raw.items()}
-    files.write_table(quality_profile(raw, cfg), f"{out_root.rstrip('/')}/data_quality")
-    fact_paths = files.write_star(build_facts(raw, cfg), out_root, partition_by=cfg.fact_partitions)
-    staged = {name: spark.read.schema(STAR_TABLES[name]).parquet(path).select(*STAR_TABLES[name].fieldNames())
-              for name, path in fact_paths.items()}
-    loaded = {r["source"]: r["row_count"] for r in clean.source_row_audit(
-        {source: staged[fact] for source, fact in SOURCE_FACT.items()}).collect()}  # 4 rows
-    if loaded != audit:
-        raise RuntimeError(f"rows read {audit}, rows in the facts {loaded}")
-    dim_paths = files.write_star(build_dims(spark, staged, cfg), out_root)
-    paths = {**fact_paths, **dim_paths}
+    read = read_raw(spark, raw_paths)
+    audit = {name: found.row_count for name, found in read.items()}
+    raw = {name: found.rows for name, found in read.items()}
+    done = publish(spark, raw, out_root, cfg, {"data_quality": quality_profile(raw, cfg), "quarantine": quarantine(read)},
+                   expected=audit)
+    paths = {name: path for name, path in done.paths().items() if name in STAR_TABLES}
     if jdbc:
         for name, path in paths.items():
             files.write_jdbc(spark.read.parquet(path), jdbc["url"], name, jdbc["properties"],
                              num_partitions=jdbc.get("num_partitions"))
-    return {"audit": audit, "corrupt": corrupt, "paths": paths}
+    return {"audit": audit, "corrupt": {name: found.unread_count for name, found in read.items()},
+            "version": done.version, "paths": paths}
 
 
 def main(argv: Sequence[str] | None = None) -> None:

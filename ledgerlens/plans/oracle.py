@@ -360,6 +360,10 @@ COST_RAW_COLS = (
     "committed_cost", "actual_cost_to_date", "forecasted_final_cost", "variance", "earned_value", "planned_value",
     "percent_complete_actual", "percent_complete_baseline", "period_month", "building_id",
 )
+# line breaks as the binding puts them into descriptions
+_BROKEN = (f"CASE WHEN okey % {B.CO_BREAK_MOD} = 0 THEN description || ',' || chr(10) || 'revised' || chr(13) || chr(10) "
+           "|| CAST(okey AS VARCHAR) || ' \"times\"' || chr(10) || chr(10) || 'end' ELSE description END")
+
 CO_RAW_COLS = (
     "change_order_id", "co_type", "description", "submitted_date", "approved_date", "status", "cost_impact",
     "schedule_impact_days", "responsible_party", "building_id", "wbs_code", "wbs_level_1",
@@ -567,6 +571,51 @@ SELECT *, actual_cumulative - baseline_cumulative AS variance_to_baseline,
             WHEN actual_cumulative - baseline_cumulative < 0 THEN 'behind' ELSE 'on plan' END AS position
 FROM b"""
 
+SCURVE_MONTHS = f"""{PAYW},
+m AS (SELECT building_id, period_start, {_i('sum(work_completed_this_period)')} AS monthly_spend
+      FROM pay_fact GROUP BY building_id, period_start),
+c AS (SELECT building_id, {_i('sum(this_period)')} AS budget
+      FROM (SELECT 'BLD-' || CAST(region AS VARCHAR) AS building_id, this_period FROM pay_month) GROUP BY building_id),
+f AS (SELECT building_id, min(period_start) AS first, greatest(max(period_start), DATE '{C.PLANNED_END}-01') AS last
+      FROM m GROUP BY building_id),
+g AS (SELECT building_id, first, unnest(generate_series(first, last, INTERVAL 1 MONTH))::DATE AS month FROM f
+      UNION ALL SELECT m.building_id, first, NULL::DATE FROM m JOIN f ON m.building_id = f.building_id WHERE period_start IS NULL),
+s AS (SELECT g.building_id, g.month, first, budget, m.building_id IS NOT NULL AS billed,
+             CASE WHEN m.building_id IS NULL THEN 0 ELSE m.monthly_spend END AS monthly_spend,
+             (SELECT CAST(sum(x.monthly_spend) AS BIGINT) FROM m x
+              WHERE x.building_id = g.building_id AND x.period_start <= g.month) AS actual_cumulative,
+             (SELECT CAST(sum(t) AS BIGINT) FROM (
+                SELECT max_by(p.work_completed_to_date, p.period_sequence) AS t FROM pay_fact p
+                WHERE p.building_id = g.building_id AND p.period_start <= g.month GROUP BY p.contractor_name)) AS reported_to_date,
+             least(1.0::DOUBLE, CAST(datediff('month', first, g.month) + 1 AS DOUBLE)
+                   / CAST(greatest(datediff('month', first, DATE '{C.PLANNED_END}-01') + 1, 1) AS DOUBLE)) AS t
+      FROM g JOIN c ON g.building_id = c.building_id
+           LEFT JOIN m ON m.building_id = g.building_id AND m.period_start IS NOT DISTINCT FROM g.month),
+b AS (SELECT building_id, strftime(month, '%Y-%m') AS period, CAST(monthly_spend AS BIGINT) AS monthly_spend, billed,
+             reported_to_date, actual_cumulative,
+             CASE WHEN month IS NOT NULL THEN round(budget * t, 0) END AS baseline_cumulative FROM s)
+SELECT *, actual_cumulative - baseline_cumulative AS variance_to_baseline,
+       CASE WHEN period IS NULL THEN 'unassigned' WHEN actual_cumulative - baseline_cumulative > 0 THEN 'ahead'
+            WHEN actual_cumulative - baseline_cumulative < 0 THEN 'behind' ELSE 'on plan' END AS position
+FROM b"""
+
+RULE_TABLE = f"""
+WITH r AS (SELECT c_name AS pattern, 'Account ' || CAST(c_custkey AS VARCHAR) AS canonical, c_custkey + 1000000000 AS priority
+           FROM customer
+           UNION ALL SELECT DISTINCT upper(left(c_name, length(c_name) - 1)), 'Block ' || CAST(c_custkey // 10 AS VARCHAR), 1
+           FROM customer),
+n AS (SELECT o_orderkey, 'Customer#' || CASE WHEN o_orderkey % {B.TYPO_MOD} = 0
+             THEN left(lpad(CAST(o_custkey AS VARCHAR), 9, '0'), 8) || 'x' ELSE lpad(CAST(o_custkey AS VARCHAR), 9, '0') END AS name
+      FROM orders),
+t AS (SELECT o_orderkey, CASE WHEN o_orderkey % {B.NO_ACCOUNT_MOD} <> 0 THEN
+             CASE o_orderkey % 3 WHEN 0 THEN lower(name) WHEN 1 THEN 'c/o ' || name || ' (site office)' ELSE name END
+             END AS account_raw FROM n),
+b AS (SELECT d.account_raw, max_by(r.canonical, r.priority) AS canonical
+      FROM (SELECT DISTINCT account_raw FROM t WHERE account_raw IS NOT NULL) d JOIN r
+           ON contains(upper(d.account_raw), upper(r.pattern)) GROUP BY d.account_raw)
+SELECT t.o_orderkey, t.account_raw, coalesce(b.canonical, t.account_raw) AS account_name
+FROM t LEFT JOIN b ON b.account_raw = t.account_raw"""
+
 VARIANCE_TOP = f"""{COST},
 g AS (SELECT wbs_level_1, building_id, {_i('sum(approved_budget)')} AS approved_budget,
              {_i('sum(actual_cost_to_date)')} AS actual_cost, {_i('sum(forecasted_final_cost)')} AS forecasted_final_cost,
@@ -621,6 +670,33 @@ SELECT building_id, strftime(period_start, '%Y-%m') AS period, cum_budget, cum_a
 FROM l"""
 
 
+TREND_MONTHS = f"""{COST},
+h AS (SELECT building_id, period_start, count(*) AS n FROM cost_raw GROUP BY ALL),
+e AS (SELECT building_id, min(period_start) AS lo, max(period_start) AS hi FROM cost_raw GROUP BY building_id),
+g AS (SELECT building_id, unnest(generate_series(lo, hi, INTERVAL 1 MONTH))::DATE AS period_start FROM e
+      UNION ALL SELECT DISTINCT building_id, NULL::DATE FROM cost_raw WHERE period_start IS NULL),
+c AS (SELECT g.building_id, g.period_start,
+             {_i('sum(x.approved_budget)')} AS cum_budget, {_i('sum(x.actual_cost_to_date)')} AS cum_actual_cost,
+             {_i('sum(x.earned_value)')} AS cum_earned_value, {_i('sum(x.planned_value)')} AS cum_planned_value,
+             coalesce(bool_or(x.period_start IS NOT DISTINCT FROM g.period_start), false) AS has_rows
+      FROM g JOIN (SELECT building_id, period_start, sum(approved_budget) AS approved_budget,
+                          sum(actual_cost_to_date) AS actual_cost_to_date, sum(earned_value) AS earned_value,
+                          sum(planned_value) AS planned_value FROM cost_raw GROUP BY ALL) x
+           ON x.building_id IS NOT DISTINCT FROM g.building_id
+           AND (x.period_start <= g.period_start OR (x.period_start IS NULL AND g.period_start IS NULL))
+      GROUP BY g.building_id, g.period_start),
+r AS (SELECT *, round(cum_earned_value / NULLIF(cum_actual_cost, 0), 3) AS cpi,
+             round(cum_earned_value / NULLIF(cum_planned_value, 0), 3) AS spi,
+             round(cum_budget / NULLIF(cum_earned_value / NULLIF(cum_actual_cost, 0), 0), 0) AS eac FROM c),
+l AS (SELECT r.*, y.cpi AS prev FROM r LEFT JOIN r y ON y.building_id IS NOT DISTINCT FROM r.building_id
+           AND y.period_start + INTERVAL 1 MONTH = r.period_start)
+SELECT building_id, strftime(period_start, '%Y-%m') AS period, has_rows, cum_budget, cum_actual_cost, cum_earned_value,
+       cum_planned_value, cpi, spi, eac, round(cpi - prev, 3) AS cpi_change,
+       CASE WHEN prev IS NULL OR cpi IS NULL THEN 'n/a' WHEN cpi > prev THEN 'improving'
+            WHEN cpi < prev THEN 'worsening' ELSE 'flat' END AS cpi_direction
+FROM l"""
+
+
 def _matrix() -> str:
     cols = []
     for b in [*C.BUILDINGS, None]:
@@ -747,6 +823,11 @@ def _answer_key() -> str:
 
 ORACLE_SQL: dict[str, str] = {
     "csv_ingest_typed": f"{CO} SELECT {', '.join(CO_RAW_COLS)} FROM co_raw",
+    "csv_line_breaks": f"{CO} SELECT {', '.join(CO_RAW_COLS).replace('description', _BROKEN + ' AS description')} FROM co_raw",
+    "csv_quarantine": f"""{CO} SELECT concat_ws(',', change_order_id, co_type,
+        '"' || replace({_BROKEN}, '"', '""') || '"', coalesce(submitted_date, ''), coalesce(approved_date, ''),
+        coalesce(status, ''), {_q(B.JUNK_TEXT)}, schedule_impact_days, responsible_party, coalesce(building_id, ''), wbs_code,
+        wbs_level_1) AS text FROM co_raw WHERE okey % {B.CO_BAD_AMOUNT_MOD} = 0""",
     "source_row_audit": AUDIT,
     "sink_overwrite_roundtrip": f"{COST} SELECT {FACT_COST_COLS} FROM cost_fact",
     "normalize_date": f"{CO} SELECT change_order_id, {_clean_date('sub_true', 'okey')} AS submitted_date, "
@@ -760,6 +841,7 @@ ORACLE_SQL: dict[str, str] = {
     "variance_backfill": f"{COST} SELECT cost_key, building_id, variance FROM cost_fact",
     "vendor_rule_map": f"{COST} SELECT cost_key, vendor_name AS vendor_raw, {_rule_case('vendor_name', RULES)} AS vendor_name "
                        f"FROM cost_raw",
+    "vendor_rule_table": RULE_TABLE,
     "vendor_fuzzy_match": FUZZY,
     "null_profile": NULL_PROFILE,
     "evm_row_metrics": f"{COST} SELECT cost_key, cpi, spi, eac, vac, cost_variance_pct FROM cost_fact",
@@ -794,6 +876,12 @@ ORACLE_SQL: dict[str, str] = {
     "schedule_slippage": SLIPPAGE,
     "pay_app_current_position": CURRENT,
     "scurve_vs_baseline": SCURVE,
+    "scurve_every_month": SCURVE_MONTHS,
+    "evm_trend_every_month": TREND_MONTHS,
+    "star_publication": ETL_JOB,
+    "star_read": f"{CO} SELECT submitted_date, status, count(*) AS co_count, {_i('sum(schedule_impact_days)')} AS impact_days "
+                 f"FROM co_fact WHERE submitted_date BETWEEN DATE '{C.READ_FROM}' AND DATE '{C.READ_TO}' "
+                 f"GROUP BY submitted_date, status",
     "star_join_report": STAR_JOIN,
     "star_cost_report": STAR_COST,
     "etl_job": ETL_JOB,

@@ -257,6 +257,23 @@ def change_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Orders whose description has line breaks, and whose amount is no number.
+CO_BREAK_MOD, CO_BAD_AMOUNT_MOD = 3, 61
+
+
+def change_orders_with_breaks(spark: SparkSession, sf_dir: str, bad_amounts: bool = False) -> DataFrame:
+    """The change-order log with line breaks (both kinds) between quotes in its descriptions;
+    amounts as text, some of them junk where ``bad_amounts``."""
+    out = change_orders(spark, sf_dir)
+    key = F.substring("change_order_id", 4, 20).cast("bigint")
+    broken = F.concat(F.col("description"), F.lit(",\nrevised\r\n"), key.cast("string"), F.lit(' "times"\n\nend'))
+    out = out.withColumn("description", F.when(key % CO_BREAK_MOD == 0, broken).otherwise(F.col("description")))
+    if bad_amounts:
+        out = out.withColumn("cost_impact", F.when(key % CO_BAD_AMOUNT_MOD == 0, F.lit(JUNK_TEXT))
+                             .otherwise(F.col("cost_impact").cast("string")))
+    return out
+
+
 def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schedule export: one activity per lineitem, four dirty date columns."""
     li = read_table(spark, sf_dir, "lineitem").select(
@@ -357,6 +374,31 @@ def pay_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Orders whose account text is misspelt (only a block rule applies), or has no account at all.
+TYPO_MOD, NO_ACCOUNT_MOD = 7, 29
+
+
+def account_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule per customer (its name) and, ranked below, one per block of ten (the name without its last digit)."""
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    block = F.floor(F.col("c_custkey") / F.lit(10)).cast("string")
+    own = c.select(F.col("c_name").alias("pattern"), F.concat(F.lit("Account "), F.col("c_custkey").cast("string")).alias("canonical"),
+                   (F.col("c_custkey") + F.lit(1_000_000_000)).alias("priority"))
+    blocks = c.select(F.upper(F.expr("left(c_name, length(c_name) - 1)")).alias("pattern"),
+                      F.concat(F.lit("Block "), block).alias("canonical"), F.lit(1).cast("bigint").alias("priority"))
+    return own.unionByName(blocks.distinct())
+
+
+def account_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The account as somebody typed it on each order: case and surroundings vary."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    key, number = F.col("o_orderkey"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")
+    name = F.concat(F.lit("Customer#"), F.when(key % TYPO_MOD == 0, F.concat(F.expr("left(lpad(cast(o_custkey as string), 9, '0'), 8)"),
+                                                                             F.lit("x"))).otherwise(number))
+    text = F.when(key % 3 == 0, F.lower(name)).when(key % 3 == 1, F.concat(F.lit("c/o "), name, F.lit(" (site office)"))).otherwise(name)
+    return o.select("o_orderkey", F.when(key % NO_ACCOUNT_MOD != 0, text).alias("account_raw"))
+
+
 BINDINGS = {
     "cost_ledger": cost_ledger,
     "change_orders": change_orders,

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
+from .publication import read_published, versions
 from .schemas import STAR_TABLES
 
 
@@ -88,7 +89,10 @@ def write_star(tables: Mapping[str, DataFrame], root: str, mode: str = "overwrit
 
 
 def read_star(spark: SparkSession, root: str, names=None, register_views: bool = True) -> dict[str, DataFrame]:
-    """Read star tables back (optionally registering temp views for SQL)."""
+    """Read star tables back (optionally registering temp views for SQL): the newest version that is
+    published below ``root``, or plain folders of ``write_star`` where none is."""
+    if versions(spark, root):
+        return read_published(spark, root, names=list(names or STAR_TABLES), register_views=register_views)
     out = {}
     for name in names or STAR_TABLES:
         schema = STAR_TABLES[name]  # declared types also for directory partition columns

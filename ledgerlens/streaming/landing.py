@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..plans import etl
 from ..sources import files
-from ..sources.schemas import RAW_SOURCES, STAR_TABLES
+from ..sources.schemas import RAW_SOURCES
 
 
 def land_new_exports(spark: SparkSession, landing: Mapping[str, str], landed_root: str,
@@ -57,9 +57,6 @@ def read_landed(spark: SparkSession, landed_root: str) -> dict[str, DataFrame]:
 
 
 def refresh_star(spark: SparkSession, landed_root: str, out_root: str, cfg: etl.ProgramConfig) -> dict[str, str]:
-    """Rebuild all eight star tables from everything landed so far."""
-    raw = read_landed(spark, landed_root)
-    fact_paths = files.write_star(etl.build_facts(raw, cfg), out_root, partition_by=cfg.fact_partitions)
-    staged = {n: spark.read.schema(STAR_TABLES[n]).parquet(p).select(*STAR_TABLES[n].fieldNames())
-              for n, p in fact_paths.items()}
-    return {**fact_paths, **files.write_star(etl.build_dims(spark, staged, cfg), out_root)}
+    """Rebuild all eight star tables from everything landed so far, as one new version."""
+    done = etl.publish(spark, read_landed(spark, landed_root), out_root, cfg)
+    return done.paths()

@@ -69,8 +69,8 @@ def test_building_slice_prunes_partitions(spark):
         raw_paths[name] = os.path.join(root, "raw", name)
         files.write_csv(fn(spark, SF_SMALL), raw_paths[name])
     cfg = ProgramConfig("Campus", "Owner", 1, "2001-12-31", vendor_rules=B.BINDING_VENDOR_RULES, fuzzy_vendors=False)
-    run(spark, raw_paths, os.path.join(root, "star"), cfg)
-    assert os.path.isdir(os.path.join(root, "star", "fact_project_cost", "building_id=BLD-1"))
+    res = run(spark, raw_paths, os.path.join(root, "star"), cfg)
+    assert os.path.isdir(os.path.join(res["paths"]["fact_project_cost"], "building_id=BLD-1"))
     star = files.read_star(spark, os.path.join(root, "star"), register_views=False)
     one = evm.evm_summary_by_building(star["fact_project_cost"].where("building_id = 'BLD-1'"))
     plan = one._jdf.queryExecution().executedPlan().toString()
