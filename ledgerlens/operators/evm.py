@@ -121,12 +121,16 @@ def evm_trend_monthly(fact: DataFrame, period_col: str = "period", key: str = "b
     every running total.  The change is against the calendar month before:
     where that has no row, there is none ('n/a').
     """
-    monthly = summed_components(fact, [key, period_col])
+    return evm_trend_on(summed_components(fact, [key, period_col]), period_col, key)
+
+
+def evm_trend_on(monthly: DataFrame, period_col: str, key: str, also: Sequence[str] = ()) -> DataFrame:
+    """Running totals, ratios and changes of the summed components per (key, month); ``also`` are columns to keep."""
     known = F.col(period_col).isNotNull()
     w = Window.partitionBy(key, known).orderBy(period_col)  # the unread rows are apart
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = monthly.select(
-        key, period_col,
+        key, period_col, *also,
         F.sum("total_budget").over(run).alias("cum_budget"),
         F.sum("total_actual_cost").over(run).alias("cum_actual_cost"),
         F.sum("total_earned_value").over(run).alias("cum_earned_value"),

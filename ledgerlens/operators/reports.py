@@ -196,14 +196,23 @@ def scurve_vs_baseline(fact_pay: DataFrame, shape: str = "linear", planned_end:
     Contractor names must be clean, or a contract counts once a spelling.
     Spend whose period cannot be read is a row of its own, outside the curve.
     """
-    if shape not in SCURVE_SHAPES:
-        raise ValueError(f"shape must be one of {SCURVE_SHAPES}")
     norm = fact_pay.withColumn("period", period_label("period"))
     monthly = norm.groupBy("building_id", "period").agg(F.sum("work_completed_this_period").alias("monthly_spend"))
     contract = (
         norm.groupBy("building_id", "contractor_name", "trade").agg(F.max("scheduled_value").alias("sv"))
         .groupBy("building_id").agg(F.sum("sv").alias("budget"))
     )
+    return planned_curve(monthly, contract, shape, planned_end)
+
+
+def planned_curve(monthly: DataFrame, budgets: DataFrame, shape: str = "linear", planned_end: str | None = None,
+                  also: Sequence[str] = ()) -> DataFrame:
+    """Running spend of (building, period) rows against the planned curve; ``also`` are columns to keep.
+
+    ``budgets`` has one row per building (budget).
+    """
+    if shape not in SCURVE_SHAPES:
+        raise ValueError(f"shape must be one of {SCURVE_SHAPES}")
     known = F.col("period").isNotNull()
     building = Window.partitionBy("building_id")
     run = building.orderBy("period").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -212,15 +221,15 @@ def scurve_vs_baseline(fact_pay: DataFrame, shape: str = "linear", planned_end:
     last = F.max("period").over(building) if planned_end is None else F.lit(planned_end)
     nth = lambda c: F.round(F.months_between(month(c), month(F.col("first_period"))) + F.lit(1)).cast("bigint")
     seq = monthly.select(
-        "building_id", "period", "monthly_spend",
+        "building_id", "period", "monthly_spend", *also,
         F.when(known, F.sum(F.when(known, F.col("monthly_spend"))).over(run)).alias("actual_cumulative"),
         first.alias("first_period"), last.alias("last_period"),
-    ).join(contract, "building_id")
+    ).join(budgets.withColumnRenamed("building_id", "__building"), F.col("building_id").eqNullSafe(F.col("__building")))
     # planned to be done at the end, and from then on
     t = F.least(F.lit(1.0), nth(F.col("period")).cast("double") / F.greatest(nth(F.col("last_period")), F.lit(1)).cast("double"))
     frac = t if shape == "linear" else (F.lit(1.0) - F.cos(F.lit(3.141592653589793) * t)) / F.lit(2.0)
     baseline = F.when(known, F.round(F.col("budget") * frac, 0))
-    out = seq.select("building_id", "period", "monthly_spend", "actual_cumulative",
+    out = seq.select("building_id", "period", "monthly_spend", *also, "actual_cumulative",
                      baseline.alias("baseline_cumulative"))
     diff = F.col("actual_cumulative") - F.col("baseline_cumulative")
     return out.withColumns({
