@@ -1,8 +1,11 @@
 """Date and period cleaning as native Column expressions.
 
-Each function builds one codegen'd expression: a ``coalesce`` over
-``try_to_date`` attempts, so an unparseable value yields null instead of
-failing the job under ANSI mode, and the first layout that parses wins.
+Each function builds one codegen'd expression: a ``coalesce`` over the
+attempts, so an unparseable value yields null instead of failing the job under
+ANSI mode, and the first layout that parses wins.  A layout of fixed width is
+recognised by length and separators and read by rearranging it into ISO text
+for ``try_cast``: no regular expression and no formatter per row.  Others are
+guarded by a regular expression and read by ``try_to_date``.
 """
 
 from __future__ import annotations
@@ -57,23 +60,83 @@ def layout_guard(layout: str) -> str:
     return "^" + "".join(parts) + "$"
 
 
-def normalize_date(col: Column | str, layouts: Sequence[str] = DATE_LAYOUTS) -> Column:
-    """Text in any of ``layouts`` -> DATE; blanks and junk -> null.
+_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+
+
+def _runs(layout: str) -> list[tuple[str, int, int]]:
+    """(letters, 0-based place, length) of the layout's parts."""
+    out, at = [], 0
+    for _, run in itertools.groupby(layout):
+        run = "".join(run)
+        out.append((run, at, len(run)))
+        at += len(run)
+    return out
+
+
+def _fixed_width(c: Column, layout: str) -> tuple[Column, Column] | None:
+    """(whether a text has the shape, its ISO text) for a layout of four-digit years, two-digit months
+    and days, short month names and separators; None for other layouts."""
+    fields, shape = {}, F.length(c) == len(layout)
+    for run, at, n in _runs(layout):
+        if run in ("yyyy", "MM", "dd", "MMM") and run[0] not in fields:
+            fields[run[0]] = (run, F.substring(c, at + 1, n))
+        elif any(ch.isalnum() or ch == "'" for ch in run):
+            return None
+        else:
+            shape = shape & (F.substring(c, at + 1, n) == run)
+    if not {"y", "M"} <= set(fields):
+        return None
+    kind, month = fields["M"]
+    if kind == "MMM":
+        place = F.instr(F.lit(_MONTHS), F.lower(month))
+        month = F.when(place % 3 == 1, F.lpad(F.floor((place + 2) / 3).cast("string"), 2, "0"))
+    day = fields["d"][1] if "d" in fields else F.lit("01")
+    return shape, F.concat(fields["y"][1], F.lit("-"), month, F.lit("-"), day)
+
 
-    Each attempt is guarded by the layout's shape (``layout_guard``), so a
-    value is handed to the parser only for layouts it could match.
+def _signature(layout: str) -> tuple:
+    return len(layout), tuple((run, at) for run, at, _ in _runs(layout) if not run[0].isalpha())
+
+
+def _attempts(c: Column, layouts: Sequence[str]) -> list[tuple[Column, Column]]:
+    """(date, 0-based index of the layout) in turn.
+
+    Layouts of fixed width that follow each other share one cast: their
+    separators lie at different places, so a text is valid in one at most.
+    Those with the separators of an earlier one begin another attempt.
     """
-    c = F.trim(as_col(col))
-    return F.coalesce(*[F.when(c.rlike(layout_guard(fmt)), F.try_to_date(c, fmt)) for fmt in layouts])
+    out, run, seen = [], [], set()
+
+    def close() -> None:
+        if run:
+            iso, index = F.when(run[0][0], run[0][1]), F.when(run[0][0], F.lit(run[0][2]))
+            for shape, text, i in run[1:]:
+                iso, index = iso.when(shape, text), index.when(shape, F.lit(i))
+            out.append((iso.try_cast("date"), index))
+            run.clear()
+            seen.clear()
+
+    for i, layout in enumerate(layouts):
+        fixed = _fixed_width(c, layout)
+        if fixed is None or _signature(layout) in seen:
+            close()
+        if fixed is None:
+            out.append((F.when(c.rlike(layout_guard(layout)), F.try_to_date(c, layout)), F.lit(i)))
+        else:
+            run.append((*fixed, i))
+            seen.add(_signature(layout))
+    close()
+    return out
+
+
+def normalize_date(col: Column | str, layouts: Sequence[str] = DATE_LAYOUTS) -> Column:
+    """Text in any of ``layouts`` -> DATE; blanks and junk -> null."""
+    return F.coalesce(*[date for date, _ in _attempts(F.trim(as_col(col)), layouts)])
 
 
 def layout_index(col: Column | str, layouts: Sequence[str] = DATE_LAYOUTS) -> Column:
     """0-based index of the first layout that parses the text (null if none)."""
-    c = F.trim(as_col(col))
-    return F.coalesce(*[
-        F.when(c.rlike(layout_guard(fmt)) & F.try_to_date(c, fmt).isNotNull(), F.lit(i))
-        for i, fmt in enumerate(layouts)
-    ])
+    return F.coalesce(*[F.when(date.isNotNull(), i) for date, i in _attempts(F.trim(as_col(col)), layouts)])
 
 
 def normalize_period(col: Column | str, layouts: Sequence[str] = PERIOD_LAYOUTS) -> Column:

@@ -71,17 +71,18 @@ def null_profile(df: DataFrame, source: str, date_columns: Sequence[str] = (),
     cleaned_cols = set((vendor_columns or {}).values())
     for c in [c for c in df.columns if c not in cleaned_cols]:
         aggs.append(F.count_if(F.col(c).isNull()).alias(f"{c}|nulls"))
+    # each text is read once, in a projection below the aggregate
+    read = {f"__layout_{c}": D.layout_index(c, layouts) for c in date_columns}
+    read |= {f"__period_{c}": D.normalize_period(c) for c in period_columns}
+    df = df.withColumns(read) if read else df
+    written = lambda c: F.coalesce(F.trim(F.col(c)) != "", F.lit(False))
     for c in date_columns:
-        text = F.trim(F.col(c))
-        aggs.append(
-            F.count_if(text.isNotNull() & (text != "") & D.normalize_date(c, layouts).isNull()).alias(f"{c}|unparseable")
-        )
-        first = D.layout_index(c, layouts)  # which layout the value was read with
+        first = F.col(f"__layout_{c}")
+        aggs.append(F.count_if(written(c) & first.isNull()).alias(f"{c}|unparseable"))
         for i, fmt in enumerate(layouts):
             aggs.append(F.count_if(first == i).alias(f"{c}|layout {fmt}"))
     for c in period_columns:
-        text = F.trim(F.col(c))
-        aggs.append(F.count_if(text.isNotNull() & (text != "") & D.normalize_period(c).isNull()).alias(f"{c}|unparseable"))
+        aggs.append(F.count_if(written(c) & F.col(f"__period_{c}").isNull()).alias(f"{c}|unparseable"))
     for raw, clean in (vendor_columns or {}).items():
         known = F.col(clean).isin(*canonical) if canonical else F.lit(False)
         aggs.append(F.count_if(F.col(raw).isNotNull() & ~known).alias(f"{raw}|unmatched"))

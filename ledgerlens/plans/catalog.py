@@ -50,8 +50,10 @@ def sched_fact(spark, sf_dir) -> DataFrame:
 
 
 def pay_fact(spark, sf_dir) -> DataFrame:
-    """Contractors unified: rules, then the fuzzy match."""
-    return star.fact_pay_applications(B.pay_applications(spark, sf_dir), rules=RULES, fuzzy=True, canonical=CANONICAL)
+    """Contractors unified: rules, then the fuzzy match.  The bound register is staged, as the job stages its export:
+    names and rows both read it."""
+    raw = staged(B.pay_applications(spark, sf_dir), "pay-register")
+    return star.fact_pay_applications(raw, rules=RULES, fuzzy=True, canonical=CANONICAL)
 
 
 def pay_fact_as_written(spark, sf_dir) -> DataFrame:
@@ -157,7 +159,7 @@ def q_null_profile(spark, sf_dir):
     p2 = clean.null_profile(B.change_orders(spark, sf_dir), "change_orders",
                             date_columns=["submitted_date", "approved_date"])
     p3 = clean.null_profile(B.schedule(spark, sf_dir), "schedule", date_columns=star.SCHEDULE_DATES)
-    pay = vendor_fuzzy_match(B.pay_applications(spark, sf_dir), "contractor_name", "contractor_clean",
+    pay = vendor_fuzzy_match(staged(B.pay_applications(spark, sf_dir), "pay-register"), "contractor_name", "contractor_clean",
                              canonical=CANONICAL, rules=RULES)
     p4 = clean.null_profile(pay, "pay_applications", vendor_columns={"contractor_name": "contractor_clean"},
                             canonical=CANONICAL, period_columns=["period"])

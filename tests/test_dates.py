@@ -73,3 +73,26 @@ def test_every_layout_round_trips(spark, days):
     df = spark.createDataFrame(rows, "i int, s string")
     got = {r.i: r.d for r in df.select("i", D.normalize_date("s").alias("d")).collect()}
     assert got == dict(enumerate(days))
+
+
+def test_fixed_width_reading_equals_the_formatter(spark):
+    """Texts of every shape, valid and not: rearranged ISO text against guarded ``try_to_date``."""
+    import random
+
+    rng, texts = random.Random(3), []
+    for _ in range(8000):
+        y = rng.choice(["0000", "0001", "99", "12345", "-200", "+202", "202a"]) if rng.random() < .3 else str(rng.randint(1900, 2100))
+        m = rng.choice(["00", "13", "1", "ab", "+1", " 1"]) if rng.random() < .2 else f"{rng.randint(1, 12):02d}"
+        d = rng.choice(["00", "31", "30", "29", "32", "5", "1e"]) if rng.random() < .4 else f"{rng.randint(1, 28):02d}"
+        n = rng.choice(["Jan", "FEB", "mar", "April", "May", "june", "Sep", "Sept", "anF", "xyz", "Dec", "August"])
+        shape = rng.choice(["{y}-{m}-{d}", "{m}/{d}/{y}", "{d}-{n}-{y}", "{m}-{d}-{y}", "{n}-{y}", "{y}-{m}", "{n} {y}",
+                            " {y}-{m}-{d} ", "{y}/{m}/{d}", "{y}-{m}-{d}T00"])
+        texts.append((shape.format(y=y, m=m, d=d, n=n),))
+    df = spark.createDataFrame(texts, "t string")
+    t = F.trim("t")
+    for layouts in (D.DATE_LAYOUTS, D.PERIOD_LAYOUTS):
+        plain = [F.when(t.rlike(D.layout_guard(f)), F.try_to_date(t, f)) for f in layouts]
+        index = F.coalesce(*[F.when(p.isNotNull(), F.lit(i)) for i, p in enumerate(plain)])
+        both = df.select("t", F.coalesce(*plain).alias("a"), D.normalize_date("t", layouts).alias("b"), index.alias("i"),
+                         D.layout_index("t", layouts).alias("j"))
+        assert both.where("not (a <=> b and i <=> j)").count() == 0 and both.where("a is not null").count() > 500
