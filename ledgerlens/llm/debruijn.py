@@ -14,7 +14,8 @@
 
 Removed is every word of a window whose word sequence starts anywhere else.
 Nulls and texts without words have no window; short texts lose nothing.
-Repeated rows repeat each other's windows, so all of their long texts go.
+Repeated rows repeat each other's windows, so all of their long texts go.  Rows
+of different texts that share a doc_id are separate documents.
 Rows with a null doc_id take part like others.  Empty tables give empty
 results; other columns are ignored.
 """
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import chunked, groups_for, runs_of, stage, text_bytes, words_of
-from ledgerlens.llm.repeats import ENTRIES, GROUP_BYTES, anchors, deal_all, repeated, rows_of
+from ledgerlens.llm.repeats import ENTRIES, GROUP_BYTES, anchors, deal_all, repeated, rows_of, tagged
 
 
 def _node_entries(k: int, length: int, n_groups: int):
@@ -154,7 +155,10 @@ def _removed(length: int, with_text: bool):
 
 def repeated_windows(docs: DataFrame, length: int = 50, k: int = 16) -> tuple[DataFrame, DataFrame]:
     """(rows, (id, starts) of the windows that repeat)."""
-    rows = rows_of(docs)
+    rows = tagged(rows_of(docs))
+    # the order of the ids does not matter here: a text that shares its doc_id with another gets a number of its own
+    own = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("id", "text"), 3)
+    rows = rows.select(F.when(F.col("tag") == 0, F.col("id")).otherwise(own).alias("id"), "text", "doc_id")
     n_groups = groups_for(text_bytes(docs), GROUP_BYTES)
     nodes = stage(repeated(rows.select("id", "text").mapInArrow(
         _node_entries(k, length, n_groups), ENTRIES), False), "nodes")

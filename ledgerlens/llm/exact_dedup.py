@@ -160,10 +160,13 @@ def keep_documents(docs: DataFrame, history_share: float = 0.5) -> DataFrame:
     """
     verdict = stage(dedup_documents(docs, history_share).groupBy("doc_id", "digest").agg(
         F.max("kept").alias("kept"), F.count("*").alias("rows")), "verdict")
-    keyed = docs.withColumn("__digest", F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
-    keys = lambda d: keyed["doc_id"].cast("long").eqNullSafe(d["doc_id"]) & (keyed["__digest"] == d["digest"])
+    own = "__digest"
+    while own in map(str.lower, docs.columns):
+        own += "_"
+    keyed = docs.withColumn(own, F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
+    keys = lambda d: keyed["doc_id"].cast("long").eqNullSafe(d["doc_id"]) & (keyed[own] == d["digest"])
     gone, again = stage(verdict.where("not kept or rows > 1"), "gone"), verdict.where("kept and rows > 1")
     once = keyed.join(gone, keys(gone), "left_anti")
     again = stage(again, "again")
-    more = keyed.join(again, keys(again), "left_semi").dropDuplicates(["doc_id", "__digest"])
-    return once.unionByName(more).select(*docs.columns)
+    more = keyed.join(again, keys(again), "left_semi").dropDuplicates(["doc_id", own])
+    return once.unionByName(more).select(*[F.col(f"`{c}`") for c in docs.columns])

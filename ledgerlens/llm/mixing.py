@@ -184,11 +184,10 @@ def dealt(rows: DataFrame, drawn: DataFrame, shards: int) -> DataFrame:
     turns = drawn.where(drawn_n > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), drawn_n)))
     turns = turns.withColumn("turn", F.row_number().over(
         Window.partitionBy("source_key").orderBy("copy", F.xxhash64(F.lit(SEED + 2), "block"))) - 1)
-    owner = split_tree(drawn, shards).where("quota > 0").withColumnRenamed("source_key", "o_key")
-    owned = stage(turns.join(owner, (F.col("source_key") == F.col("o_key"))
-                             & (F.col("turn") >= F.col("first"))
-                             & (F.col("turn") < F.col("first") + F.col("quota")))
-                  .select("source_key", "block", "copy", F.col("shard").alias("mix_shard")), "mix-owned")
+    owner = split_tree(drawn, shards).where("quota > 0").select(  # a shard's interval, turn by turn
+        "source_key", F.col("shard").alias("mix_shard"), F.explode(F.sequence("first", F.expr("first + quota - 1"))).alias("turn"))
+    owned = stage(turns.withColumn("turn", F.col("turn").cast("long")).join(owner, ["source_key", "turn"])
+                  .select("source_key", "block", "copy", "mix_shard"), "mix-owned")
     copies = rows.where("times > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
     out = copies.join(owned.withColumnRenamed("copy", "mix_copy"), ["source_key", "block", "mix_copy"])
     return out.withColumn("mix_place", F.xxhash64(F.lit(SEED + 3), "doc_id", "mix_copy"))
@@ -199,22 +198,33 @@ def shuffled(copies: DataFrame, shards: int) -> DataFrame:
     return copies.repartition(shards, "mix_shard").sortWithinPartitions("mix_shard", "mix_place", "mix_copy", "doc_id")
 
 
+OWN = ("mix_shard", "mix_copy", "mix_place")
+
+
+def _mixed(docs: DataFrame, weights: DataFrame | None, shards: int) -> DataFrame:
+    """Every copy with its whole row as ``mix_row``: no column of ``docs`` meets one of the operator's."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("mix_row")
+    rows = docs.select("doc_id", "source", word_count("text").alias("size"), whole)
+    rows, drawn = _taken(placed(rows, blocks_for(shards)), weights)
+    return dealt(rows, drawn, shards).select("doc_id", "mix_row", *OWN)
+
+
 def mix(docs: DataFrame, weights: DataFrame | None = None, shards: int | None = None) -> DataFrame:
     """The mix: ``docs`` with every copy a row, plus mix_shard, mix_copy and mix_place.
 
     A copy's shard is that of its drawn block: the draws of a source are its
     blocks pass after pass in permuted order, and every shard owns an
-    interval of them.  Rows are ordered inside a shard by a keyed hash.
+    interval of them.  Rows are ordered inside a shard by a keyed hash.  A
+    column of ``docs`` that is named like one of the three gives way to it.
     """
-    shards = shards or shards_for(docs)
-    rows, drawn = taken(docs, weights, blocks_for(shards))
-    return dealt(rows, drawn, shards).select(*docs.columns, "mix_shard", "mix_copy", "mix_place")
+    kept = [F.col("mix_row")[c].alias(c) for c in docs.columns if c.lower() not in OWN]
+    return _mixed(docs, weights, shards or shards_for(docs)).select(*kept, *OWN)
 
 
 def mixed_documents(docs: DataFrame, shards: int | None = None) -> DataFrame:
-    """The mix as rows of ``docs``, shard by shard, shuffled inside each shard."""
+    """The mix as rows of ``docs``, all their columns untouched, shard by shard, shuffled inside each shard."""
     shards = shards or shards_for(docs)
-    return shuffled(mix(docs, shards=shards), shards).select(*docs.columns)
+    return shuffled(_mixed(docs, None, shards), shards).select(*[F.col("mix_row")[c].alias(c) for c in docs.columns])
 
 
 def mix_digest(docs: DataFrame) -> DataFrame:

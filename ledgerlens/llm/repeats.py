@@ -7,8 +7,9 @@ entries of that key are answered on the spot and travel in groups by id.  So a
 key that is everywhere sends one entry per task flush, never its rows, and a
 group's size is bounded by the keys that are dealt to it.
 
-Ids order the documents: ``row_ids`` gives a null doc_id a number above all
-others, the same for equal texts.
+Ids order the documents: ``row_id`` gives a null doc_id a number above all
+others, the same for equal texts.  A doc_id that rows of different texts share
+does not say whose places are meant: ``tag`` does.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.common import stage
+
 FLUSH = 1_000_000  # entries that a task gathers
 GROUP_BYTES = 24 << 20  # text whose keys make up a group, about
 ENTRIES = ("bucket int, key binary, more binary, id binary, pos binary, proven binary, "
@@ -40,6 +43,20 @@ def rows_of(docs: DataFrame) -> DataFrame:
                        F.col("doc_id").cast("long").alias("doc_id"))
 
 
+def tagged(rows: DataFrame) -> DataFrame:
+    """``rows_of`` and tag: 0, or a hash of the text where rows of different texts share the id.
+
+    Equal texts of an id share the tag: what goes in one goes in the other.
+    """
+    text = F.coalesce(F.col("text"), F.lit(b""))
+    shared = rows.groupBy("id").agg(F.min(F.xxhash64(text)).alias("lo"), F.max(F.xxhash64(text)).alias("hi"))
+    shared = stage(shared.where("lo <> hi").select(F.col("id").alias("of_id")), "shared-ids")
+    if shared.isEmpty():
+        return rows.withColumn("tag", F.lit(0))
+    tag = F.when(F.col("of_id").isNotNull(), F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).otherwise(F.lit(0))
+    return rows.join(shared, F.col("id") == F.col("of_id"), "left").withColumn("tag", tag).drop("of_id")
+
+
 def planes(values: np.ndarray) -> bytes:
     """Bytes of equal significance together: zero planes then cost nothing once compressed."""
     values = np.ascontiguousarray(values)

@@ -21,7 +21,8 @@ the order inside the groups; no symbol is ever renamed recursively.
 Judged is the input: byte ranges are gathered per document and cut in the end.
 
 A null text has no bytes.  A null doc_id counts as larger than all others.
-Rows that repeat doc_id and text are one document: neither removes the other.
+Rows that share a doc_id never remove each other's bytes; each keeps its own
+ranges, whether their texts are equal or not.
 Empty tables give empty results; other columns are ignored.
 """
 
@@ -38,12 +39,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import chunked, groups_for, mix64, text_bytes
-from ledgerlens.llm.repeats import (ENTRIES, GROUP_BYTES, deal_all, planes, repeated, rows_of, sliding_argmin,
-                                    unplanes)
+from ledgerlens.llm.repeats import ENTRIES, deal_all, planes, repeated, rows_of, sliding_argmin, tagged, unplanes
 
 GRAM = 16
 BLOCK = 17  # bytes of a symbol
 FLUSH = 200_000  # surroundings that a task gathers
+ANCHORS = 400_000  # anchors that a task gathers
+GROUP_BYTES = 12 << 20  # text whose anchors make up a group, about
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -207,12 +209,13 @@ def _anchor_entries(length: int, n_groups: int):
                     key = np.concatenate([p[1] for p in pieces])[first]
                     yield key, np.zeros(len(key), np.uint32), np.full(len(key), ident), where.astype(np.int32)
 
-        yield from deal_all(entries(), True, n_groups)
+        yield from deal_all(entries(), True, n_groups, ANCHORS)
 
     return run
 
 
-_AROUND = "bucket int, around binary, n_left binary, n_right binary, id binary, pos binary, t_id binary, t_from binary, t_to binary"
+_AROUND = ("bucket int, around binary, n_left binary, n_right binary, id binary, pos binary, t_id binary, t_from binary, "
+           "t_to binary, tag binary, t_tag binary")
 
 
 def _around(length: int, n_groups: int):
@@ -220,12 +223,13 @@ def _around(length: int, n_groups: int):
     reach, width = length - GRAM, 2 * length - GRAM
 
     def flush(held: list) -> pa.RecordBatch:
-        around, n_left, n_right, ids, pos = (np.concatenate([h[i] for h in held]) for i in range(5))
+        around, n_left, n_right, ids, pos, tags = (np.concatenate([h[i] for h in held]) for i in range(6))
         gram = np.ascontiguousarray(around[:, reach:length])
         whole = np.ascontiguousarray(np.column_stack([gram, around, n_left, n_right])).view(f"V{GRAM + width + 2}").ravel()
         _, same = np.unique(whole, return_inverse=True)
         order = np.lexsort((pos, ids, same))
-        around, n_left, n_right, ids, pos, same = (x[order] for x in (around, n_left, n_right, ids, pos, same))
+        around, n_left, n_right, ids, pos, tags, same = (
+            x[order] for x in (around, n_left, n_right, ids, pos, tags, same))
         first = np.flatnonzero(np.concatenate(([True], np.diff(same) != 0)))
         least = np.repeat(ids[first], np.diff(np.append(first, len(ids))))
         told = ids > least  # a smaller document of this task has the same bytes here
@@ -236,22 +240,23 @@ def _around(length: int, n_groups: int):
         t_from = pos - np.minimum(n_left, reach)
         t_to = pos + np.minimum(n_right, length)
         t_real = told & (t_to - t_from >= length)
-        columns: list[list] = [[] for _ in range(9)]
+        columns: list[list] = [[] for _ in range(11)]
         pack = zstandard.ZstdCompressor(level=3).compress  # neighbours are alike: they are in order
         for g in np.union1d(bucket[sent], t_bucket[t_real]).tolist():
             a, b = np.flatnonzero(sent & (bucket == g)), np.flatnonzero(t_real & (t_bucket == g))
             values = [g, pack(around[a].tobytes()), planes(n_left[a]), planes(n_right[a]), planes(ids[a]), planes(pos[a]),
-                      planes(ids[b]), planes(t_from[b].astype(np.int32)), planes(t_to[b].astype(np.int32))]
+                      planes(ids[b]), planes(t_from[b].astype(np.int32)), planes(t_to[b].astype(np.int32)),
+                      planes(tags[a]), planes(tags[b])]
             for column, value in zip(columns, values):
                 column.append(value)
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, [pa.int32()] + [pa.binary()] * 8)],
+            [pa.array(c, t) for c, t in zip(columns, [pa.int32()] + [pa.binary()] * 10)],
             names=[f.split()[0] for f in _AROUND.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for b in batches:
-            for ident, text, places in zip(b.column(0), b.column(1), b.column(2)):
+            for ident, text, places, tag in zip(*(b.column(i) for i in range(4))):
                 text, pos = text.as_py() or b"", np.unique(places.values.to_numpy())
                 pos = pos[pos + GRAM <= len(text)]
                 for some in np.array_split(pos, -(-len(pos) // FLUSH) or 1):
@@ -262,7 +267,8 @@ def _around(length: int, n_groups: int):
                     view = np.lib.stride_tricks.sliding_window_view(data, width)[some]
                     held.append((view, np.minimum(some, reach).astype(np.uint8),
                                  np.minimum(len(text) - some, length).astype(np.uint8),
-                                 np.full(len(some), ident.as_py()), some.astype(np.int32)))
+                                 np.full(len(some), ident.as_py()), some.astype(np.int32),
+                                 np.full(len(some), tag.as_py(), dtype=np.int32)))
                     n += len(some)
                     if n >= FLUSH:
                         yield flush(held)
@@ -283,7 +289,8 @@ def _ranges(length: int):
         around = np.concatenate([np.frombuffer(unpack(b), np.uint8).reshape(-1, width) for b in rows["around"]])
         n_left, n_right = get("n_left", "u1").astype(np.int64), get("n_right", "u1").astype(np.int64)
         ids, pos = get("id", "i8"), get("pos", "i4")
-        told = (get("t_id", "i8"), get("t_from", "i4"), get("t_to", "i4"))
+        tags = get("tag", "i4")
+        told = (get("t_id", "i8"), get("t_from", "i4"), get("t_to", "i4"), get("t_tag", "i4"))
         if len(ids):
             gram = np.ascontiguousarray(around[:, reach:length]).view(f"V{GRAM}").ravel()
             _, class_of = np.unique(gram, return_inverse=True)
@@ -306,8 +313,9 @@ def _ranges(length: int):
             # all of an anchor's windows hold the anchor, so those that go cover one range
             start = pos[hit] - (reach - gone[hit][:, ::-1].argmax(axis=1))
             stop = pos[hit] - gone[hit].argmax(axis=1) + length
-            told = tuple(np.concatenate((x, y)) for x, y in zip((ids[hit], start, stop), told))
-        return pd.DataFrame({"id": told[0], "first": told[1].astype(np.int32), "past": told[2].astype(np.int32)})
+            told = tuple(np.concatenate((x, y)) for x, y in zip((ids[hit], start, stop, tags[hit]), told))
+        return pd.DataFrame({"id": told[0], "first": told[1].astype(np.int32), "past": told[2].astype(np.int32),
+                             "tag": told[3].astype(np.int32)})
 
     return run
 
@@ -348,15 +356,15 @@ def remove_repeats(docs: DataFrame, length: int = 50, with_bytes: bool = False)
     Removed is every byte covered by ``length`` bytes that also start in a
     document with a smaller doc_id.  ``length`` is 17 to 255.
     """
-    rows = rows_of(docs)
+    rows = tagged(rows_of(docs))
     n_groups = groups_for(text_bytes(docs), GROUP_BYTES)
     shared = repeated(rows.select("id", "text").mapInArrow(_anchor_entries(length, n_groups), ENTRIES), True)
     places = shared.groupBy("id").agg(F.collect_list("pos").alias("places"))
     # ordered inside a partition, so that a task that runs again flushes the same entries
     # doc_id goes along unread: the texts' exchange is then the same as at the end, and Spark uses it twice
-    met = rows.join(places, "id").select("id", "text", "places", "doc_id").sortWithinPartitions("id", F.length("text"))
+    met = rows.join(places, "id").select("id", "text", "places", "tag", "doc_id").sortWithinPartitions("id", F.length("text"))
     ranges = met.mapInArrow(_around(length, n_groups), _AROUND).groupBy("bucket").applyInPandas(
-        _ranges(length), "id long, first int, past int")
-    ranges = ranges.groupBy("id").agg(F.collect_list("first").alias("firsts"), F.collect_list("past").alias("pasts"))
+        _ranges(length), "id long, first int, past int, tag int")
+    ranges = ranges.groupBy("id", "tag").agg(F.collect_list("first").alias("firsts"), F.collect_list("past").alias("pasts"))
     kind = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_bytes binary" * with_bytes
-    return rows.join(ranges, "id", "left").select("doc_id", "text", "firsts", "pasts").mapInArrow(_cut(with_bytes), kind)
+    return rows.join(ranges, ["id", "tag"], "left").select("doc_id", "text", "firsts", "pasts").mapInArrow(_cut(with_bytes), kind)

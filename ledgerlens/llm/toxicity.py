@@ -1,8 +1,10 @@
 """Toxicity by multiple-instance learning with a noisy-or over sentences.
 
 A document is a bag of sentences; a sentence has a probability from a
-logistic model over its words, and the document is toxic when any sentence is:
-score = 1 - prod(1 - p).  Only document labels are needed to train, by the
+logistic model over its words, as far as it is above that of a sentence without
+any telling word, and the document is toxic when any sentence is:
+score = 1 - (1 - calm) * prod(1 - p).  What calm text there is beside adds
+nothing, however long it is.  Only document labels are needed to train, by the
 gradient of the bag's log-likelihood through the noisy-or; afterwards the
 sentence probabilities say where the offence is.
 
@@ -10,9 +12,9 @@ Training uses at most ``SAMPLE`` labelled rows of each class (chosen by a hash
 of the id; none that is held out) and runs in one task, whose input that
 bounds.  Scoring covers every sentence of every text.
 
-A null or empty text has no sentence and scores 0.  Rows with a null doc_id are
+A null or empty text has no sentence and scores what calm text scores.  Rows with a null doc_id are
 scored, never learnt from.  Repeated rows score alike.  With no labelled rows
-of either class the score is the smoothed share of toxic labels per sentence.
+of either class every score is the smoothed share of toxic labels.
 Extra columns are ignored.
 """
 
@@ -108,28 +110,30 @@ def fit(texts: list[str], labels: list[int]) -> tuple[float, dict[str, float]]:
     for d, text in enumerate(texts):
         for _, _, words in sentences(text):
             at = [index[f] for w in words for f in features(w) if f in index]
-            cells += at
-            rows += [len(doc_of)] * len(at)
-            doc_of.append(d)
+            if at:  # others add nothing
+                cells += at
+                rows += [len(doc_of)] * len(at)
+                doc_of.append(d)
     y = np.array(labels, dtype=float)
     doc, cell, row = np.array(doc_of, int), np.array(cells, int), np.array(rows, int)
     if not len(doc) or y.min() == y.max():
-        mean = len(doc) / max(1, n_docs)
         share = (y.sum() + 0.5) / (len(y) + 1)
-        return float(np.log(np.expm1(-np.log1p(-share) / max(1.0, mean)))), {}
+        return float(np.log(share / (1 - share))), {}
     w = np.zeros(n + 1)
-    # words explain the labels: a document of average length without any scores CALM at most
-    w[n] = most = np.log(CALM / max(1.0, len(doc) / n_docs))
+    w[n] = most = np.log(CALM)  # words explain the labels: a document without any scores CALM at most
     first, second = np.zeros(n + 1), np.zeros(n + 1)
     pull = np.full(n + 1, RIDGE)
     pull[n] = 0
     for t in range(1, EPOCHS + 1):
         z = np.bincount(row, w[cell], len(doc)) + w[n]
-        mass = np.bincount(doc, np.logaddexp(0, z), n_docs)  # -log P(no sentence offends)
+        calm = np.logaddexp(0, w[n])
+        mass = np.bincount(doc, np.maximum(np.logaddexp(0, z) - calm, 0), n_docs) + calm  # -log P(nothing offends)
         quiet = np.exp(-mass)
         per_doc = np.where(y > 0, -quiet / np.maximum(1 - quiet, 1e-9), 1.0)
-        dz = per_doc[doc] / (1 + np.exp(-z))
-        grad = np.append(np.bincount(cell, dz[row], n), dz.sum()) / n_docs + pull * w
+        level = 1 / (1 + np.exp(-w[n]))
+        up = np.where(z > w[n], per_doc[doc], 0.0)
+        dz = up / (1 + np.exp(-z))
+        grad = np.append(np.bincount(cell, dz[row], n), (dz - up * level).sum() + per_doc.sum() * level) / n_docs + pull * w
         first += 0.1 * (grad - first)
         second += 0.01 * (grad * grad - second)
         w -= 0.15 * (first / (1 - 0.9 ** t)) / (np.sqrt(second / (1 - 0.99 ** t)) + 1e-8)
@@ -138,7 +142,7 @@ def fit(texts: list[str], labels: list[int]) -> tuple[float, dict[str, float]]:
 
 
 class Scorer:
-    """-log of the chance that no sentence offends, by the words' summed weights."""
+    """-log of the chance that nothing offends: ``calm`` for a document, and what each sentence adds to it."""
 
     def __init__(self, model: tuple[float, dict[str, float]]):
         self.bias, self.weights = model
@@ -155,7 +159,10 @@ class Scorer:
 
     def sentence(self, words: set[str]) -> float:
         parts = [v for v in map(self.word, words) if v]
-        return float(np.logaddexp(0, self.bias + sum(sorted(parts)))) if parts else self.calm
+        return max(0.0, float(np.logaddexp(0, self.bias + sum(sorted(parts)))) - self.calm) if parts else 0.0
+
+    def document(self, text: str) -> float:
+        return float(-np.expm1(-self.calm - sum(self.sentence(words) for _, _, words in sentences(text))))
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[float, dict[str, float]]:
@@ -197,7 +204,7 @@ def score(docs: DataFrame, model: tuple[float, dict[str, float]], locate: bool =
         for b in batches:
             scores, found = [], []
             for x in b.column(1):
-                mass, here = 0.0, []
+                mass, here = scorer.calm, []
                 for start, end, words in sentences(x.as_py() or ""):
                     z = scorer.sentence(words)
                     mass += z
@@ -233,7 +240,6 @@ def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def rate(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(model)
         for some in texts:
-            yield pd.Series([float(-np.expm1(-sum(scorer.sentence(w) for _, _, w in sentences(x or ""))))
-                             for x in some], dtype="float64")
+            yield pd.Series([scorer.document(x or "") for x in some], dtype="float64")
 
     return docs.where(rate(F.col("text").cast("string")) < THRESHOLD)
