@@ -12,7 +12,7 @@ Training uses at most ``SAMPLE`` labelled rows of each class (chosen by a hash
 of the id; none that is held out) and runs in one task, whose input that
 bounds.  Scoring covers every sentence of every text.
 
-A null or empty text has no sentence and scores what calm text scores.  Rows with a null doc_id are
+A null or empty text has no sentence and scores 0.  Rows with a null doc_id are
 scored, never learnt from.  Repeated rows score alike.  With no labelled rows
 of either class every score is the smoothed share of toxic labels.
 Extra columns are ignored.
@@ -131,7 +131,7 @@ def fit(texts: list[str], labels: list[int]) -> tuple[float, dict[str, float]]:
         quiet = np.exp(-mass)
         per_doc = np.where(y > 0, -quiet / np.maximum(1 - quiet, 1e-9), 1.0)
         level = 1 / (1 + np.exp(-w[n]))
-        up = np.where(z > w[n], per_doc[doc], 0.0)
+        up = np.where(z >= w[n], per_doc[doc], 0.0)  # the weights start at 0: there too
         dz = up / (1 + np.exp(-z))
         grad = np.append(np.bincount(cell, dz[row], n), (dz - up * level).sum() + per_doc.sum() * level) / n_docs + pull * w
         first += 0.1 * (grad - first)
@@ -162,7 +162,8 @@ class Scorer:
         return max(0.0, float(np.logaddexp(0, self.bias + sum(sorted(parts)))) - self.calm) if parts else 0.0
 
     def document(self, text: str) -> float:
-        return float(-np.expm1(-self.calm - sum(self.sentence(words) for _, _, words in sentences(text))))
+        found = [self.sentence(words) for _, _, words in sentences(text)]
+        return float(-np.expm1(-self.calm - sum(found))) if found else 0.0
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[float, dict[str, float]]:
@@ -204,10 +205,12 @@ def score(docs: DataFrame, model: tuple[float, dict[str, float]], locate: bool =
         for b in batches:
             scores, found = [], []
             for x in b.column(1):
-                mass, here = scorer.calm, []
+                mass, here = 0.0, []
+                some = False
                 for start, end, words in sentences(x.as_py() or ""):
                     z = scorer.sentence(words)
-                    mass += z
+                    mass += z if some else z + scorer.calm
+                    some = True
                     if locate and -np.expm1(-z) >= THRESHOLD:
                         here.append({"start": start, "end": end, "probability": float(-np.expm1(-z))})
                 scores.append(float(-np.expm1(-mass)))

@@ -68,6 +68,8 @@ def test_word_dedup_of_texts_that_share_a_doc_id(spark):
 def plain_score(text, bias, weights):
     """The noisy-or written out: 1 - (1 - calm) * prod(1 - what each sentence has above calm)."""
     sigmoid = lambda z: 1 / (1 + math.exp(-z))
+    if not re.search(r"[^\W\d_]", text or ""):
+        return 0.0
     quiet = 1 - sigmoid(bias)
     for sentence in re.findall(r"[^.!?\n]+", text or ""):
         words = set(re.findall(r"[^\W\d_]+", sentence.lower()))
