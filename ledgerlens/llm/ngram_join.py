@@ -6,7 +6,10 @@ the tokens (the prefix has n - ceil(s * n) + 1 tokens).  Three orders are used:
 
 * A, rare tokens first: its prefixes are joined on the token, which is what
   finds candidates.  Frequencies order the tokens, they decide nothing; a
-  bounded list of the most frequent ones is enough.
+  bounded list of the most frequent ones is enough.  A token carries its
+  reach, the tokens of the set from it to the end: two sets share no more than
+  the reach of their first common token, on either side.  A set whose first
+  tokens are its own therefore meets nobody at its later, frequent ones.
 * B and C, two keyed hash orders: a candidate must share prefix tokens under
   them too.  A token of one prefix that comes before the end of the other and
   is not in it is in no part of the other set; as soon as either set has too
@@ -14,10 +17,12 @@ the tokens (the prefix has n - ceil(s * n) + 1 tokens).  Three orders are used:
   verified on the whole sets.
 
 Equal sets are one class from the start.  A token's group does not emit all
-its pairs: first its members meet two leaders of their size band; what links
-is one component, and only pairs that are still in different components meet
-in the exact round that follows.  So a large group of near copies costs a few
-comparisons a member, and no link between components is lost.
+its pairs: first its members meet the leader of their size band, the one with
+the longest reach, which is the set that has least of its own; what links is
+one component.  Other leaders follow while many pairs are left.  Then only
+pairs in different components whose reaches allow a link meet, exactly.  So a
+large group of near copies costs a few comparisons a member, and no link
+between components is lost.
 
 Texts without words have an empty set and link with nothing.  A row with a
 null doc_id links with nothing and has a null component.  Rows with equal sets
@@ -39,6 +44,8 @@ from ledgerlens.llm.common import chunked, components, mix64, runs_of, stage, te
 FREQUENT = 1 << 18  # tokens of the frequency list, at most
 FLUSH = 1_500_000  # shingles whose local counts a task keeps at once
 STARS = 3  # rounds with leaders before the exact round, at most
+SPREAD = 64  # parts of a frequent token's group while equal sets collapse
+HELD = 1 << 18  # keys of sets that a task remembers, so as to send a set once
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _SALTS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344), np.uint64(0xA4093822299F31D0))
 
@@ -140,8 +147,10 @@ def _profile(k: int, percent: int, lower: bool):
 
 
 def _prefixes(k: int, percent: int, lower: bool, tokens: np.ndarray, classes: np.ndarray):
-    """(token, key, n) of each set's prefix under the order A."""
+    """(token, part, key, n, reach) of each set's prefix under the order A; the part of a
+    token off the frequency list is 0, the others' groups are dealt to parts from 1 on."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: set[int] = set()
         for ids, texts in chunked(batches):
             value, owner = shingles(texts, k, lower)
             n = np.bincount(owner, minlength=len(ids))
@@ -151,45 +160,47 @@ def _prefixes(k: int, percent: int, lower: bool, tokens: np.ndarray, classes: np
             known = tokens[at] == value if len(tokens) else np.zeros(len(value), bool)
             rank = np.where(known, classes[at] if len(tokens) else 0, 0).astype(np.uint64)
             order = rank << np.uint64(56) | mix64(value ^ _SALTS[0]) >> np.uint64(8)
-            some = np.array([i is not None for i in ids])
-            take = np.where((n >= least_size(percent)) & some, prefix_length(n, percent), 0)
+            new = np.zeros(len(ids), dtype=bool)
+            for i, name in enumerate(key.tolist()):
+                if ids[i] is not None and name not in held:
+                    new[i] = True
+                    if len(held) < HELD:
+                        held.add(name)
+            take = np.where((n >= least_size(percent)) & new, prefix_length(n, percent), 0)
             token, of = _prefix(value, owner, order, take, np.cumsum(n) - n)
+            place = np.arange(len(of)) - np.repeat(np.cumsum(take) - take, take)
+            at = np.minimum(np.searchsorted(tokens, token), max(len(tokens) - 1, 0))
+            frequent = tokens[at] == token if len(tokens) else np.zeros(len(token), bool)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(token.view(np.int64)), pa.array(key[of]), pa.array(n[of].astype(np.int32))],
-                names=["token", "key", "n"])
+                [pa.array(token.view(np.int64)), pa.array(np.where(frequent, 1 + key[of] % SPREAD, 0).astype(np.int32)),
+                 pa.array(key[of]), pa.array(n[of].astype(np.int32)), pa.array((n[of] - place).astype(np.int32))],
+                names=["token", "part", "key", "n", "reach"])
 
     return run
 
 
 def _sets(k: int, lower: bool):
-    """(key, 6 bytes of each shingle hash, in order) of each text whose set is the expected one."""
+    """(key, shingle hashes in order, 8 bytes each) of each text whose set is the expected one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keyed = (pa.RecordBatch.from_arrays([b.column(2), b.column(1)], names=["key", "text"]) for b in batches)
         for expected, texts in chunked(keyed):
             value, owner = shingles(texts, k, lower)
             n = np.bincount(owner, minlength=len(texts))
             key = _set_key(value, owner, n)
-            raw = np.ascontiguousarray(value.astype(">u8")).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-            cut = np.concatenate(([0], np.cumsum(n))) * 6
-            tokens = pa.array([raw[a:b] for a, b in zip(cut[:-1], cut[1:])], pa.binary())
+            cut = np.concatenate(([0], np.cumsum(n)))
+            tokens = pa.array([value[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(key), tokens], names=["key", "tokens"]).filter(
                 pa.array(key == np.array(expected, np.int64)))
 
     return run
 
 
-def _wide(tokens: bytes) -> np.ndarray:
-    out = np.zeros((len(tokens) // 6, 8), dtype=np.uint8)
-    out[:, :6] = np.frombuffer(tokens, np.uint8).reshape(-1, 6)
-    return out.view(">u8").ravel().astype(np.uint64)
-
-
 def _linked(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
             for x, y in zip(b.column(2), b.column(3)):
-                x, y = _wide(x.as_py()), _wide(y.as_py())
+                x, y = (np.frombuffer(side.as_py(), np.uint64) for side in (x, y))
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -227,19 +238,21 @@ class Join:
         order = np.argsort(token)
         classes = frequent["level"].to_numpy(np.int64)[order]
         prefixes = self.rows.mapInArrow(_prefixes(k, percent, lower, token[order], classes),
-                                        "token long, key long, n int")
-        # equal sets collapse as soon as they meet; a token of one set leads nowhere
-        group = Window.partitionBy("token")
+                                        "token long, part int, key long, n int, reach int")
+        # one exchange: equal sets collapse where they meet; a rare token of one set leads nowhere
+        group = Window.partitionBy("token", "part")
         band = F.floor(F.log("n") / F.log(F.lit(100 / percent))).cast("int")
-        self.groups = stage(prefixes.groupBy("token", "key").agg(F.first("n").alias("n")).withColumn(
-            "members", F.count("*").over(group)).where("members > 1").select(
-            "token", "key", "n", band.alias("band")), "groups")
+        self.groups = stage(prefixes.repartition("token", "part").groupBy("token", "part", "key").agg(
+            F.first("n").alias("n"), F.first("reach").alias("reach")).withColumn(
+            "members", F.count("*").over(group)).where("members > 1 or part > 0").select(
+            "token", "key", "n", "reach", band.alias("band")), "groups")
         self.full: DataFrame | None = None
         self.seen: DataFrame | None = None
         self.links = spark.createDataFrame([], "a long, b long")
 
-    def _similar_size(self, n: str, m: str):
-        return 100 * F.least(n, m) >= self.percent * F.greatest(n, m)
+    def _reaches(self, reach: Column, n: Column, m: Column) -> Column:
+        """Whether ``reach`` common tokens would link sets of ``n`` and ``m`` tokens."""
+        return (100 + self.percent) * reach.cast("long") >= self.percent * (n.cast("long") + m)
 
     def verify(self, pairs: DataFrame) -> None:
         """Add the links among ``pairs`` (a, b) that were not compared before."""
@@ -278,34 +291,48 @@ class Join:
         return stage(self.groups.join(done, "key", "left").withColumn(
             "component_id", F.coalesce("component_id", "key")), "members")
 
+    def star_pairs(self, rows: DataFrame, turn: int) -> DataFrame:
+        """Every row with its band's leader: the longest reach at first, a random one later."""
+        lot = F.xxhash64(F.lit(turn), "key")
+        first = F.struct(F.lit(0) if turn else F.col("n") - F.col("reach"), lot)
+        lead = rows.groupBy("token", "band").agg(
+            F.min(F.struct(first.alias("first"), "key", "n", "reach", "component_id")).alias("lead"))
+        return rows.join(lead, ["token", "band"]).where(
+            (F.col("lead.component_id") != F.col("component_id"))
+            & self._reaches(F.least("reach", "lead.reach"), F.col("n"), F.col("lead.n"))).select(
+            F.col("key").alias("a"), F.col("lead.key").alias("b"))
+
+    def open_pairs(self, rows: DataFrame) -> DataFrame:
+        """Pairs of different components that a token's reaches allow to link.
+
+        The smaller set of a pair (of equal ones the smaller key) has the reach
+        to link with a set of its own size, so only such rows are looked up.
+        """
+        small = rows.where(self._reaches(F.col("reach"), F.col("n"), F.col("n")))
+        met = small.groupBy("token").agg(F.min("n").alias("least_n"), F.min("component_id").alias("low"),
+                                         F.max("component_id").alias("high"))
+        large = rows.join(met, "token").where(
+            ((F.col("low") != F.col("component_id")) | (F.col("high") != F.col("component_id")))
+            & self._reaches(F.col("reach"), F.col("n"), F.col("least_n")))
+        x, y = (side.select("token", F.col("key").alias(s), F.col("n").alias(f"n_{s}"), F.col("reach").alias(f"reach_{s}"),
+                            F.col("component_id").alias(f"of_{s}")) for side, s in ((large, "a"), (small, "b")))
+        order = (F.col("n_a") > F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") > F.col("b")))
+        return x.join(y, "token").where(
+            order & (F.col("of_a") != F.col("of_b"))
+            & self._reaches(F.least("reach_a", "reach_b"), F.col("n_a"), F.col("n_b"))).select("a", "b")
+
     def run(self) -> DataFrame:
         """(key, component_id) of every set that links with another one."""
         rows = self.groups.withColumn("component_id", F.col("key"))
         n_rows = self.groups.count()
-        for turn in range(STARS + 1):
-            sizes = rows.groupBy("token", "component_id").agg(F.count("*").alias("n"))
-            open_pairs = sizes.groupBy("token").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2)
-                                                    .alias("open"))
-            left = open_pairs.agg(F.sum("open")).first()[0] or 0
-            if not left:
-                break
-            if turn and (left <= 4 * n_rows or turn == STARS):
-                x, y = (rows.select("token", F.col("key").alias(s), F.col("n").alias(f"n_{s}"),
-                                    F.col("component_id").alias(f"of_{s}")) for s in "ab")
-                self.verify(x.join(y, "token").where(
-                    (F.col("a") < F.col("b")) & (F.col("of_a") != F.col("of_b"))
-                    & self._similar_size("n_a", "n_b")).select("a", "b"))
-                break
-            pairs = None
-            for lot in (2 * turn, 2 * turn + 1):
-                of_band = Window.partitionBy("token", "band")
-                lead = F.min(F.struct(F.xxhash64(F.lit(lot), "key").alias("lot"), "key", "n", "component_id")).over(of_band)
-                star = rows.withColumn("lead", lead).where(
-                    (F.col("lead.component_id") != F.col("component_id")) & self._similar_size("n", "lead.n"))
-                star = star.select(F.col("key").alias("a"), F.col("lead.key").alias("b")).distinct()
-                pairs = star if pairs is None else pairs.unionByName(star)
-            self.verify(pairs)
+        for turn in range(STARS if n_rows else 0):
+            self.verify(self.star_pairs(rows, turn))
             rows = self.parts()
+            left = self.open_pairs(rows).count()
+            if left <= 4 * n_rows:
+                break
+        if n_rows and left:
+            self.verify(self.open_pairs(rows))
         return components(self.links, "linked").select(F.col("id").alias("key"), "component_id")
 
 

@@ -132,6 +132,39 @@ def test_ngram_join_bound_keeps_few_candidates(spark, monkeypatch):
     assert sum(df.count() for df in staged["candidates"]) == 0
 
 
+def edited(rng, base, edits):
+    words = list(base)
+    for at in rng.sample(range(len(words)), edits):
+        words[at] = f"e{rng.getrandbits(40)}" if rng.random() < 0.8 else "again"
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("k,percent", [(4, 85), (5, 80)])
+def test_ngram_join_large_group_of_near_copies(spark, monkeypatch, k, percent):
+    """Copies with none to seven edits, most pairs just below the similarity: few are compared."""
+    staged = {}
+    monkeypatch.setattr(ngram_join, "stage", lambda df, name: staged.setdefault(name, []).append(
+        out := common.stage(df, name)) or out)
+    rng = random.Random(k)
+    base = [f"b{i}" for i in range(150)]
+    rows = [(i, edited(rng, base, i % 8)) for i in range(240)] + [(900 + i, f"z{i} " + " ".join(base)) for i in range(20)]
+    got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), k, percent)
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == sorted(brute.jaccard(rows, k, percent), key=repr)
+    assert sum(df.count() for df in staged["candidates"]) < 6 * len(rows)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_ngram_join_sets_of_many_sizes(spark, monkeypatch, seed):
+    """Parts of one text, edited: the reach decides by both sizes; no leader round but one."""
+    monkeypatch.setattr(ngram_join, "STARS", 1)
+    monkeypatch.setattr(ngram_join, "HELD", 3)
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(90)]
+    rows = [(i, edited(rng, base[: rng.randint(50, 90)], rng.randint(0, 3))) for i in range(120)]
+    got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 2, 80)
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == sorted(brute.jaccard(rows, 2, 80), key=repr)
+
+
 def test_suffix_array():
     rng = random.Random(3)
     for _ in range(400):
