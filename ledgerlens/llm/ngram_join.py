@@ -45,6 +45,7 @@ FREQUENT = 1 << 18  # tokens of the frequency list, at most
 FLUSH = 1_500_000  # shingles whose local counts a task keeps at once
 STARS = 3  # rounds with leaders before the exact round, at most
 SPREAD = 64  # parts of a frequent token's group while equal sets collapse
+CELLS = 24  # bits of a cell's number in the table of wanted documents: a table of 2 MB at any size
 HELD = 1 << 18  # keys of sets that a task remembers, so as to send a set once
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _SALTS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344), np.uint64(0xA4093822299F31D0))
@@ -104,12 +105,12 @@ def least_size(percent: int) -> int:
     return percent // (100 - percent) + (percent % (100 - percent) > 0)
 
 
-_PROFILE = "doc_id long, n long, key long, b array<smallint>, c array<smallint>, token long, seen long"
+_PROFILE = "doc_id long, n long, key long, token long, seen long"
 
 
-def _profile(k: int, percent: int, lower: bool):
-    """Per document its set's size, identity and prefixes under the orders B and C; and
-    the shingles that a task has met in at least two documents."""
+def _profile(k: int, lower: bool):
+    """Per document its set's size and identity; and the shingles that a task has met in
+    at least two documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
@@ -117,26 +118,17 @@ def _profile(k: int, percent: int, lower: bool):
             token, seen = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
             token, seen = token[seen > 1], seen[seen > 1]
-            empty = [pa.nulls(len(token), f.type) for f in schema][:5]
+            empty = [pa.nulls(len(token), pa.int64())] * 3
             return pa.RecordBatch.from_arrays([*empty, pa.array(token.view(np.int64)), pa.array(seen)], schema=schema)
 
-        schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.int64()),
-                            ("b", pa.list_(pa.int16())), ("c", pa.list_(pa.int16())),
-                            ("token", pa.int64()), ("seen", pa.int64())])
+        schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "n", "key", "token", "seen")])
         for ids, texts in chunked(batches):
             value, owner = shingles(texts, k, lower)
             n = np.bincount(owner, minlength=len(ids))
-            first = np.cumsum(n) - n
-            take = np.where(n >= least_size(percent), prefix_length(n, percent), 0)
-            marks = []
-            for salt in _SALTS[1:]:
-                got, _ = _prefix(value, owner, mix64(value ^ salt), take, first)
-                # the upper bits of the place in the order: whoever is less by them is less
-                marks.append(_lists((mix64(got ^ salt) >> np.uint64(49)).astype(np.int16), take, pa.int16()))
             empty = [pa.nulls(len(ids), pa.int64())] * 2
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(n, pa.int64()),
-                 pa.array(_set_key(value, owner, n), mask=n == 0), *marks, *empty], schema=schema)
+                 pa.array(_set_key(value, owner, n), mask=n == 0), *empty], schema=schema)
             held.append(value)
             if sum(map(len, held)) >= FLUSH:
                 yield frequent()
@@ -179,8 +171,31 @@ def _prefixes(k: int, percent: int, lower: bool, tokens: np.ndarray, classes: np
     return run
 
 
-def _sets(k: int, lower: bool):
-    """(key, shingle hashes in order, 8 bytes each) of each text whose set is the expected one."""
+def _cells(ids: np.ndarray) -> np.ndarray:
+    """The cell of each doc_id in the table of wanted documents."""
+    return (mix64(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - CELLS)).astype(np.int64)
+
+
+def _cell_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        cell = np.unique(_cells(b.column(0).to_numpy(zero_copy_only=False)))
+        yield pa.RecordBatch.from_arrays([pa.array(cell)], names=["cell"])
+
+
+def _wanted(bits: np.ndarray):
+    """The rows whose doc_id falls into a wanted cell: all that are looked for, and a few others."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            b = b.filter(b.column(0).is_valid())
+            cell = _cells(b.column(0).to_numpy(zero_copy_only=False))
+            yield b.filter(pa.array((bits[cell >> 3] >> (cell & 7) & 1).astype(bool)))
+
+    return run
+
+
+def _sets(k: int, percent: int, lower: bool):
+    """Of each text whose set is the expected one: key, size, prefixes under the orders B and C,
+    and the shingle hashes in order, 8 bytes each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keyed = (pa.RecordBatch.from_arrays([b.column(2), b.column(1)], names=["key", "text"]) for b in batches)
         for expected, texts in chunked(keyed):
@@ -188,8 +203,15 @@ def _sets(k: int, lower: bool):
             n = np.bincount(owner, minlength=len(texts))
             key = _set_key(value, owner, n)
             cut = np.concatenate(([0], np.cumsum(n)))
+            take = np.where(n >= least_size(percent), prefix_length(n, percent), 0)
+            marks = []
+            for salt in _SALTS[1:]:
+                got, _ = _prefix(value, owner, mix64(value ^ salt), take, cut[:-1])
+                # the upper bits of the place in the order: whoever is less by them is less
+                marks.append(_lists((mix64(got ^ salt) >> np.uint64(49)).astype(np.int16), take, pa.int16()))
             tokens = pa.array([value[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(key), tokens], names=["key", "tokens"]).filter(
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n, pa.int64()), *marks, tokens],
+                                             names=["key", "n", "b", "c", "tokens"]).filter(
                 pa.array(key == np.array(expected, np.int64)))
 
     return run
@@ -220,10 +242,10 @@ class Join:
         self.k, self.percent, self.lower = k, percent, lower
         self.rows = text_rows(docs)
         spark = docs.sparkSession
-        profile = stage(self.rows.mapInArrow(_profile(k, percent, lower), _PROFILE), "profile")
+        profile = stage(self.rows.mapInArrow(_profile(k, lower), _PROFILE), "profile")
         self.documents = profile.where("n is not null").select("doc_id", "n", "key")
         marks = profile.where("key is not null and doc_id is not null").groupBy("key").agg(
-            F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("b").alias("b"), F.first("c").alias("c"))
+            F.min("doc_id").alias("least_id"), F.first("n").alias("n"))
         self.sets = stage(marks, "sets")
         counts = profile.where("token is not null").groupBy("token").agg(F.sum("seen").alias("seen"))
         counts = stage(counts, "counts")
@@ -254,36 +276,50 @@ class Join:
         """Whether ``reach`` common tokens would link sets of ``n`` and ``m`` tokens."""
         return (100 + self.percent) * reach.cast("long") >= self.percent * (n.cast("long") + m)
 
+    def fetch(self, pairs: DataFrame) -> None:
+        """Add the sets of ``pairs`` (a, b) that were not met before to ``full``.
+
+        One document of each set is looked for.  A table of bits tells at the
+        scan which texts may be meant, so the others never move.
+        """
+        met = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+        if self.full is not None:
+            met = met.join(self.full.select("key"), "key", "left_anti")
+        met = stage(met.join(self.sets, "key").select(
+            F.col("least_id").alias("doc_id"), F.col("key").alias("expected")), "to-fetch")
+        cells = met.select("doc_id").mapInArrow(_cell_of, "cell long")
+        places = cells.groupBy(F.expr("cell div 8").alias("at")).agg(
+            F.bit_or(F.expr("shiftleft(1, cast(cell % 8 as int))")).alias("bits")).toPandas()  # 2^21 rows at most
+        bits = np.zeros(1 << CELLS - 3, dtype=np.uint8)
+        bits[places["at"].to_numpy(np.int64)] = places["bits"].to_numpy(np.uint8)
+        texts = self.rows.mapInArrow(_wanted(bits), self.rows.schema)
+        texts = texts.join(met, "doc_id").select("doc_id", "text", "expected")
+        fetched = stage(texts.mapInArrow(_sets(self.k, self.percent, self.lower),
+                                         "key long, n long, b array<smallint>, c array<smallint>, tokens binary"), "full-sets")
+        self.full = fetched if self.full is None else self.full.unionByName(fetched)
+
     def verify(self, pairs: DataFrame) -> None:
         """Add the links among ``pairs`` (a, b) that were not compared before."""
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if self.seen is not None:
             pairs = pairs.join(self.seen, ["a", "b"], "left_anti")
-        side = lambda s: self.sets.select(
+        met = stage(pairs, "met")
+        self.fetch(met)
+        side = lambda s: self.full.select(
             F.col("key").alias(s), F.col("n").alias(f"{s}_n"), *[F.col(o).alias(f"{s}_{o}") for o in "bc"],
             *[F.array_max(o).alias(f"{s}_{o}_end") for o in "bc"])
-        pairs = pairs.join(side("a"), "a").join(side("b"), "b")
+        pairs = met.join(side("a"), "a").join(side("b"), "b")
         for o in "bc":
             pairs = pairs.where(F.arrays_overlap(f"a_{o}", f"b_{o}"))
             for s, t in ("ab", "ba"):  # tokens of s that t cannot have: the overlap is the rest at most
                 absent = F.size(F.array_except(F.filter(f"{s}_{o}", _below(F.col(f"{t}_{o}_end"))), F.col(f"{t}_{o}")))
                 pairs = pairs.where((100 + self.percent) * (F.col(f"{s}_n") - absent) >= self.percent * (F.col("a_n") + F.col("b_n")))
-        pairs = pairs.select("a", "b")
-        pairs = stage(pairs, "candidates")
-        # the whole sets of the documents that are compared for the first time
-        met = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-        if self.full is not None:
-            met = met.join(self.full.select("key"), "key", "left_anti")
-        met = stage(met.join(self.sets.select("key", "least_id"), "key").select(
-            F.col("least_id").alias("doc_id"), F.col("key").alias("expected")), "to-fetch")
-        texts = self.rows.join(met, "doc_id").select("doc_id", "text", "expected")
-        fetched = stage(texts.mapInArrow(_sets(self.k, self.lower), "key long, tokens binary"), "full-sets")
-        self.full = fetched if self.full is None else self.full.unionByName(fetched)
-        full = lambda s: self.full.select(F.col("key").alias(s), F.col("tokens").alias(f"{s}_tokens"))
-        found = pairs.join(full("a"), "a").join(full("b"), "b").select("a", "b", "a_tokens", "b_tokens")
+        pairs = stage(pairs.select("a", "b"), "candidates")
+        tokens = lambda s: self.full.select(F.col("key").alias(s), F.col("tokens").alias(f"{s}_tokens"))
+        found = pairs.join(tokens("a"), "a").join(tokens("b"), "b").select("a", "b", "a_tokens", "b_tokens")
         found = stage(found.mapInArrow(_linked(self.percent), "a long, b long"), "links")
         self.links = self.links.unionByName(found)
-        self.seen = pairs if self.seen is None else self.seen.unionByName(pairs)
+        self.seen = met if self.seen is None else self.seen.unionByName(met)
 
     def parts(self) -> DataFrame:
         """The groups' rows with the component that they are in so far."""
