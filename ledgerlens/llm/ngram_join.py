@@ -17,9 +17,9 @@ the tokens (the prefix has n - ceil(s * n) + 1 tokens).  Three orders are used:
   verified on the whole sets.
 
 Equal sets are one class from the start.  A token's group does not emit all
-its pairs: first its members meet the leader of their size band, the one with
-the longest reach, which is the set that has least of its own; what links is
-one component.  Other leaders follow while many pairs are left.  Then only
+its pairs: first its members meet the leader of their size band, the set whose
+tokens are the most frequent on average, which has least of its own; what
+links is one component.  Other leaders follow while many pairs are left.  Then only
 pairs in different components whose reaches allow a link meet, exactly.  So a
 large group of near copies costs a few comparisons a member, and no link
 between components is lost.
@@ -139,8 +139,9 @@ def _profile(k: int, lower: bool):
 
 
 def _prefixes(k: int, percent: int, lower: bool, tokens: np.ndarray, classes: np.ndarray):
-    """(token, part, key, n, reach) of each set's prefix under the order A; the part of a
-    token off the frequency list is 0, the others' groups are dealt to parts from 1 on."""
+    """(token, part, key, n, reach, rarity) of each set's prefix under the order A; the part of a
+    token off the frequency list is 0, the others' groups are dealt to parts from 1 on; rarity
+    is 16 times the mean of 255 less the token's class over the whole set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: set[int] = set()
         for ids, texts in chunked(batches):
@@ -163,10 +164,12 @@ def _prefixes(k: int, percent: int, lower: bool, tokens: np.ndarray, classes: np
             place = np.arange(len(of)) - np.repeat(np.cumsum(take) - take, take)
             at = np.minimum(np.searchsorted(tokens, token), max(len(tokens) - 1, 0))
             frequent = tokens[at] == token if len(tokens) else np.zeros(len(token), bool)
+            rarity = np.bincount(owner, weights=255.0 - rank, minlength=len(ids)) * 16 // np.maximum(n, 1)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(token.view(np.int64)), pa.array(np.where(frequent, 1 + key[of] % SPREAD, 0).astype(np.int32)),
-                 pa.array(key[of]), pa.array(n[of].astype(np.int32)), pa.array((n[of] - place).astype(np.int32))],
-                names=["token", "part", "key", "n", "reach"])
+                 pa.array(key[of]), pa.array(n[of].astype(np.int32)), pa.array((n[of] - place).astype(np.int32)),
+                 pa.array(rarity[of].astype(np.int32))],
+                names=["token", "part", "key", "n", "reach", "rarity"])
 
     return run
 
@@ -194,8 +197,7 @@ def _wanted(bits: np.ndarray):
 
 
 def _sets(k: int, percent: int, lower: bool):
-    """Of each text whose set is the expected one: key, size, prefixes under the orders B and C,
-    and the shingle hashes in order, 8 bytes each."""
+    """Of each text whose set is the expected one: key, size, prefixes under the orders B and C, and the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keyed = (pa.RecordBatch.from_arrays([b.column(2), b.column(1)], names=["key", "text"]) for b in batches)
         for expected, texts in chunked(keyed):
@@ -209,22 +211,29 @@ def _sets(k: int, percent: int, lower: bool):
                 got, _ = _prefix(value, owner, mix64(value ^ salt), take, cut[:-1])
                 # the upper bits of the place in the order: whoever is less by them is less
                 marks.append(_lists((mix64(got ^ salt) >> np.uint64(49)).astype(np.int16), take, pa.int16()))
-            tokens = pa.array([value[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n, pa.int64()), *marks, tokens],
-                                             names=["key", "n", "b", "c", "tokens"]).filter(
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n, pa.int64()), *marks, pa.array(texts, pa.binary())],
+                                             names=["key", "n", "b", "c", "text"]).filter(
                 pa.array(key == np.array(expected, np.int64)))
 
     return run
 
 
-def _linked(percent: int):
+def _linked(k: int, percent: int, lower: bool):
+    """The pairs (a, b) whose texts' whole sets link.  Texts travel, since they compress and hashes do not."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = []
-            for x, y in zip(b.column(2), b.column(3)):
-                x, y = (np.frombuffer(side.as_py(), np.uint64) for side in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            keep: list[bool] = []
+            sides = pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(2 * len(b)) // 2), pa.concat_arrays([b.column(2), b.column(3)]).take(
+                    pa.array(np.arange(2 * len(b)).reshape(2, -1).T.ravel()))], names=["row", "text"])
+            odd: list[np.ndarray] = []  # the first set of a pair whose second one comes with the next texts
+            for rows, texts in chunked([sides]):
+                value, owner = shingles(texts, k, lower)
+                sets = odd + np.split(value, np.cumsum(np.bincount(owner, minlength=len(rows)))[:-1])
+                for x, y in zip(sets[::2], sets[1::2]):
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    keep.append(100 * both >= percent * (len(x) + len(y) - both))
+                odd = sets[-1:] if len(sets) % 2 else []
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -260,14 +269,14 @@ class Join:
         order = np.argsort(token)
         classes = frequent["level"].to_numpy(np.int64)[order]
         prefixes = self.rows.mapInArrow(_prefixes(k, percent, lower, token[order], classes),
-                                        "token long, part int, key long, n int, reach int")
+                                        "token long, part int, key long, n int, reach int, rarity int")
         # one exchange: equal sets collapse where they meet; a rare token of one set leads nowhere
         group = Window.partitionBy("token", "part")
         band = F.floor(F.log("n") / F.log(F.lit(100 / percent))).cast("int")
         self.groups = stage(prefixes.repartition("token", "part").groupBy("token", "part", "key").agg(
-            F.first("n").alias("n"), F.first("reach").alias("reach")).withColumn(
+            F.first("n").alias("n"), F.first("reach").alias("reach"), F.first("rarity").alias("rarity")).withColumn(
             "members", F.count("*").over(group)).where("members > 1 or part > 0").select(
-            "token", "key", "n", "reach", band.alias("band")), "groups")
+            "token", "key", "n", "reach", "rarity", band.alias("band")), "groups")
         self.full: DataFrame | None = None
         self.seen: DataFrame | None = None
         self.links = spark.createDataFrame([], "a long, b long")
@@ -295,7 +304,7 @@ class Join:
         texts = self.rows.mapInArrow(_wanted(bits), self.rows.schema)
         texts = texts.join(met, "doc_id").select("doc_id", "text", "expected")
         fetched = stage(texts.mapInArrow(_sets(self.k, self.percent, self.lower),
-                                         "key long, n long, b array<smallint>, c array<smallint>, tokens binary"), "full-sets")
+                                         "key long, n long, b array<smallint>, c array<smallint>, text binary"), "full-sets")
         self.full = fetched if self.full is None else self.full.unionByName(fetched)
 
     def verify(self, pairs: DataFrame) -> None:
@@ -315,9 +324,9 @@ class Join:
                 absent = F.size(F.array_except(F.filter(f"{s}_{o}", _below(F.col(f"{t}_{o}_end"))), F.col(f"{t}_{o}")))
                 pairs = pairs.where((100 + self.percent) * (F.col(f"{s}_n") - absent) >= self.percent * (F.col("a_n") + F.col("b_n")))
         pairs = stage(pairs.select("a", "b"), "candidates")
-        tokens = lambda s: self.full.select(F.col("key").alias(s), F.col("tokens").alias(f"{s}_tokens"))
-        found = pairs.join(tokens("a"), "a").join(tokens("b"), "b").select("a", "b", "a_tokens", "b_tokens")
-        found = stage(found.mapInArrow(_linked(self.percent), "a long, b long"), "links")
+        text = lambda s: self.full.select(F.col("key").alias(s), F.col("text").alias(f"{s}_text"))
+        found = pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "a_text", "b_text")
+        found = stage(found.mapInArrow(_linked(self.k, self.percent, self.lower), "a long, b long"), "links")
         self.links = self.links.unionByName(found)
         self.seen = met if self.seen is None else self.seen.unionByName(met)
 
@@ -328,9 +337,12 @@ class Join:
             "component_id", F.coalesce("component_id", "key")), "members")
 
     def star_pairs(self, rows: DataFrame, turn: int) -> DataFrame:
-        """Every row with its band's leader: the longest reach at first, a random one later."""
+        """Every row with its band's leader: the set of the most frequent tokens at first, a random one later.
+
+        Neither depends on the token, so the tokens that two sets share lead to one leader.
+        """
         lot = F.xxhash64(F.lit(turn), "key")
-        first = F.struct(F.lit(0) if turn else F.col("n") - F.col("reach"), lot)
+        first = F.struct(F.lit(0) if turn else F.col("rarity"), lot)
         lead = rows.groupBy("token", "band").agg(
             F.min(F.struct(first.alias("first"), "key", "n", "reach", "component_id")).alias("lead"))
         return rows.join(lead, ["token", "band"]).where(
