@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..operators import clean, evm, reports, spine, star
+from ..operators import clean, evm, reports, spine, star, star_slices
+from ..operators.cube_store import CubeStore, evm_slices
 from ..operators.keys import dense_surrogate_key
 from ..operators.rule_table import vendor_rule_table
 from ..operators.sizing import staged
@@ -22,6 +23,7 @@ from ..operators.vendors import vendor_fuzzy_match, vendor_rule_map
 from ..session import scratch_path
 from ..sources import bindings as B
 from ..sources import files, publication, records
+from ..sources.bucketed import write_bucketed
 from ..sources.schemas import FACT_PROJECT_COST, RAW_CHANGE_ORDERS, STAR_TABLES
 from . import etl
 
@@ -241,6 +243,26 @@ def q_evm_cube(spark, sf_dir):
     return evm.evm_cube(cost_fact(spark, sf_dir), ["building_id", "wbs_level_1", "wbs_level_2"])
 
 
+CUBE_SETS = (("building_id", "wbs_level_1"), ("building_id",), ("wbs_level_1", "wbs_level_2"), ())
+
+
+def q_evm_cube_stored(spark, sf_dir):
+    """Chosen slices of a stored cube that was refreshed once.
+
+    The first batch lacks a quarter of the ledger and has another quarter with
+    doubled budgets; the second brings the one and corrects the other, and is
+    sent twice.
+    """
+    fact, quarter = cost_fact(spark, sf_dir), F.pmod(F.xxhash64("cost_key"), F.lit(4))
+    doubled = F.when(quarter == 1, F.col("approved_budget") * 2).otherwise(F.col("approved_budget")).cast("bigint")
+    first = fact.where(quarter != 0).withColumn("approved_budget", doubled)
+    store = CubeStore(spark, scratch_path(spark, "cube"), ["building_id", "wbs_level_1", "wbs_level_2"])
+    store.append("first", first)
+    for _ in range(2):
+        store.append("second", fact.where(quarter <= 1), taken_back=first.where(quarter == 1))
+    return evm_slices(store, CUBE_SETS)
+
+
 def q_evm_traffic_light(spark, sf_dir):
     return evm.evm_traffic_light(cost_fact(spark, sf_dir))
 
@@ -311,6 +333,30 @@ def q_star_cost_report(spark, sf_dir):
                                     staged(q_dim_wbs(spark, sf_dir), "dim-wbs"))
 
 
+QUARTER = (1996, 2)
+
+
+def q_star_quarter_report(spark, sf_dir):
+    """Change orders of a quarter, picked in the date dimension, from a fact published by month."""
+    co = star_slices.with_month(co_fact(spark, sf_dir))
+    out = publication.Publication(spark, scratch_path(spark, "monthly-star"))
+    fact = out.write("fact_change_orders", co, partition_by=[star_slices.MONTH],
+                     cluster_by=[star_slices.MONTH, "submitted_date", "change_order_id"])
+    days = out.write("dim_date", star.calendar_spanning(fact, ["submitted_date"]))
+    out.commit()
+    return star_slices.star_quarter_report(fact, days, (F.col("year") == QUARTER[0]) & (F.col("quarter") == QUARTER[1]))
+
+
+def q_star_cost_bucketed(spark, sf_dir):
+    """The cost report through a WBS dimension that is stored in buckets, as many as a shuffle has partitions."""
+    path = scratch_path(spark, "dim-wbs-buckets")
+    name = "ledgerlens_" + path.rsplit("/", 1)[-1].replace("-", "_")
+    wbs = write_bucketed(q_dim_wbs(spark, sf_dir), name, path, ["wbs_code", "wbs_level_1"],
+                         int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return star_slices.star_cost_report_bucketed(cost_fact(spark, sf_dir),
+                                                 staged(q_dim_building(spark, sf_dir), "dim-building"), wbs)
+
+
 def q_etl_job(spark, sf_dir):
     """The whole job from CSV exports: rows and a sum of keys or amounts of every table it wrote."""
     raw_paths = {}
@@ -436,6 +482,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pay_app_reconciliation": q_pay_app_reconciliation,
     "cost_variance_by_wbs": q_cost_variance_by_wbs,
     "evm_cube": q_evm_cube,
+    "evm_cube_stored": q_evm_cube_stored,
     "evm_traffic_light": q_evm_traffic_light,
     "evm_trend_monthly": q_evm_trend_monthly,
     "co_open_exposure": q_co_open_exposure,
@@ -453,6 +500,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "star_read": q_star_read,
     "star_join_report": q_star_join_report,
     "star_cost_report": q_star_cost_report,
+    "star_quarter_report": q_star_quarter_report,
+    "star_cost_bucketed": q_star_cost_bucketed,
     "etl_job": q_etl_job,
     "answer_key_check": q_answer_key_check,
 }

@@ -636,6 +636,9 @@ c AS (SELECT building_id, wbs_level_1, wbs_level_2, {_i('sum(b)')} AS total_budg
       FROM f GROUP BY CUBE (building_id, wbs_level_1, wbs_level_2))
 SELECT *, {_evm_ratios('total_budget', 'total_actual_cost', 'total_earned_value', 'total_planned_value')} FROM c"""
 
+CUBE_STORED = CUBE.replace("CUBE (building_id, wbs_level_1, wbs_level_2)",
+                           "GROUPING SETS (" + ", ".join("(" + ", ".join(s) + ")" for s in C.CUBE_SETS) + ")")
+
 TRAFFIC = f"""{COST},
 t AS (SELECT building_id, {_i('sum(approved_budget)')} AS total_budget, {_i('sum(actual_cost_to_date)')} AS total_actual_cost,
              {_i('sum(earned_value)')} AS total_earned_value, {_i('sum(planned_value)')} AS total_planned_value
@@ -777,6 +780,12 @@ SELECT CASE WHEN building_id IS NOT NULL THEN campus END AS campus, building_id,
        {_evm_ratios('total_budget', 'total_actual_cost', 'total_earned_value', 'total_planned_value')}
 FROM g"""
 
+STAR_QUARTER = f"""{CO}
+SELECT CAST(year(submitted_date) AS INTEGER) AS year, CAST(quarter(submitted_date) AS INTEGER) AS quarter, building_id, status,
+       count(*) AS co_count, {_money('sum', 'cost_impact')} AS total_cost_impact
+FROM co_fact WHERE year(submitted_date) = {C.QUARTER[0]} AND quarter(submitted_date) = {C.QUARTER[1]}
+GROUP BY ALL"""
+
 # Vendors of the cost fact as the job names them: rules, else the best fuzzy match.
 _FUZZY_VENDORS = FUZZY.rsplit("\nSELECT cost_key, vendor_name AS vendor_raw,", 1)[0]
 ETL_JOB = f"""{_FUZZY_VENDORS}, {CO_BASE}, {SCHED}, {PAY},
@@ -865,6 +874,7 @@ ORACLE_SQL: dict[str, str] = {
     "pay_app_reconciliation": RECON,
     "cost_variance_by_wbs": VARIANCE_TOP,
     "evm_cube": CUBE,
+    "evm_cube_stored": CUBE_STORED,
     "evm_traffic_light": TRAFFIC,
     "evm_trend_monthly": TREND,
     "co_open_exposure": EXPOSURE,
@@ -884,6 +894,8 @@ ORACLE_SQL: dict[str, str] = {
                  f"GROUP BY submitted_date, status",
     "star_join_report": STAR_JOIN,
     "star_cost_report": STAR_COST,
+    "star_quarter_report": STAR_QUARTER,
+    "star_cost_bucketed": STAR_COST,
     "etl_job": ETL_JOB,
     "answer_key_check": _answer_key(),
 }
