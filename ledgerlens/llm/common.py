@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -54,6 +56,31 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict = {}
+
+
+def held(key, make: Callable):
+    """The one large object that a Python worker keeps from task to task.
+
+    All operators share the workers, so what another one has left is dropped.
+    """
+    if key not in _HELD:
+        if _HELD:
+            _HELD.clear()
+            give_back()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def give_back() -> None:
+    """Return freed memory to the machine: the worker lives on, beside the executor's heap."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def text_bytes(df: DataFrame) -> int:
     """UTF-8 bytes of all texts: sizes the number of groups, never the result."""
     return df.select(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import stage
+from ledgerlens.llm.common import held, stage
 
 LENGTH = 2048
 OPEN = 64
@@ -137,14 +137,9 @@ class Ids:
         return found
 
 
-_LOADED: dict[str, Ids] = {}
-
-
 def ids_of(path: str) -> Ids:
     """One per Python worker, so that its tasks share what it has encoded."""
-    if path not in _LOADED:
-        _LOADED[path] = Ids(path)
-    return _LOADED[path]
+    return held(("packing", path), lambda: Ids(path))
 
 
 class Windows:

@@ -21,16 +21,19 @@ Extra columns are ignored.
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.common import give_back, held
+
 SAMPLE = 6000  # labelled rows of a class that are learnt from
 STEMS = (4, 5, 6)  # letters of a word's beginnings that are features
 MIN_DOCS = 4  # toxic documents of the sample that have a feature, at least
@@ -106,13 +109,13 @@ def fit(texts: list[str], labels: list[int]) -> tuple[float, dict[str, float]]:
     """(bias, weight of each feature) of the sentence model."""
     names, n_docs = choose(texts, labels), len(texts)
     index, n = {f: i for i, f in enumerate(names)}, len(names)
-    doc_of, cells, rows = [], [], []
+    doc_of, cells, rows = array("q"), array("q"), array("q")
     for d, text in enumerate(texts):
         for _, _, words in sentences(text):
             at = [index[f] for w in words for f in features(w) if f in index]
             if at:  # others add nothing
-                cells += at
-                rows += [len(doc_of)] * len(at)
+                cells.extend(at)
+                rows.extend([len(doc_of)] * len(at))
                 doc_of.append(d)
     y = np.array(labels, dtype=float)
     doc, cell, row = np.array(doc_of, int), np.array(cells, int), np.array(rows, int)
@@ -184,6 +187,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[flo
         if not got:
             return
         bias, weights = fit([x for _, _, x in got], [t for _, t, _ in got])
+        del got
+        give_back()
         yield pa.RecordBatch.from_pydict({"word": pa.array(["", *weights], pa.string()),
                                           "weight": pa.array([bias, *weights.values()], pa.float64())})
 
@@ -198,10 +203,11 @@ def score(docs: DataFrame, model: tuple[float, dict[str, float]], locate: bool =
     An offence is a sentence whose own probability reaches ``THRESHOLD``;
     start and end count characters of the whole text.
     """
+    name = uuid.uuid4().hex
     kind = "doc_id long, score double" + ", offences array<struct<start:int,end:int,probability:double>>" * locate
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model)
+        scorer = held(("toxicity", name), lambda: Scorer(model))
         for b in batches:
             scores, found = [], []
             for x in b.column(1):
@@ -237,12 +243,14 @@ def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     The score depends on the text alone, so the texts are scored where they
     lie, without a join.
     """
-    model = train(docs, labels)
+    model, name = train(docs, labels), uuid.uuid4().hex
 
-    @F.pandas_udf("double")
-    def rate(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = Scorer(model)
+    @F.arrow_udf("double")
+    def rate(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scorer = held(("toxicity", name), lambda: Scorer(model))
         for some in texts:
-            yield pd.Series([scorer.document(x or "") for x in some], dtype="float64")
+            yield pa.array([scorer.document(x.as_py() or "") for x in some], pa.float64())
+        some = None
+        give_back()
 
     return docs.where(rate(F.col("text").cast("string")) < THRESHOLD)
