@@ -81,6 +81,15 @@ def give_back() -> None:
         trim(0)
 
 
+def tidy(run: Callable) -> Callable:
+    """A task over batches that returns its memory when it ends."""
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return tidied
+
+
 def text_bytes(df: DataFrame) -> int:
     """UTF-8 bytes of all texts: sizes the number of groups, never the result."""
     return df.select(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import chunked, components, mix64, runs_of, stage, text_rows, words_of
+from ledgerlens.llm.common import chunked, components, mix64, runs_of, stage, text_rows, tidy, words_of
 
 FREQUENT = 1 << 18  # tokens of the frequency list, at most
 FLUSH = 1_500_000  # shingles whose local counts a task keeps at once
@@ -251,7 +251,7 @@ class Join:
         self.k, self.percent, self.lower = k, percent, lower
         self.rows = text_rows(docs)
         spark = docs.sparkSession
-        profile = stage(self.rows.mapInArrow(_profile(k, lower), _PROFILE), "profile")
+        profile = stage(self.rows.mapInArrow(tidy(_profile(k, lower)), _PROFILE), "profile")
         self.documents = profile.where("n is not null").select("doc_id", "n", "key")
         marks = profile.where("key is not null and doc_id is not null").groupBy("key").agg(
             F.min("doc_id").alias("least_id"), F.first("n").alias("n"))
@@ -268,7 +268,7 @@ class Join:
         token = frequent["token"].to_numpy(np.int64).view(np.uint64)
         order = np.argsort(token)
         classes = frequent["level"].to_numpy(np.int64)[order]
-        prefixes = self.rows.mapInArrow(_prefixes(k, percent, lower, token[order], classes),
+        prefixes = self.rows.mapInArrow(tidy(_prefixes(k, percent, lower, token[order], classes)),
                                         "token long, part int, key long, n int, reach int, rarity int")
         # one exchange: equal sets collapse where they meet; a rare token of one set leads nowhere
         group = Window.partitionBy("token", "part")
@@ -303,7 +303,7 @@ class Join:
         bits[places["at"].to_numpy(np.int64)] = places["bits"].to_numpy(np.uint8)
         texts = self.rows.mapInArrow(_wanted(bits), self.rows.schema)
         texts = texts.join(met, "doc_id").select("doc_id", "text", "expected")
-        fetched = stage(texts.mapInArrow(_sets(self.k, self.percent, self.lower),
+        fetched = stage(texts.mapInArrow(tidy(_sets(self.k, self.percent, self.lower)),
                                          "key long, n long, b array<smallint>, c array<smallint>, text binary"), "full-sets")
         self.full = fetched if self.full is None else self.full.unionByName(fetched)
 
@@ -326,7 +326,7 @@ class Join:
         pairs = stage(pairs.select("a", "b"), "candidates")
         text = lambda s: self.full.select(F.col("key").alias(s), F.col("text").alias(f"{s}_text"))
         found = pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "a_text", "b_text")
-        found = stage(found.mapInArrow(_linked(self.k, self.percent, self.lower), "a long, b long"), "links")
+        found = stage(found.mapInArrow(tidy(_linked(self.k, self.percent, self.lower)), "a long, b long"), "links")
         self.links = self.links.unionByName(found)
         self.seen = met if self.seen is None else self.seen.unionByName(met)
 
