@@ -131,12 +131,22 @@ def _attempts(c: Column, layouts: Sequence[str]) -> list[tuple[Column, Column]]:
 
 def normalize_date(col: Column | str, layouts: Sequence[str] = DATE_LAYOUTS) -> Column:
     """Text in any of ``layouts`` -> DATE; blanks and junk -> null."""
-    return F.coalesce(*[date for date, _ in _attempts(F.trim(as_col(col)), layouts)])
+    return trimmed_date(F.trim(as_col(col)), layouts)
+
+
+def trimmed_date(text: Column, layouts: Sequence[str] = DATE_LAYOUTS) -> Column:
+    """``normalize_date`` of a text without outer blanks."""
+    return F.coalesce(*[date for date, _ in _attempts(text, layouts)])
 
 
 def layout_index(col: Column | str, layouts: Sequence[str] = DATE_LAYOUTS) -> Column:
     """0-based index of the first layout that parses the text (null if none)."""
-    return F.coalesce(*[F.when(date.isNotNull(), i) for date, i in _attempts(F.trim(as_col(col)), layouts)])
+    return trimmed_layout(F.trim(as_col(col)), layouts)
+
+
+def trimmed_layout(text: Column, layouts: Sequence[str] = DATE_LAYOUTS) -> Column:
+    """``layout_index`` of a text without outer blanks."""
+    return F.coalesce(*[F.when(date.isNotNull(), i) for date, i in _attempts(text, layouts)])
 
 
 def normalize_period(col: Column | str, layouts: Sequence[str] = PERIOD_LAYOUTS) -> Column:

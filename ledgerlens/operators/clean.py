@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
@@ -15,10 +15,19 @@ def normalize_dates(df: DataFrame, columns: Sequence[str] | Mapping[str, str],
     """Parse text date columns in mixed layouts into DATE columns.
 
     ``columns`` is a list (replace in place) or a mapping raw -> output name.
-    One projection for all columns, so the plan stays a single codegen stage.
+    The parser is written once, over the array of a row's texts: written out
+    per column it outgrows what the JVM compiles and runs interpreted.
     """
     mapping = dict(columns) if isinstance(columns, Mapping) else {c: c for c in columns}
-    return df.withColumns({out: D.normalize_date(raw, layouts) for raw, out in mapping.items()})
+    if not mapping:
+        return df
+    read = df.withColumn("__dates", F.transform(_texts(mapping), lambda t: D.trimmed_date(t, layouts)))
+    return read.withColumns({out: F.col("__dates")[i] for i, out in enumerate(mapping.values())}).drop("__dates")
+
+
+def _texts(columns: Iterable[str]) -> Column:
+    """The texts of a row in one array, trimmed once for all attempts at them."""
+    return F.array(*[F.trim(F.col(c)) for c in columns])
 
 
 def normalize_periods(df: DataFrame, columns: Mapping[str, str],
@@ -72,7 +81,9 @@ def null_profile(df: DataFrame, source: str, date_columns: Sequence[str] = (),
     for c in [c for c in df.columns if c not in cleaned_cols]:
         aggs.append(F.count_if(F.col(c).isNull()).alias(f"{c}|nulls"))
     # each text is read once, in a projection below the aggregate
-    read = {f"__layout_{c}": D.layout_index(c, layouts) for c in date_columns}
+    if date_columns:
+        df = df.withColumn("__layouts", F.transform(_texts(date_columns), lambda t: D.trimmed_layout(t, layouts)))
+    read = {f"__layout_{c}": F.col("__layouts")[i] for i, c in enumerate(date_columns)}
     read |= {f"__period_{c}": D.normalize_period(c) for c in period_columns}
     df = df.withColumns(read) if read else df
     written = lambda c: F.coalesce(F.trim(F.col(c)) != "", F.lit(False))

@@ -124,7 +124,7 @@ def building_of(key: Column) -> Column:
     return F.concat(F.lit("BLD-"), key.cast("string"))
 
 
-def dirty_date(d: Column, key: Column, shift: int = 0) -> Column:
+def dirty_date(d: Column, key: Column, shift: int | Column = 0) -> Column:
     """A DATE rendered in one of four layouts chosen by ``key``; some blank or junk."""
     layout = (key + F.lit(shift)) % 4
     text = (
@@ -291,6 +291,10 @@ def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     act_finish = F.when(finished, F.col("l_shipdate").cast("date"))
     row_key = key * F.lit(8) + ln
     float_days = ln * F.lit(5) - F.lit(10)
+    # one lambda for the four dates: four copies of it are too long a method for the JVM to compile
+    dates = F.array(start, F.date_add(start, q), act_start, act_finish)
+    rows = rows.withColumn("_texts", F.transform(dates, lambda d, i: dirty_date(d, row_key, i)))
+    text = F.col("_texts")
     return rows.select(
         F.concat(F.lit("ACT-"), key.cast("string"), F.lit("-"), ln.cast("string")).alias("activity_id"),
         F.concat(F.lit("Activity "), ln.cast("string")).alias("activity_name"),
@@ -298,11 +302,11 @@ def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("wbs_level_1"),
         F.concat(F.col("o_orderpriority"), F.lit("."), (F.col("o_custkey") % 10).cast("string")).alias("wbs_code"),
         F.when(row_key % BLANK_MOD == 0, F.date_format(start, "yyyy-MM-dd"))
-        .otherwise(dirty_date(start, row_key)).alias("planned_start"),
+        .otherwise(text[0]).alias("planned_start"),
         F.when(row_key % BLANK_MOD == 0, F.date_format(F.date_add(start, q), "yyyy-MM-dd"))
-        .otherwise(dirty_date(F.date_add(start, q), row_key, shift=1)).alias("planned_finish"),
-        F.when(started, dirty_date(act_start, row_key, shift=2)).alias("actual_start"),
-        F.when(finished, dirty_date(act_finish, row_key, shift=3)).alias("actual_finish"),
+        .otherwise(text[1]).alias("planned_finish"),
+        F.when(started, text[2]).alias("actual_start"),
+        F.when(finished, text[3]).alias("actual_finish"),
         q.alias("baseline_duration"),
         F.when(finished, F.datediff(act_finish, act_start))
         .when(started, ln * F.lit(3))
