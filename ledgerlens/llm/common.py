@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import gc
 import os
@@ -69,11 +70,13 @@ def held(key, make: Callable):
             _HELD.clear()
             give_back()
         _HELD[key] = make()
+        give_back()  # what it was made from
     return _HELD[key]
 
 
 def give_back() -> None:
     """Return freed memory to the machine: the worker lives on, beside the executor's heap."""
+    _POWERS.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
@@ -81,15 +84,40 @@ def give_back() -> None:
         trim(0)
 
 
-def tidy(run: Callable) -> Callable:
-    """A task over batches that returns its memory when it ends."""
+def tidy(run: Callable, holds: bool = False) -> Callable:
+    """A task over batches that returns its memory when it ends.
+
+    Unless it ``holds`` a large object itself, it drops the one that another
+    operator has left.
+    """
     def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not holds:
+            _HELD.clear()
         yield from run(batches)
         give_back()
 
     return tidied
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Jobs started meanwhile hand Python at most ``rows`` rows at once.
+
+    A batch is held by the executor and by the worker beside it, in memory
+    that no heap limit covers: ten thousand texts are tens of MB in each.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if 0 < int(before) <= rows:
+        yield
+        return
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def text_bytes(df: DataFrame) -> int:
     """UTF-8 bytes of all texts: sizes the number of groups, never the result."""
     return df.select(F.sum(F.octet_length("text"))).first()[0] or 0

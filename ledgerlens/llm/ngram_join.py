@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import chunked, components, mix64, runs_of, stage, text_rows, tidy, words_of
+from ledgerlens.llm.common import chunked, components, mix64, runs_of, small_batches, stage, text_rows, tidy, words_of
 
 FREQUENT = 1 << 18  # tokens of the frequency list, at most
 FLUSH = 1_500_000  # shingles whose local counts a task keeps at once
@@ -301,7 +301,7 @@ class Join:
             F.bit_or(F.expr("shiftleft(1, cast(cell % 8 as int))")).alias("bits")).toPandas()  # 2^21 rows at most
         bits = np.zeros(1 << CELLS - 3, dtype=np.uint8)
         bits[places["at"].to_numpy(np.int64)] = places["bits"].to_numpy(np.uint8)
-        texts = self.rows.mapInArrow(_wanted(bits), self.rows.schema)
+        texts = self.rows.mapInArrow(tidy(_wanted(bits)), self.rows.schema)
         texts = texts.join(met, "doc_id").select("doc_id", "text", "expected")
         fetched = stage(texts.mapInArrow(tidy(_sets(self.k, self.percent, self.lower)),
                                          "key long, n long, b array<smallint>, c array<smallint>, text binary"), "full-sets")
@@ -386,8 +386,9 @@ class Join:
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, lower: bool = True) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable) of every document."""
-    join = Join(docs, k, percent, lower)
-    part = join.run()
+    with small_batches(docs.sparkSession):  # every step with Python tasks is staged in here
+        join = Join(docs, k, percent, lower)
+        part = join.run()
     of = join.sets.select("key", "least_id").join(part, "key", "left").select(
         "key", "least_id", F.coalesce("component_id", "key").alias("part"))
     least = of.groupBy("part").agg(F.min("least_id").alias("component_id"))

@@ -30,13 +30,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import held, stage
+from ledgerlens.llm.common import held, small_batches, stage, tidy
 
 LENGTH = 2048
 OPEN = 64
 FAN = 32
 END_ID = 1
-CACHE = 400_000  # pieces whose ids a Python worker keeps
+CACHE = 50_000  # pieces whose ids a Python worker keeps: most texts' words, in some 10 MB
 _ENDS = frozenset(".,;:!?")
 # fixed value: the published pre-token pattern of byte-level BPE
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -245,8 +245,9 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, most_open:
     ``with_ids`` adds the piece's ids (little-endian unsigned 32-bit).
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    first = stage(rows.mapInArrow(_pack_partition(tokenizer_path, length, most_open, with_ids), PIECES),
-                  "packed")
+    run = tidy(_pack_partition(tokenizer_path, length, most_open, with_ids), holds=True)
+    with small_batches(docs.sparkSession):
+        first = stage(rows.mapInArrow(run, PIECES), "packed")
     done, left = first.where("not open"), first.where("open")
     turn, parts = 0, (left.agg(F.max("part")).first()[0] or 0) + 1
     while turn == 0 or parts > 1:  # FAN partitions' leftovers at a time
