@@ -281,12 +281,15 @@ def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                                                  "o_orderpriority")
+    # two flags travel to the orders instead of two texts
+    finished = F.col("l_linestatus") == "F"
+    li = li.withColumns({"_finished": finished, "_started": finished | (F.col("l_returnflag") == "A")}).drop(
+        "l_linestatus", "l_returnflag")
     rows = li.join(o, li.l_orderkey == o.o_orderkey)
     key, ln = F.col("l_orderkey"), F.col("l_linenumber")
     q = F.col("l_quantity").cast("int")
     start = F.col("o_orderdate").cast("date")
-    finished = F.col("l_linestatus") == "F"
-    started = finished | (F.col("l_returnflag") == "A")
+    finished, started = F.col("_finished"), F.col("_started")
     act_start = F.when(started, F.date_add(start, (ln - F.lit(1)).cast("int")))
     act_finish = F.when(finished, F.col("l_shipdate").cast("date"))
     row_key = key * F.lit(8) + ln

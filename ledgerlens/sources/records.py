@@ -175,7 +175,7 @@ def _layouts(states: list, schema: StructType) -> dict[tuple[str, ...], list[int
 
 def _typed(pieces: DataFrame, layouts: dict[tuple[str, ...], list[int]], schema: StructType) -> DataFrame:
     """``pieces`` with the parsed record as ``r``: the declared fields, and the text where they were not read."""
-    text = F.regexp_replace("text", "\r$", "")
+    text = F.when(F.col("text").contains("\r"), F.regexp_replace("text", "\r$", "")).otherwise(F.col("text"))
     declared = {f.name: f for f in schema.fields}
     wanted = [*schema.fieldNames(), _BAD]
     parsed = None
@@ -224,7 +224,7 @@ def read_records(spark: SparkSession, path: str, schema: StructType, max_record:
         table = {(s["file_id"], s["split"]): int(s["inside"]) for s in states}
         pieces = _lines(spark, path).select("file_id", "split", "value").mapInArrow(_joiner(table, max_record), _PIECE)
         first = (F.col("split") == 0) & (F.col("line") == 0)
-        blank = (F.col("kind") == WHOLE) & (F.trim(F.regexp_replace("text", r"[\r\t]", " ")) == "")
+        blank = (F.col("kind") == WHOLE) & (F.btrim("text", F.lit(" \r\t")) == "")
         typed = _typed(pieces.where(~first & ~blank), layouts, schema)
         kept = F.when((F.col("kind") != WHOLE) | F.col(f"r.{_BAD}").isNotNull(), F.col("text"))
         seen = Observation()
