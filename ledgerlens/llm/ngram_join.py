@@ -46,6 +46,7 @@ FLUSH = 1_500_000  # shingles whose local counts a task keeps at once
 STARS = 3  # rounds with leaders before the exact round, at most
 SPREAD = 64  # parts of a frequent token's group while equal sets collapse
 CELLS = 24  # bits of a cell's number in the table of wanted documents: a table of 2 MB at any size
+FEW = 1 << 13  # wanted documents that every executor is sent: 64 bytes each at most
 HELD = 1 << 18  # keys of sets that a task remembers, so as to send a set once
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _SALTS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344), np.uint64(0xA4093822299F31D0))
@@ -279,7 +280,8 @@ class Join:
             "token", "key", "n", "reach", "rarity", band.alias("band")), "groups")
         self.full: DataFrame | None = None
         self.seen: DataFrame | None = None
-        self.links = spark.createDataFrame([], "a long, b long")
+        # not createDataFrame: that is read by Python workers of another kind, which stay beside these
+        self.links = spark.range(0).select(F.col("id").alias("a"), F.col("id").alias("b"))
 
     def _reaches(self, reach: Column, n: Column, m: Column) -> Column:
         """Whether ``reach`` common tokens would link sets of ``n`` and ``m`` tokens."""
@@ -288,21 +290,26 @@ class Join:
     def fetch(self, pairs: DataFrame) -> None:
         """Add the sets of ``pairs`` (a, b) that were not met before to ``full``.
 
-        One document of each set is looked for.  A table of bits tells at the
-        scan which texts may be meant, so the others never move.
+        One document of each set is looked for.  Few of them are sent to the
+        scan.  For more, a table of bits tells there which texts may be meant,
+        so the others never move; their exchange also keeps the two steps in
+        Python apart, which in one task would take two workers a core.
         """
         met = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
         if self.full is not None:
             met = met.join(self.full.select("key"), "key", "left_anti")
         met = stage(met.join(self.sets, "key").select(
             F.col("least_id").alias("doc_id"), F.col("key").alias("expected")), "to-fetch")
-        cells = met.select("doc_id").mapInArrow(_cell_of, "cell long")
-        places = cells.groupBy(F.expr("cell div 8").alias("at")).agg(
-            F.bit_or(F.expr("shiftleft(1, cast(cell % 8 as int))")).alias("bits")).toPandas()  # 2^21 rows at most
-        bits = np.zeros(1 << CELLS - 3, dtype=np.uint8)
-        bits[places["at"].to_numpy(np.int64)] = places["bits"].to_numpy(np.uint8)
-        texts = self.rows.mapInArrow(tidy(_wanted(bits)), self.rows.schema)
-        texts = texts.join(met, "doc_id").select("doc_id", "text", "expected")
+        if met.count() <= FEW:
+            texts = self.rows.join(F.broadcast(met), "doc_id")
+        else:
+            cells = met.select("doc_id").mapInArrow(_cell_of, "cell long")
+            places = cells.groupBy(F.expr("cell div 8").alias("at")).agg(
+                F.bit_or(F.expr("shiftleft(1, cast(cell % 8 as int))")).alias("bits")).toPandas()  # 2^21 rows at most
+            bits = np.zeros(1 << CELLS - 3, dtype=np.uint8)
+            bits[places["at"].to_numpy(np.int64)] = places["bits"].to_numpy(np.uint8)
+            texts = self.rows.mapInArrow(tidy(_wanted(bits)), self.rows.schema).join(met.hint("merge"), "doc_id")
+        texts = texts.select("doc_id", "text", "expected")
         fetched = stage(texts.mapInArrow(tidy(_sets(self.k, self.percent, self.lower)),
                                          "key long, n long, b array<smallint>, c array<smallint>, text binary"), "full-sets")
         self.full = fetched if self.full is None else self.full.unionByName(fetched)
