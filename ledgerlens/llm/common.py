@@ -259,41 +259,48 @@ def spans(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return starts[first], starts[last] + length
 
 
-def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
-    """(id, component_id) of every id in ``edges`` (a, b): smallest id reachable.
-
-    Large-star and small-star steps (Kiveris et al. 2014) until nothing
-    changes.  Each round is two grouped minima joined back; a hub's edges are
-    combined before the shuffle and the join is split by AQE.  Nothing but
-    two counts per round reaches the driver.
+def stars(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
+    """(a, b), staged: b is the smallest id reachable from a in ``edges`` (a, b), of every other id a.
+
+    Large-star and small-star steps (Kiveris et al. 2014) until every
+    component is a star around its smallest id.  A step is one grouped minimum
+    joined back; a hub's edges are combined before the shuffle and the join is
+    split by AQE.  A step names its input twice and no more: the plan of a
+    round names every mention's whole input again, and the driver holds,
+    compiles and logs all of it.  One count per round reaches the driver.
     """
-    def star(e: DataFrame, small: bool) -> DataFrame:
-        both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
-            e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        if small:
-            both = both.where("v < u")
-        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        met = both.join(least, "u")
-        kept = met.where("v > u") if not small else met
-        out = kept.select(F.col("v").alias("a"), F.col("m").alias("b"))
-        if small:
-            out = out.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
-        return out.where("a <> b").select(F.greatest("a", "b").alias("a"),
-                                          F.least("a", "b").alias("b")).distinct()
+    def pairs(*two: tuple[str, str], to: tuple[str, str]) -> Column:
+        return F.inline(F.array(*[F.struct(F.col(x).alias(to[0]), F.col(y).alias(to[1])) for x, y in two]))
+
+    # a > b holds throughout
+    def large(e: DataFrame) -> DataFrame:
+        least = e.select(pairs(("a", "b"), ("b", "a"), to=("u", "v"))).groupBy("u").agg(
+            F.least(F.col("u"), F.min("v")).alias("m"))
+        return e.select("a", F.col("b").alias("u")).join(least, "u").select("a", F.col("m").alias("b")).distinct()
+
+    def small(e: DataFrame) -> DataFrame:
+        least = e.groupBy("a").agg(F.min("b").alias("m"))
+        return e.join(least, "a").select(pairs(("a", "m"), ("b", "m"), to=("a", "b"))).where("a > b").distinct()
+
+    def settled(e: DataFrame) -> bool:
+        ends = e.select(F.inline(F.array(*[F.struct(F.col(x).alias("id"), F.lit(up).alias("up")) for x, up in (("a", 1), ("b", 0))])))
+        ends = ends.groupBy("id").agg(F.sum("up").alias("ups"), F.min("up").alias("low"))
+        return not ends.agg(F.count_if((F.col("ups") > 1) | (F.col("ups") > F.col("low")))).first()[0]
 
     now = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"),
                                              F.least("a", "b").alias("b")).distinct(), name)
-    mark = None
     for _ in range(max_rounds):
-        now = stage(star(star(now, small=False), small=True), name)
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(seen) == mark:
-            break
-        mark = tuple(seen)
-    else:
-        raise RuntimeError("components did not settle")
-    return now.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component_id")).unionByName(
-        now.select(F.col("b").alias("id"), F.col("b").alias("component_id")).distinct())
+        if settled(now):
+            return now
+        now = stage(small(large(now)), name)
+    raise RuntimeError("components did not settle")
+
+
+def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
+    """(id, component_id) of every id in ``edges`` (a, b): smallest id reachable."""
+    of = stars(edges, name, max_rounds)
+    both = F.array(*[F.struct(F.col(x).alias("id"), F.col("b").alias("component_id")) for x in "ab"])
+    return of.select(F.inline(both)).groupBy("id").agg(F.min("component_id").alias("component_id"))
 
 
 def word_count(column: str) -> Column:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import chunked, components, mix64, runs_of, small_batches, stage, text_rows, tidy, words_of
+from ledgerlens.llm.common import chunked, mix64, runs_of, small_batches, stage, stars, text_rows, tidy, words_of
 
 FREQUENT = 1 << 18  # tokens of the frequency list, at most
 FLUSH = 1_500_000  # shingles whose local counts a task keeps at once
@@ -265,10 +265,11 @@ class Join:
         while least > 0 and total + tally.get(least - 1, 0) <= FREQUENT:
             least -= 1
             total += tally.get(least, 0)
-        frequent = counts.where(level >= least).select("token", level.alias("level")).toPandas()  # FREQUENT rows at most
-        token = frequent["token"].to_numpy(np.int64).view(np.uint64)
+        # FREQUENT rows at most, as Arrow: rows would be objects in the driver's heap and in its Python
+        frequent = counts.where(level >= least).select("token", level.alias("level")).toArrow()
+        token = frequent["token"].to_numpy().view(np.uint64)
         order = np.argsort(token)
-        classes = frequent["level"].to_numpy(np.int64)[order]
+        classes = frequent["level"].to_numpy()[order].astype(np.uint8)
         prefixes = self.rows.mapInArrow(tidy(_prefixes(k, percent, lower, token[order], classes)),
                                         "token long, part int, key long, n int, reach int, rarity int")
         # one exchange: equal sets collapse where they meet; a rare token of one set leads nowhere
@@ -304,11 +305,11 @@ class Join:
             texts = self.rows.join(F.broadcast(met), "doc_id")
         else:
             cells = met.select("doc_id").mapInArrow(_cell_of, "cell long")
-            places = cells.groupBy(F.expr("cell div 8").alias("at")).agg(
-                F.bit_or(F.expr("shiftleft(1, cast(cell % 8 as int))")).alias("bits")).toPandas()  # 2^21 rows at most
-            bits = np.zeros(1 << CELLS - 3, dtype=np.uint8)
-            bits[places["at"].to_numpy(np.int64)] = places["bits"].to_numpy(np.uint8)
-            texts = self.rows.mapInArrow(tidy(_wanted(bits)), self.rows.schema).join(met.hint("merge"), "doc_id")
+            places = cells.groupBy(F.expr("cast(cell div 64 as int)").alias("at")).agg(
+                F.bit_or(F.expr("shiftleft(1L, cast(cell % 64 as int))")).alias("bits")).toArrow()  # 2^18 rows at most
+            bits = np.zeros(1 << CELLS - 6, dtype="<i8")
+            bits[places["at"].to_numpy()] = places["bits"].to_numpy()
+            texts = self.rows.mapInArrow(tidy(_wanted(bits.view(np.uint8))), self.rows.schema).join(met.hint("merge"), "doc_id")
         texts = texts.select("doc_id", "text", "expected")
         fetched = stage(texts.mapInArrow(tidy(_sets(self.k, self.percent, self.lower)),
                                          "key long, n long, b array<smallint>, c array<smallint>, text binary"), "full-sets")
@@ -339,7 +340,8 @@ class Join:
 
     def parts(self) -> DataFrame:
         """The groups' rows with the component that they are in so far."""
-        done = components(self.links, "parts").select(F.col("id").alias("key"), "component_id")
+        self.links = stars(self.links, "parts")  # they link the same sets, and the next links meet stars
+        done = self.links.select(F.col("a").alias("key"), F.col("b").alias("component_id"))
         return stage(self.groups.join(done, "key", "left").withColumn(
             "component_id", F.coalesce("component_id", "key")), "members")
 
@@ -377,7 +379,7 @@ class Join:
             & self._reaches(F.least("reach_a", "reach_b"), F.col("n_a"), F.col("n_b"))).select("a", "b")
 
     def run(self) -> DataFrame:
-        """(key, component_id) of every set that links with another one."""
+        """(key, component_id) of every set that links with a smaller key, the smallest one reachable."""
         rows = self.groups.withColumn("component_id", F.col("key"))
         n_rows = self.groups.count()
         for turn in range(STARS if n_rows else 0):
@@ -388,7 +390,8 @@ class Join:
                 break
         if n_rows and left:
             self.verify(self.open_pairs(rows))
-        return components(self.links, "linked").select(F.col("id").alias("key"), "component_id")
+            self.links = stars(self.links, "linked")
+        return self.links.select(F.col("a").alias("key"), F.col("b").alias("component_id"))
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, lower: bool = True) -> DataFrame:
