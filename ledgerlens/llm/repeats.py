@@ -60,7 +60,7 @@ def tagged(rows: DataFrame) -> DataFrame:
 def planes(values: np.ndarray) -> bytes:
     """Bytes of equal significance together: zero planes then cost nothing once compressed."""
     values = np.ascontiguousarray(values)
-    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
 
 
 def unplanes(data: bytes, kind: str) -> np.ndarray:
@@ -76,17 +76,26 @@ def _runs(key: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _repeated(first: np.ndarray, run: np.ndarray, ids: np.ndarray, across: bool) -> np.ndarray:
-    """For each run of sorted entries: in two documents (``across``), or twice at all."""
-    size = np.diff(np.append(first, len(run)))
+    """For each run of entries: in two documents (``across``), or twice at all."""
     if not across:
-        return size > 1
-    return ids[first] != ids[first + size - 1]
+        return np.diff(np.append(first, len(run))) > 1
+    return np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first)
+
+
+def by_bucket(bucket: np.ndarray, n_groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order that brings equal buckets together, where each of the ``n_groups`` begins in it, and the end)."""
+    small = bucket.astype(np.uint16) if n_groups <= 1 << 16 else bucket  # sorted by its digits
+    return np.argsort(small, kind="stable"), np.concatenate(([0], np.cumsum(np.bincount(bucket, minlength=n_groups))))
+
+
+def _key_order(key: np.ndarray, more: np.ndarray) -> np.ndarray:
+    return np.lexsort((more, key)) if more.any() else np.argsort(key)
 
 
 def deal(key: np.ndarray, more: np.ndarray, ids: np.ndarray, pos: np.ndarray, across: bool,
          n_groups: int) -> pa.RecordBatch:
     """One flush of entries as packed rows, one row a group."""
-    order = np.lexsort((ids, more, key))
+    order = _key_order(key, more)
     key, more, ids, pos = key[order], more[order], ids[order], pos[order]
     first, run = _runs(key, more)
     proven = _repeated(first, run, ids, across)[run] if len(run) else np.zeros(0, bool)
@@ -94,10 +103,10 @@ def deal(key: np.ndarray, more: np.ndarray, ids: np.ndarray, pos: np.ndarray, ac
     speaks[first] = True
     by_key = (key[speaks] % np.uint64(n_groups)).astype(np.int32)
     by_id = (ids[~speaks] % n_groups).astype(np.int32)
-    sent = [a[speaks][np.argsort(by_key, kind="stable")] for a in (key, more, ids, pos, proven)]
-    told = [a[~speaks][np.argsort(by_id, kind="stable")] for a in (key, ids, pos)]
-    cut = np.concatenate(([0], np.cumsum(np.bincount(by_key, minlength=n_groups))))
-    cut_told = np.concatenate(([0], np.cumsum(np.bincount(by_id, minlength=n_groups))))
+    order, cut = by_bucket(by_key, n_groups)
+    order_told, cut_told = by_bucket(by_id, n_groups)
+    order, order_told = np.flatnonzero(speaks)[order], np.flatnonzero(~speaks)[order_told]
+    sent, told = [a[order] for a in (key, more, ids, pos, proven)], [a[order_told] for a in (key, ids, pos)]
     columns: list[list] = [[] for _ in _NAMES]
     for g in range(n_groups):
         a, b, c, d = cut[g], cut[g + 1], cut_told[g], cut_told[g + 1]
@@ -128,7 +137,7 @@ def _answer(across: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
         get = lambda c, kind: np.concatenate([unplanes(b, kind) for b in rows[c]])
         key, more, ids, pos = get("key", "u8"), get("more", "u4"), get("id", "i8"), get("pos", "i4")
         proven = get("proven", "u1").astype(bool)
-        order = np.lexsort((ids, more, key))
+        order = _key_order(key, more)
         key, more, ids, pos, proven = key[order], more[order], ids[order], pos[order], proven[order]
         first, run_of = _runs(key, more)
         if len(first):
