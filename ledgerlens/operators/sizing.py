@@ -16,6 +16,10 @@ from ..session import scratch_path
 
 def staged(df: DataFrame, name: str = "staged") -> DataFrame:
     """``df`` written below the shared checkpoint folder and read again."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    return staged_at(df, scratch_path(df.sparkSession, name))
+
+
+def staged_at(df: DataFrame, path: str, **options: str) -> DataFrame:
+    """``df`` written at ``path`` and read again; who names the path may remove it."""
+    df.write.mode("overwrite").options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -357,14 +357,24 @@ def q_star_cost_bucketed(spark, sf_dir):
                                                  staged(q_dim_building(spark, sf_dir), "dim-building"), wbs)
 
 
+# A packed export is read by one task a file: about as much text as a split of a plain one.
+EXPORT = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": "1000000"}
+
+
 def q_etl_job(spark, sf_dir):
-    """The whole job from CSV exports: rows and a sum of keys or amounts of every table it wrote."""
-    raw_paths = {}
-    for name, fn in B.BINDINGS.items():
-        raw_paths[name] = scratch_path(spark, f"export-{name}")
-        files.write_csv(fn(spark, sf_dir), raw_paths[name])
+    """The whole job from CSV exports: rows and a sum of keys or amounts of every table it wrote.
+
+    An export is written when the job asks for it and removed when its rows are
+    staged: as plain text the four take many times the disk of the tables they are bound from.
+    """
+    def exports():
+        for name, fn in B.BINDINGS.items():
+            path = scratch_path(spark, f"export-{name}")
+            files.write_csv(fn(spark, sf_dir), path, **EXPORT)
+            yield name, path
+
     cfg = etl.ProgramConfig(CAMPUS, CLIENT, PROGRAM_VALUE, SNAPSHOT, vendor_rules=RULES, canonical_vendors=CANONICAL)
-    done = etl.run(spark, raw_paths, scratch_path(spark, "star"), cfg)
+    done = etl.run(spark, exports(), scratch_path(spark, "star"), cfg, drop_exports=True)
     return table_sums({name: spark.read.schema(STAR_TABLES[name]).parquet(path) for name, path in done["paths"].items()})
 
 

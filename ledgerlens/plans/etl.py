@@ -13,13 +13,16 @@ Differences from a straight script, all for scale:
   rather than by a single-partition window;
 * the tables are published together, as one version (a failed run leaves the
   old one whole);
+* what a later step does not read is removed: shuffle files when their query
+  ends, an export's staged rows when its fact is written (and, where asked for,
+  the export itself when its rows are staged);
 * the sink is Parquet by default; JDBC is available with bounded
   connection count and batch size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import SENTINEL_DATE
 from ..operators import clean, star
 from ..operators.vendors import DEFAULT_VENDOR_RULES, vendor_rule_map
+from ..session import remove_path, shuffles_removed
 from ..sources import files, publication, records
 from ..sources.schemas import RAW_SOURCES, STAR_TABLES
 
@@ -62,10 +66,21 @@ SOURCE_FACT = {
 }
 
 
-def read_raw(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, records.Records]:
+def read_raw(spark: SparkSession, paths: Mapping[str, str] | Iterable[tuple[str, str]],
+             drop_exports: bool = False) -> dict[str, records.Records]:
     """Read the four raw exports (keys of ``RAW_SOURCES``) with declared schemas: staged rows, their
-    number, and the text of those that do not fit."""
-    return {name: records.read_records(spark, paths[name], RAW_SOURCES[name]) for name in RAW_SOURCES}
+    number, and the text of those that do not fit.
+
+    The exports are taken one by one: (name, path) pairs may come as each is
+    fetched.  With ``drop_exports`` an export is removed when its rows are staged.
+    """
+    found = {}
+    for name, path in paths.items() if isinstance(paths, Mapping) else paths:
+        if name in RAW_SOURCES:
+            found[name] = records.read_records(spark, path, RAW_SOURCES[name])
+            if drop_exports:
+                remove_path(spark, path)
+    return {name: found[name] for name in RAW_SOURCES}
 
 
 def quality_profile(raw: Mapping[str, DataFrame], cfg: ProgramConfig) -> DataFrame:
@@ -136,17 +151,23 @@ def quarantine(raw: Mapping[str, records.Records]) -> DataFrame:
 
 
 def publish(spark: SparkSession, raw: Mapping[str, DataFrame], out_root: str, cfg: ProgramConfig,
-            also: Mapping[str, DataFrame] | None = None,
-            expected: Mapping[str, int] | None = None) -> publication.Publication:
+            also: Mapping[str, DataFrame] | None = None, expected: Mapping[str, int] | None = None,
+            written: Callable[[str], None] | None = None) -> publication.Publication:
     """Write the eight tables (and ``also``) as one version: all of them are published, or none.
 
     With ``expected`` rows per export, a fact that has not as many rows is an
-    error; its rows are counted while they are written.
+    error; its rows are counted while they are written.  ``written`` is told of
+    each export whose fact is written: its rows are not read again.
     """
     out = publication.Publication(spark, out_root)
     for name, df in (also or {}).items():
         out.write(name, df)
-    facts = {name: out.write(name, df, cfg.fact_partitions.get(name, ())) for name, df in build_facts(raw, cfg).items()}
+    facts = {}
+    source_of = {fact: source for source, fact in SOURCE_FACT.items()}
+    for name, df in build_facts(raw, cfg).items():
+        facts[name] = out.write(name, df, cfg.fact_partitions.get(name, ()))
+        if written:
+            written(source_of[name])
     loaded = {source: out.entries[fact].row_count for source, fact in SOURCE_FACT.items()}
     if expected is not None and loaded != dict(expected):
         raise RuntimeError(f"rows read {dict(expected)}, rows in the facts {loaded}")
@@ -156,21 +177,22 @@ def publish(spark: SparkSession, raw: Mapping[str, DataFrame], out_root: str, cf
     return out
 
 
-def run(spark: SparkSession, raw_paths: Mapping[str, str], out_root: str, cfg: ProgramConfig,
-        jdbc: Mapping[str, object] | None = None) -> dict:
+def run(spark: SparkSession, raw_paths: Mapping[str, str] | Iterable[tuple[str, str]], out_root: str, cfg: ProgramConfig,
+        jdbc: Mapping[str, object] | None = None, drop_exports: bool = False) -> dict:
     """Run the whole job; returns the audit, the corrupt rows, the version and the written paths.
 
     The exports are parsed once, into staged typed tables; their rows are
     counted on the way (the audit).  The profile (table ``data_quality``), the
     unread rows (``quarantine``) and the eight tables become one version.  With
     ``jdbc`` (``url``, ``properties``, optional ``num_partitions``) each table
-    is then loaded into the warehouse as well.
+    is then loaded into the warehouse as well.  ``drop_exports``: see ``read_raw``.
     """
-    read = read_raw(spark, raw_paths)
-    audit = {name: found.row_count for name, found in read.items()}
-    raw = {name: found.rows for name, found in read.items()}
-    done = publish(spark, raw, out_root, cfg, {"data_quality": quality_profile(raw, cfg), "quarantine": quarantine(read)},
-                   expected=audit)
+    with shuffles_removed(spark):
+        read = read_raw(spark, raw_paths, drop_exports)
+        audit = {name: found.row_count for name, found in read.items()}
+        raw = {name: found.rows for name, found in read.items()}
+        done = publish(spark, raw, out_root, cfg, {"data_quality": quality_profile(raw, cfg), "quarantine": quarantine(read)},
+                       expected=audit, written=lambda name: read[name].drop(spark))
     paths = {name: path for name, path in done.paths().items() if name in STAR_TABLES}
     if jdbc:
         for name, path in paths.items():

@@ -7,9 +7,11 @@ and command-line runs.  On a cluster the session comes from the caller and
 
 from __future__ import annotations
 
+import contextlib
 import itertools
 import os
 import tempfile
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -76,3 +78,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 _SEQ = itertools.count(1)  # thread-safe in CPython (next() is atomic)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder of any file system that Spark reads."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that run meanwhile remove their shuffle files when they end.
+
+    Otherwise a long job keeps those of all its steps until the driver happens
+    to collect garbage.  For steps whose result is written: a DataFrame that is
+    run a second time would shuffle anew.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -54,8 +54,8 @@ def read_csv_typed(spark: SparkSession, path: str, schema: StructType, corrupt_c
     return spark.read.schema(read).options(**opts).csv(path).select(*wanted)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).options(header="true", quote='"', escape='"').csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options: str) -> None:
+    df.write.mode(mode).options(**{"header": "true", "quote": '"', "escape": '"', **options}).csv(path)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,

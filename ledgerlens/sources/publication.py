@@ -70,7 +70,7 @@ class Publication:
         folder = f"versions/v{self.version:08d}-{self.run}/{name}"
         seen = Observation()
         out = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by) if cluster_by else df
-        writer = out.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
+        writer = out.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").option("compression", "zstd")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self.root}/{folder}")
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
         self.entries[name] = Entry(name, folder, ddl, seen.get["rows"])

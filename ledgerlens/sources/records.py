@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..operators.sizing import staged
+from ..operators.sizing import staged_at
+from ..session import remove_path, scratch_path
 
 #: A quoted field left open swallows the rest of its file; a record longer than this is given up in pieces.
 MAX_RECORD = 16 << 20
@@ -44,14 +45,19 @@ class Records(NamedTuple):
     """``rows`` of the declared schema, and those of them that do not fit it, as they were written.
 
     ``quarantine`` has file, split (its first byte), line (counted in the split) and text.
-    ``row_count`` and ``unread_count`` were observed while the rows were staged.
+    ``row_count`` and ``unread_count`` were observed while the rows were staged, in ``folders``.
     """
 
     rows: DataFrame
     quarantine: DataFrame
     row_count: int
     unread_count: int
+    folders: tuple[str, ...] = ()
 
+    def drop(self, spark: SparkSession) -> None:
+        """Remove the staged rows: ``rows`` and ``quarantine`` cannot be read any more."""
+        for path in self.folders:
+            remove_path(spark, path)
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
@@ -231,8 +237,11 @@ def read_records(spark: SparkSession, path: str, schema: StructType, max_record:
         one = F.col("kind") == WHOLE
         counted = typed.select("file_id", "split", "line", "kind", kept.alias("text"), "r").observe(
             seen, F.count_if(one).alias("rows"), F.count_if(one & F.col(f"r.{_BAD}").isNotNull()).alias("unread"))
+        # the line is told of rows with a text alone
+        counted = counted.withColumn("line", F.when(F.col("text").isNotNull(), F.col("line")))
+        folders = scratch_path(spark, "records"), scratch_path(spark, "crossing")
         try:
-            parsed = staged(counted, "records")
+            parsed = staged_at(counted, folders[0], compression="zstd")
             break
         except Exception as error:
             if not left or "was not there when the quotes were counted" not in str(error):
@@ -240,7 +249,7 @@ def read_records(spark: SparkSession, path: str, schema: StructType, max_record:
     whole = parsed.where(F.col("kind") == WHOLE)
     crossing = parsed.where(F.col("kind") != WHOLE)
     n_rows, n_unread = seen.get["rows"], seen.get["unread"]
-    joined = staged(_typed(_join_pieces(crossing.drop("r"), max_record), layouts, schema), "crossing")
+    joined = staged_at(_typed(_join_pieces(crossing.drop("r"), max_record), layouts, schema), folders[1])
     more = joined.agg(F.count_if(F.expr(f"kind = {WHOLE}")), F.count_if(F.expr(f"kind = {WHOLE} and r.{_BAD} is not null")), F.count("*")).first()
     n_rows, n_unread = n_rows + more[0], n_unread + more[1] + more[2] - more[0]
     if more[2]:
@@ -250,4 +259,5 @@ def read_records(spark: SparkSession, path: str, schema: StructType, max_record:
                                   "file_id long, file string")
     bad = whole.where(F.col(f"r.{_BAD}").isNotNull()).unionByName(lost)
     quarantine = bad.join(names, "file_id").select("file", "split", "line", F.regexp_replace("text", "\r$", "").alias("text"))
-    return Records(whole.select(*[F.col("r")[n].alias(n) for n in schema.fieldNames()]), quarantine, n_rows, n_unread)
+    return Records(whole.select(*[F.col("r")[n].alias(n) for n in schema.fieldNames()]), quarantine, n_rows, n_unread,
+                   folders)

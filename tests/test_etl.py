@@ -95,3 +95,55 @@ def test_etl_calendar_covers_all_fact_dates(spark):
     hi = max(co.agg(F.max("approved_date")).collect()[0][0], star["fact_schedule"].agg(F.max("actual_finish")).collect()[0][0])
     assert cal[0] <= lo and cal[1] >= hi and cal[1].year < 9999
     assert cal[2] == (cal[1] - cal[0]).days + 1
+
+
+def test_etl_keeps_on_disk_only_what_later_steps_read(spark, monkeypatch):
+    """Exports come one by one and go when their rows are staged; staged rows go when their fact is written."""
+    from ledgerlens.sources import publication
+    from ledgerlens.sources.schemas import RAW_SOURCES
+
+    root = tempfile.mkdtemp(prefix="ledgerlens-etl5-")
+    kept = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    staged_before = set(os.listdir(kept))
+    seen = []  # exports and staged rows there are while a table is written
+
+    def exports():
+        for name, fn in B.BINDINGS.items():
+            assert not any(os.path.exists(os.path.join(root, "raw", other)) for other in RAW_SOURCES)
+            path = os.path.join(root, "raw", name)
+            files.write_csv(fn(spark, SF_SMALL), path, **{**C.EXPORT, "maxRecordsPerFile": "1000"})
+            assert len([f for f in os.listdir(path) if f.endswith(".csv.gz")]) > 0
+            yield name, path
+
+    def write(self, name, df, *args, of=publication.Publication.write, **more):
+        staged = [f for f in os.listdir(kept) if f.startswith("records-") and f not in staged_before]
+        seen.append((name, len(staged), len(os.listdir(os.path.join(root, "raw")))))
+        return of(self, name, df, *args, **more)
+
+    monkeypatch.setattr(publication.Publication, "write", write)
+    cfg = ProgramConfig(C.CAMPUS, C.CLIENT, C.PROGRAM_VALUE, C.SNAPSHOT, vendor_rules=B.BINDING_VENDOR_RULES,
+                        canonical_vendors=B.CANONICAL_VENDORS)
+    res = run(spark, exports(), os.path.join(root, "star"), cfg, drop_exports=True)
+    assert seen == [("data_quality", 4, 0), ("quarantine", 4, 0), ("fact_project_cost", 4, 0), ("fact_change_orders", 3, 0),
+                    ("fact_schedule", 2, 0), ("fact_pay_applications", 1, 0), ("dim_building", 0, 0), ("dim_wbs", 0, 0),
+                    ("dim_vendor", 0, 0), ("dim_date", 0, 0)]
+    # the tables are those of a run over plain exports that stay
+    raw_paths = {}
+    for name, fn in B.BINDINGS.items():
+        raw_paths[name] = os.path.join(root, "plain", name)
+        files.write_csv(fn(spark, SF_SMALL), raw_paths[name])
+    plain = run(spark, raw_paths, os.path.join(root, "star-of-plain"), cfg)
+    assert res["audit"] == plain["audit"] and all(os.path.isdir(p) for p in raw_paths.values())
+    got, want = (files.read_star(spark, os.path.join(root, at), register_views=False) for at in ("star", "star-of-plain"))
+    for name in got:
+        assert sorted(map(repr, got[name].collect())) == sorted(map(repr, want[name].collect())), name
+
+
+def test_shuffles_go_with_their_query(spark):
+    from ledgerlens.session import shuffles_removed
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    with shuffles_removed(spark):
+        assert spark.conf.get(key) == "true"
+    assert spark.conf.get(key) == before
